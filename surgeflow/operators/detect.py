@@ -3,17 +3,19 @@
 Every function keys on a ``batch_id`` column, so one implementation serves a
 single micro-batch (constant id) and a whole history of batches at once.
 
-Plan shape (one scan of the events, two shuffles of pre-aggregated rows):
-
-    events --partial count/min/max--> Exchange(batch_id, ip) --> per (batch, IP)
-    per (batch, IP) --partial min/max--> Exchange(batch_id) --> per batch span
-    per (batch, IP) JOIN per batch span ON batch_id          --> rates, is_bot
-    events LEFT SEMI / LEFT ANTI (bot pairs) ON (batch_id, ip) --> flagged / clean
-
-The bot set is never collected to the driver. Its size is not bounded in
-advance (it grows with the data), so no broadcast hint is forced on it; AQE
-measures the materialised set and broadcasts it when small, and otherwise
-keeps a sort-merge join whose hot-IP partition it splits (skew join).
+Plan shape (the events are read by two narrow aggregates and one join):
+
+    events --partial count--> Exchange(batch_id, ip)  --> per (batch, IP) n
+    events --partial count/min/max--> Exchange(batch_id) --> per batch span
+    per (batch, IP) JOIN per batch span ON batch_id       --> rates, is_bot
+    events INNER / LEFT ANTI (bot pairs) ON (batch_id, ip) --> flagged / clean
+
+The bot set is never collected to the driver. Over a history its size is not
+bounded in advance, so no broadcast hint is forced on it there: AQE measures
+the materialised set and broadcasts it when small, and otherwise keeps a
+sort-merge join whose hot-IP partition it splits (skew join). Within one
+micro-batch the set is bounded by ``max_bot_pairs`` and the caller may
+broadcast it on that bound.
 """
 
 from __future__ import annotations
@@ -30,31 +32,25 @@ PAIR_KEY = ["batch_id", "ip_address"]
 
 
 def ip_counts(events: DataFrame) -> DataFrame:
-    """(batch_id, ip_address, n, first_ts, last_ts): map-side combined, so a
-    hot IP costs one row per task before the shuffle, not all its events."""
-    return (events.groupBy(*PAIR_KEY)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.min("event_ts").alias("first_ts"),
-                 F.max("event_ts").alias("last_ts")))
+    """(batch_id, ip_address, n): map-side combined, so a hot IP costs one
+    partial row per task before the shuffle, not all its events."""
+    return events.groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n"))
 
 
-def batch_span(events: DataFrame, cfg: DetectorConfig, counts: DataFrame | None = None) -> DataFrame:
+def batch_span(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """Per batch: total events, event-time bounds, raw and effective span.
 
     Columns: batch_id, total_events, min_ts, max_ts, raw_span_sec, span_us,
-    span_sec, threshold, reason. Computed from the per-IP partial aggregates
-    when given (they already carry min/max), else from the events.
+    span_sec, threshold, reason. Partial count/min/max per task, so the
+    shuffle carries one row per (task, batch), whatever the batch size.
     """
-    if counts is None:
-        counts = ip_counts(events)
-    per_batch = counts.groupBy("batch_id").agg(
-        F.sum("n").cast("long").alias("total_events"),
-        F.min("first_ts").alias("min_ts"),
-        F.max("last_ts").alias("max_ts"))
-    span_us = effective_span_us("min_ts", "max_ts", cfg)
+    per_batch = events.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.min("event_ts").alias("min_ts"),
+        F.max("event_ts").alias("max_ts"))
     return (per_batch
             .withColumn("raw_span_sec", span_seconds(raw_span_us("min_ts", "max_ts")))
-            .withColumn("span_us", span_us)
+            .withColumn("span_us", effective_span_us("min_ts", "max_ts", cfg))
             .withColumn("span_sec", span_seconds("span_us"))
             .withColumn("threshold", F.lit(float(cfg.rate_per_sec)) * F.col("span_sec"))
             .withColumn("reason", reason_text(cfg, "span_us")))
@@ -65,18 +61,26 @@ def ip_rate(events: DataFrame, cfg: DetectorConfig, single_batch: bool = False)
 
     ``single_batch``: the caller guarantees one batch id (a micro-batch), so
     the per-batch table has at most one row and is broadcast on that bound.
-    Over a history of batches its size is the number of batches, which is not
-    bounded, so the join strategy is left to AQE's measured sizes.
+    Over a history its size is the number of batches, which is not bounded,
+    so the join strategy is left to AQE's measured sizes.
     """
-    counts = ip_counts(events)
-    spans = batch_span(events, cfg, counts).select("batch_id", "span_sec", "threshold", "reason")
+    spans = batch_span(events, cfg).select("batch_id", "span_sec", "threshold", "reason")
     if single_batch:
         spans = F.broadcast(spans)
-    return (counts.join(spans, "batch_id")
+    return (ip_counts(events).join(spans, "batch_id")
             .withColumn("is_bot", F.col("n") > F.col("threshold"))
             .select("batch_id", "ip_address", "n", "span_sec", "threshold", "is_bot", "reason"))
 
 
+def max_bot_pairs(rows: int, cfg: DetectorConfig) -> int:
+    """Upper bound of flagged (batch, IP) pairs among ``rows`` events of one
+    batch: a flagged pair has more than rate x span >= rate x floor events."""
+    per_pair = cfg.rate_per_sec * cfg.floor_sec
+    if per_pair <= 0:
+        return rows
+    return int(rows // per_pair) if per_pair >= 1 else rows
+
+
 def bot_pairs(rates: DataFrame) -> DataFrame:
     """(batch_id, ip_address, reason) of the flagged pairs."""
     return rates.filter(F.col("is_bot")).select("batch_id", "ip_address", "reason")
@@ -86,7 +90,8 @@ def flag_reason(rates: DataFrame) -> DataFrame:
     return bot_pairs(rates)
 
 
-def split_events(events: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_events(events: DataFrame, rates: DataFrame,
+                 broadcast_bots: bool = False) -> tuple[DataFrame, DataFrame]:
     """(clean, flagged). Every row of a flagged (batch, IP) is flagged.
 
     Flagged is an inner join on the unique pair key (a semi join that also
@@ -94,8 +99,13 @@ def split_events(events: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFr
     not lose the whole batch when a NULL IP is among the bots. NULL IPs are
     removed by validation before this point. An empty bot set yields a typed
     empty flagged frame without a branch.
+
+    ``broadcast_bots``: set by a caller that has bounded the bot set (see
+    ``max_bot_pairs``); otherwise AQE picks the strategy from measured sizes.
     """
     bots = bot_pairs(rates)
+    if broadcast_bots:
+        bots = F.broadcast(bots)
     flagged = events.join(bots, PAIR_KEY, "inner").select(*FLAGGED_COLUMNS)
     clean = events.join(bots.select(*PAIR_KEY), PAIR_KEY, "left_anti").select(*CLEAN_COLUMNS)
     return clean, flagged

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig, WallClock
 from surgeflow.operators.aggregate import events_agg
-from surgeflow.operators.detect import batch_metrics, ip_rate, split_events
+from surgeflow.operators.detect import batch_metrics, ip_rate, max_bot_pairs, split_events
 from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.messages import validation_error
 from surgeflow.sources.sinks import (clear_batch, write_agg_delta, write_batch_metrics,
@@ -41,8 +41,10 @@ class BatchProcessor:
     """
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
-                 fail_after: str | None = None, log=None):
+                 fail_after: str | None = None, log=None,
+                 max_broadcast_pairs: int = 500_000):
         self.cfg = cfg
+        self.max_broadcast_pairs = max_broadcast_pairs
         self.root = sink_root
         self.clock = clock or WallClock()
         self.fail_after = fail_after
@@ -92,7 +94,11 @@ class BatchProcessor:
             events = (checked.filter(F.col("error").isNull()).select(*EVENT_COLUMNS)
                       .withColumn("batch_id", F.lit(bid).cast("long")))
             rates = ip_rate(events, self.cfg, single_batch=True).persist(StorageLevel.MEMORY_AND_DISK)
-            clean, flagged = split_events(events, rates)
+            # Size check before any broadcast: the bot set of this batch
+            # cannot exceed max_bot_pairs(valid rows); beyond the limit AQE
+            # chooses from the measured size (sort-merge + skew split).
+            bounded = max_bot_pairs(n_raw - n_dead, self.cfg) <= self.max_broadcast_pairs
+            clean, flagged = split_events(events, rates, broadcast_bots=bounded)
             write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])
             self._maybe_fail("events_clean")
             write_partition(flagged, self.root, "events_flagged", bid, sort_by=["event_ts"])
