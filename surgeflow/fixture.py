@@ -22,8 +22,13 @@ BOT_USER_MODULUS = 15
 PROCESSING_MS_MODULUS = 97
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def load(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
+    """The driver's events table, read with its declared schema (no schema
+    inference job)."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def clickstream(raw: DataFrame) -> DataFrame:
@@ -50,15 +55,16 @@ def batch_midnight(batch_id="batch_id"):
     return F.date_add(F.lit(EPOCH_DAY).cast("date"), b.cast("int")).cast("timestamp")
 
 
-def surrogate_stamps(events: DataFrame) -> DataFrame:
-    """(batch_id, batch_ts, processing_time_ms) standing in for wall-clock fields.
+def surrogate_stamps(raw: DataFrame) -> DataFrame:
+    """(batch_id, batch_ts, processing_time_ms) standing in for wall-clock
+    fields, from the raw events table.
 
     processing_time_ms = sum(source event id mod 97) per batch, a deterministic
     stand-in for the elapsed time of a real micro-batch.
     """
-    src_id = F.conv(F.col("event_id"), 16, 10).cast("long")
-    return (events.groupBy("batch_id")
-            .agg(F.sum(F.pmod(src_id, F.lit(PROCESSING_MS_MODULUS))).cast("long").alias("processing_time_ms"))
+    return (raw.groupBy(F.datediff(F.col("ts"), F.lit(EPOCH_DAY)).cast("long").alias("batch_id"))
+            .agg(F.sum(F.pmod(F.col("event_id"), F.lit(PROCESSING_MS_MODULUS))).cast("long")
+                 .alias("processing_time_ms"))
             .withColumn("batch_ts", batch_midnight()))
 
 

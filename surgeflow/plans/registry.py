@@ -35,8 +35,9 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, sf: str) -> Tables:
-    ev = _events(spark, sf)
-    return derive_tables(ev, CFG, fixture.surrogate_stamps(ev), fixture.batch_midnight())
+    raw = fixture.load(spark, sf)
+    return derive_tables(fixture.clickstream(raw), CFG, fixture.surrogate_stamps(raw),
+                         fixture.batch_midnight())
 
 
 def _out_events(df: DataFrame, extra: list[str] = ()) -> DataFrame:

@@ -36,15 +36,22 @@ def write_partition(df: DataFrame, root: str, table: str, batch_id: int,
     """Replace one batch's directory of ``table`` with ``df`` (fixed column
     list; ``batch_id`` lives in the directory name). Sorting within files by
     event time keeps Parquet min/max statistics useful for time filters."""
-    out = _prepared(df, table).drop("batch_id")
+    # REBALANCE lets AQE size the files: small batches do not scatter into
+    # one tiny file per task, and a large batch is split, not funnelled.
+    out = _prepared(df, table).drop("batch_id").hint("rebalance")
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").parquet(batch_path(root, table, batch_id))
 
 
 def write_batches(df: DataFrame, root: str, table: str, sort_by: list[str] | None = None) -> None:
-    """Write many batches at once, replacing only the batches present in ``df``."""
-    out = _prepared(df, table)
+    """Write many batches at once, replacing only the batches present in ``df``.
+
+    Rows are rebalanced on ``batch_id`` first, so each batch lands in few
+    files; AQE splits a batch that holds a large share of the rows across
+    several tasks instead of one.
+    """
+    out = _prepared(df, table).hint("rebalance", "batch_id")
     if sort_by:
         out = out.sortWithinPartitions("batch_id", *sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

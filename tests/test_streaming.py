@@ -57,9 +57,9 @@ def test_stream_equals_batch(spark, stream_dir, tmp_path):
     q.awaitTermination(600)
     assert q.exception() is None
 
-    ev = fixture.clickstream_of(spark, SF["0.001"])
-    ref = derive_tables(ev, fixture.FIXTURE_CONFIG, fixture.surrogate_stamps(ev),
-                        fixture.batch_midnight())
+    raw = fixture.load(spark, SF["0.001"])
+    ref = derive_tables(fixture.clickstream(raw), fixture.FIXTURE_CONFIG,
+                        fixture.surrogate_stamps(raw), fixture.batch_midnight())
 
     def rows(df, cols):
         return sorted(tuple(r) for r in df.select(*cols).collect())
