@@ -77,3 +77,16 @@ def register_views(spark: SparkSession, root: str, committed_only: bool = True)
 
 def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
+                    partition_column: str | None = None, lower: int | None = None,
+                    upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """A table of a JDBC store (the original sink) for analysis. With a
+    numeric ``partition_column`` and bounds, Spark reads it in parallel
+    ranges instead of one connection."""
+    reader = spark.read
+    if partition_column and num_partitions:
+        return reader.jdbc(url, table, column=partition_column, lowerBound=lower,
+                           upperBound=upper, numPartitions=num_partitions, properties=properties)
+    return reader.jdbc(url, table, properties=properties)

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+import argparse
+
+from pyspark.sql import SparkSession
+
 from surgeflow.config import DetectorConfig, StreamConfig
+from surgeflow.session import build_session, shared_dir
+from surgeflow.sources.stream import SourceConfig, read_event_stream
 from surgeflow.plans.analytics import message_rate
 from surgeflow.streaming.micro_batch import BatchProcessor
 
@@ -38,3 +44,41 @@ def start_message_rate(stream: DataFrame, path: str, checkpoint: str, window_sec
               .format("parquet").option("path", path).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
+
+
+def stream_config(spark: SparkSession, name: str, sink_root: str | None = None,
+                  trigger_seconds: int = 5, available_now: bool = False) -> StreamConfig:
+    """Stream settings whose sink and checkpoint default to the cluster's
+    shared folder (``spark.checkpoint.dir``), never a machine-local one."""
+    return StreamConfig(sink_root=sink_root or shared_dir(spark, "tables", name),
+                        checkpoint_location=shared_dir(spark, "streams", name),
+                        trigger_seconds=trigger_seconds, available_now=available_now)
+
+
+def main(argv=None) -> None:
+    """Run the split job: Kafka (or a JSON-lines folder) -> four tables."""
+    ap = argparse.ArgumentParser(prog="surgeflow-stream")
+    ap.add_argument("--bootstrap-servers", default="")
+    ap.add_argument("--topic", default="clickstream-events")
+    ap.add_argument("--json-path", default="", help="read JSON-lines files instead of Kafka")
+    ap.add_argument("--sink-root", default=None)
+    ap.add_argument("--name", default="clickstream")
+    ap.add_argument("--rate", type=float, default=5.0, help="events per second per IP")
+    ap.add_argument("--trigger-seconds", type=int, default=5)
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    ap.add_argument("--available-now", action="store_true")
+    a = ap.parse_args(argv)
+    spark = build_session(app_name="surgeflow-stream")
+    src = (SourceConfig(format="json-files", path=a.json_path, max_files_per_trigger=1)
+           if a.json_path else
+           SourceConfig(bootstrap_servers=a.bootstrap_servers, topic=a.topic,
+                        max_offsets_per_trigger=a.max_offsets_per_trigger))
+    cfg = DetectorConfig(rate_per_sec=a.rate, floor_sec=float(a.trigger_seconds))
+    scfg = stream_config(spark, a.name, a.sink_root, a.trigger_seconds, a.available_now)
+    q = start_stream(read_event_stream(spark, src), cfg, scfg,
+                     processor=BatchProcessor(cfg, scfg.sink_root, log=print))
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
