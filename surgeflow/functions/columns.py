@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,3 +61,25 @@ def ntz(col) -> Column:
 def trailing_number(col) -> Column:
     """The digits at the end of a key (``PRD-0042`` -> 42, ``10.0.0.7`` -> 7)."""
     return F.regexp_extract(_c(col), r"(\d+)$", 1).cast("long")
+
+
+def jvm_token() -> int:
+    """Identity of the running JVM gateway; part of every expression-cache key."""
+    sc = SparkContext._active_spark_context
+    return id(sc._jvm) if sc is not None else 0
+
+
+def reusable(fn):
+    """Cache a builder of Column expressions per (arguments, JVM).
+
+    Columns are immutable, unresolved expression trees, so one tree serves
+    every micro-batch and query; building them costs driver round trips, not
+    executor work.
+    """
+    cached = lru_cache(maxsize=64)(lambda token, *args: fn(*args))
+
+    def wrapper(*args):
+        return cached(jvm_token(), *args)
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__name__ = fn.__name__
+    return wrapper

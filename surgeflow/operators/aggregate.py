@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surgeflow.functions.columns import reusable
 from surgeflow.schema import AGG_KEY
 
 
@@ -15,9 +16,13 @@ def events_agg(clean: DataFrame, window_start: Column) -> DataFrame:
     micro-batch) or an event-time bucket such as ``date_trunc('minute', ...)``.
     Partial counts are combined map-side, so a hot product costs nothing extra.
     """
-    return (clean.withColumn("window_start", window_start)
-            .groupBy("batch_id", "window_start", "product_id", "action")
-            .agg(F.count(F.lit(1)).alias("event_count")))
+    return (clean.groupBy("batch_id", window_start.alias("window_start"), "product_id", "action")
+            .agg(_event_count()))
+
+
+@reusable
+def _event_count() -> Column:
+    return F.count(F.lit(1)).alias("event_count")
 
 
 def upsert_view(deltas: DataFrame) -> DataFrame:

@@ -20,21 +20,47 @@ broadcast it on that bound.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
 from surgeflow.functions.columns import (effective_span_us, raw_span_us, reason_text,
-                                         span_seconds)
+                                         reusable, span_seconds)
 from surgeflow.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS
 
 PAIR_KEY = ["batch_id", "ip_address"]
 
 
+@reusable
+def _count_n() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
+
+@reusable
+def _span_aggs() -> tuple[Column, ...]:
+    return (F.count(F.lit(1)).alias("total_events"), F.min("event_ts").alias("min_ts"),
+            F.max("event_ts").alias("max_ts"))
+
+
+@reusable
+def _span_columns(cfg: DetectorConfig) -> tuple[Column, ...]:
+    span_us = effective_span_us("min_ts", "max_ts", cfg)
+    span_sec = span_seconds(span_us)
+    return (span_seconds(raw_span_us("min_ts", "max_ts")).alias("raw_span_sec"),
+            span_us.alias("span_us"), span_sec.alias("span_sec"),
+            (F.lit(float(cfg.rate_per_sec)) * span_sec).alias("threshold"),
+            reason_text(cfg, span_us).alias("reason"))
+
+
+@reusable
+def _is_bot() -> Column:
+    return (F.col("n") > F.col("threshold")).alias("is_bot")
+
+
 def ip_counts(events: DataFrame) -> DataFrame:
     """(batch_id, ip_address, n): map-side combined, so a hot IP costs one
     partial row per task before the shuffle, not all its events."""
-    return events.groupBy(*PAIR_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return events.groupBy(*PAIR_KEY).agg(_count_n())
 
 
 def batch_span(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
@@ -44,16 +70,8 @@ def batch_span(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
     span_sec, threshold, reason. Partial count/min/max per task, so the
     shuffle carries one row per (task, batch), whatever the batch size.
     """
-    per_batch = events.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("total_events"),
-        F.min("event_ts").alias("min_ts"),
-        F.max("event_ts").alias("max_ts"))
-    return (per_batch
-            .withColumn("raw_span_sec", span_seconds(raw_span_us("min_ts", "max_ts")))
-            .withColumn("span_us", effective_span_us("min_ts", "max_ts", cfg))
-            .withColumn("span_sec", span_seconds("span_us"))
-            .withColumn("threshold", F.lit(float(cfg.rate_per_sec)) * F.col("span_sec"))
-            .withColumn("reason", reason_text(cfg, "span_us")))
+    per_batch = events.groupBy("batch_id").agg(*_span_aggs())
+    return per_batch.select("batch_id", "total_events", "min_ts", "max_ts", *_span_columns(cfg))
 
 
 def ip_rate(events: DataFrame, cfg: DetectorConfig, single_batch: bool = False) -> DataFrame:
@@ -68,8 +86,7 @@ def ip_rate(events: DataFrame, cfg: DetectorConfig, single_batch: bool = False)
     if single_batch:
         spans = F.broadcast(spans)
     return (ip_counts(events).join(spans, "batch_id")
-            .withColumn("is_bot", F.col("n") > F.col("threshold"))
-            .select("batch_id", "ip_address", "n", "span_sec", "threshold", "is_bot", "reason"))
+            .select("batch_id", "ip_address", "n", "span_sec", "threshold", _is_bot(), "reason"))
 
 
 def max_bot_pairs(rows: int, cfg: DetectorConfig) -> int:
@@ -83,7 +100,7 @@ def max_bot_pairs(rows: int, cfg: DetectorConfig) -> int:
 
 def bot_pairs(rates: DataFrame) -> DataFrame:
     """(batch_id, ip_address, reason) of the flagged pairs."""
-    return rates.filter(F.col("is_bot")).select("batch_id", "ip_address", "reason")
+    return rates.filter("is_bot").select("batch_id", "ip_address", "reason")
 
 
 def flag_reason(rates: DataFrame) -> DataFrame:
@@ -111,19 +128,27 @@ def split_events(events: DataFrame, rates: DataFrame,
     return clean, flagged
 
 
+@reusable
+def _metric_aggs() -> tuple[Column, ...]:
+    flagged_n = F.when(F.col("is_bot"), F.col("n")).otherwise(F.lit(0))
+    return (F.sum("n").cast("long").alias("total_events"),
+            F.sum(flagged_n).cast("long").alias("flagged_events"),
+            F.count(F.lit(1)).alias("distinct_ips"),
+            F.count(F.when(F.col("is_bot"), F.lit(1))).alias("distinct_flagged_ips"))
+
+
+@reusable
+def _legit() -> Column:
+    return (F.col("total_events") - F.col("flagged_events")).alias("legit_events")
+
+
 def batch_metrics(rates: DataFrame) -> DataFrame:
     """One row per non-empty batch, from the per-IP rates alone (no second
     pass over the events): total, legit (by subtraction), flagged, distinct
     IPs and distinct flagged IPs. Clock fields are added by the caller."""
-    flagged_n = F.when(F.col("is_bot"), F.col("n")).otherwise(F.lit(0))
-    return (rates.groupBy("batch_id")
-            .agg(F.sum("n").cast("long").alias("total_events"),
-                 F.sum(flagged_n).cast("long").alias("flagged_events"),
-                 F.count(F.lit(1)).alias("distinct_ips"),
-                 F.count(F.when(F.col("is_bot"), F.lit(1))).alias("distinct_flagged_ips"))
-            .withColumn("legit_events", F.col("total_events") - F.col("flagged_events"))
-            .select("batch_id", "total_events", "legit_events", "flagged_events",
-                    "distinct_ips", "distinct_flagged_ips"))
+    return (rates.groupBy("batch_id").agg(*_metric_aggs())
+            .select("batch_id", "total_events", _legit(), "flagged_events", "distinct_ips",
+                    "distinct_flagged_ips"))
 
 
 def conservation(metrics: DataFrame, clean: DataFrame, flagged: DataFrame) -> DataFrame:

@@ -7,10 +7,9 @@ and to check streaming output against a batch run.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
 from surgeflow.operators.aggregate import events_agg, upsert_view
@@ -19,16 +18,63 @@ from surgeflow.schema import METRIC_COLUMNS
 from surgeflow.sources.messages import validate_events
 
 
-@dataclass
 class Tables:
-    events: DataFrame      # valid events with batch_id
-    dead_letter: DataFrame
-    rates: DataFrame       # per (batch, IP) verdicts
-    clean: DataFrame
-    flagged: DataFrame
-    agg_deltas: DataFrame  # per batch (window_start, product, action, count)
-    agg: DataFrame         # upserted view
-    metrics: DataFrame     # pipeline_metrics without created_at
+    """The four tables (and intermediates) of a history of batches.
+
+    Each member is built on first use, so a question that needs only the
+    metrics never constructs the row-level split.
+    """
+
+    def __init__(self, events: DataFrame, cfg: DetectorConfig, stamps: DataFrame,
+                 window_start: Column):
+        self._raw, self._cfg, self._stamps, self._window_start = events, cfg, stamps, window_start
+
+    @cached_property
+    def _validated(self) -> tuple[DataFrame, DataFrame]:
+        cols = ["event_id", "user_id", "action", "product_id", "ip_address", "event_ts"]
+        return validate_events(self._raw.select(*cols, "batch_id"), required=cols)
+
+    @property
+    def events(self) -> DataFrame:
+        """Valid events with batch_id."""
+        return self._validated[0]
+
+    @property
+    def dead_letter(self) -> DataFrame:
+        return self._validated[1]
+
+    @cached_property
+    def rates(self) -> DataFrame:
+        """Per (batch, IP) verdicts."""
+        return ip_rate(self.events, self._cfg)
+
+    @cached_property
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return split_events(self.events, self.rates)
+
+    @property
+    def clean(self) -> DataFrame:
+        return self._split[0]
+
+    @property
+    def flagged(self) -> DataFrame:
+        return self._split[1]
+
+    @cached_property
+    def agg_deltas(self) -> DataFrame:
+        """Per batch (window_start, product, action) counts."""
+        return events_agg(self.clean, self._window_start)
+
+    @cached_property
+    def agg(self) -> DataFrame:
+        """The upserted view."""
+        return upsert_view(self.agg_deltas.select("window_start", "product_id", "action", "event_count"))
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """pipeline_metrics without created_at."""
+        stamps = self._stamps.select("batch_id", "batch_ts", "processing_time_ms")
+        return batch_metrics(self.rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {"events_clean": self.clean, "events_flagged": self.flagged,
@@ -40,20 +86,4 @@ def derive_tables(events: DataFrame, cfg: DetectorConfig, stamps: DataFrame,
     """``events``: parsed events with ``batch_id``. ``stamps``: per batch
     (batch_id, batch_ts, processing_time_ms). ``window_start``: the stamp of
     each row's aggregate key."""
-    valid, dead = validate_events(events.select("event_id", "user_id", "action", "product_id",
-                                                "ip_address", "event_ts", "batch_id"),
-                                  required=["event_id", "user_id", "action", "product_id",
-                                            "ip_address", "event_ts"])
-    rates = ip_rate(valid, cfg)
-    clean, flagged = split_events(valid, rates)
-    deltas = events_agg(clean, window_start)
-    metrics = (batch_metrics(rates).join(stamps.select("batch_id", "batch_ts", "processing_time_ms"),
-                                         "batch_id")
-               .select(*METRIC_COLUMNS))
-    return Tables(valid, dead, rates, clean, flagged, deltas,
-                  upsert_view(deltas.select("window_start", "product_id", "action", "event_count")),
-                  metrics)
-
-
-def stamp_column(metrics: DataFrame) -> DataFrame:
-    return metrics.withColumn("batch_ts", F.col("batch_ts").cast("timestamp"))
+    return Tables(events, cfg, stamps, window_start)

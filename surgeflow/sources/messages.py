@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surgeflow.functions.columns import reusable
 from surgeflow.schema import EVENT_COLUMNS, MESSAGE_SCHEMA, REQUIRED_COLUMNS
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
-def encode_messages(events: DataFrame) -> DataFrame:
+def encode_messages(events: DataFrame, passthrough: list[str] = ()) -> DataFrame:
     """Events -> Kafka rows: ``key`` = product_id bytes, ``value`` = JSON bytes.
 
     Event time is written as ISO-8601 with microseconds and a ``+00:00``
     offset. The message key sets the Kafka partition, so one product's events
-    stay ordered within a partition.
+    stay ordered within a partition. ``passthrough`` columns are kept beside
+    key and value (e.g. a batch id to lay files out by).
     """
     payload = F.to_json(F.struct(
         F.col("event_id"), F.col("user_id"), F.col("action"), F.col("product_id"),
         F.date_format(F.col("event_ts"), ISO_MICROS).alias("timestamp"),
         F.col("ip_address")))
     return events.select(F.col("product_id").cast("binary").alias("key"),
-                         payload.cast("binary").alias("value"))
+                         payload.cast("binary").alias("value"), *passthrough)
 
 
 def parse_events(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
@@ -45,6 +47,11 @@ def parse_events(raw: DataFrame, keep_raw: bool = False) -> DataFrame:
 
 def validation_error(required=REQUIRED_COLUMNS):
     """Comma list of NULL required fields, or NULL when the row is valid."""
+    return _validation_error(tuple(required))
+
+
+@reusable
+def _validation_error(required: tuple) -> Column:
     names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     return F.nullif(names, F.lit(""))
 
@@ -60,6 +67,6 @@ def validate_events(events: DataFrame, required=REQUIRED_COLUMNS) -> tuple[DataF
     of the missing fields in ``error``, instead of failing the whole batch.
     """
     checked = with_validation(events, required)
-    valid = checked.filter(F.col("error").isNull()).drop("error")
-    dead = checked.filter(F.col("error").isNotNull())
+    valid = checked.filter("error IS NULL").drop("error")
+    dead = checked.filter("error IS NOT NULL")
     return valid, dead

@@ -36,9 +36,10 @@ def write_partition(df: DataFrame, root: str, table: str, batch_id: int,
     """Replace one batch's directory of ``table`` with ``df`` (fixed column
     list; ``batch_id`` lives in the directory name). Sorting within files by
     event time keeps Parquet min/max statistics useful for time filters."""
-    # REBALANCE lets AQE size the files: small batches do not scatter into
-    # one tiny file per task, and a large batch is split, not funnelled.
-    out = _prepared(df, table).drop("batch_id").hint("rebalance")
+    # One batch: the file count is already bounded by the input splits (a
+    # broadcast split join keeps them) or by AQE's coalesced shuffle
+    # partitions, so no extra shuffle is spent on file sizing here.
+    out = _prepared(df, table).drop("batch_id")
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     out.write.mode("overwrite").parquet(batch_path(root, table, batch_id))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig, WallClock
+from surgeflow.functions.columns import reusable
 from surgeflow.operators.aggregate import events_agg
 from surgeflow.operators.detect import batch_metrics, ip_rate, max_bot_pairs, split_events
 from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
@@ -32,6 +33,11 @@ from surgeflow.sources.sinks import (clear_batch, write_agg_delta, write_batch_m
 DATA_TABLES = ["dead_letter", "events_clean", "events_flagged", "events_agg"]
 
 
+@reusable
+def _count_aggs():
+    return F.count(F.lit(1)).alias("n_raw"), F.count("error").alias("n_dead")
+
+
 class BatchProcessor:
     """Callable ``(batch_df, batch_id)`` for ``writeStream.foreachBatch``.
 
@@ -65,8 +71,7 @@ class BatchProcessor:
                    .persist(StorageLevel.MEMORY_AND_DISK))
         rates = None
         try:
-            counts = checked.agg(F.count(F.lit(1)).alias("n_raw"),
-                                 F.count("error").alias("n_dead")).first()
+            counts = checked.agg(*_count_aggs()).first()
             n_raw, n_dead = int(counts["n_raw"]), int(counts["n_dead"])
             clear_batch(spark, self.root, "pipeline_metrics", bid)
             if n_raw == 0:
@@ -76,7 +81,7 @@ class BatchProcessor:
                 return
 
             if n_dead:
-                dead = checked.filter(F.col("error").isNotNull())
+                dead = checked.filter("error IS NOT NULL")
                 if "raw" not in dead.columns:
                     dead = dead.withColumn("raw", F.lit(None).cast("string"))
                 (dead.select(*EVENT_COLUMNS, "raw", "error").write.mode("overwrite")
@@ -91,7 +96,7 @@ class BatchProcessor:
                 self.last_metrics = None
                 return
 
-            events = (checked.filter(F.col("error").isNull()).select(*EVENT_COLUMNS)
+            events = (checked.filter("error IS NULL").select(*EVENT_COLUMNS)
                       .withColumn("batch_id", F.lit(bid).cast("long")))
             rates = ip_rate(events, self.cfg, single_batch=True).persist(StorageLevel.MEMORY_AND_DISK)
             # Size check before any broadcast: the bot set of this batch
