@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
+from surgeflow.functions.columns import reusable
 
 # Fixed values for runs on the driver's tables: the day is the batch, and the
 # rule uses 5.5 events per day with a 5 s floor (the 5 events/s default flags
@@ -33,8 +34,13 @@ def load(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
 
 def clickstream(raw: DataFrame) -> DataFrame:
     """Six message fields with a parsed ``event_ts`` and the day ``batch_id``."""
+    return raw.select(*_clickstream_columns())
+
+
+@reusable
+def _clickstream_columns():
     k = F.from_json(F.col("props"), "k bigint").getField("k")
-    return raw.select(
+    return (
         F.format_string("%032x", F.col("event_id")).alias("event_id"),
         F.format_string("user_%06d", F.col("user_id")).alias("user_id"),
         F.col("event_type").alias("action"),
@@ -55,6 +61,12 @@ def batch_midnight(batch_id="batch_id"):
     return F.date_add(F.lit(EPOCH_DAY).cast("date"), b.cast("int")).cast("timestamp")
 
 
+@reusable
+def midnight_stamp():
+    """``batch_midnight()`` of the ``batch_id`` column, built once."""
+    return batch_midnight()
+
+
 def surrogate_stamps(raw: DataFrame) -> DataFrame:
     """(batch_id, batch_ts, processing_time_ms) standing in for wall-clock
     fields, from the raw events table.
@@ -62,10 +74,16 @@ def surrogate_stamps(raw: DataFrame) -> DataFrame:
     processing_time_ms = sum(source event id mod 97) per batch, a deterministic
     stand-in for the elapsed time of a real micro-batch.
     """
-    return (raw.groupBy(F.datediff(F.col("ts"), F.lit(EPOCH_DAY)).cast("long").alias("batch_id"))
-            .agg(F.sum(F.pmod(F.col("event_id"), F.lit(PROCESSING_MS_MODULUS))).cast("long")
-                 .alias("processing_time_ms"))
-            .withColumn("batch_ts", batch_midnight()))
+    key, ms, stamp = _stamp_columns()
+    return raw.groupBy(key).agg(ms).select("batch_id", stamp, "processing_time_ms")
+
+
+@reusable
+def _stamp_columns():
+    return (F.datediff(F.col("ts"), F.lit(EPOCH_DAY)).cast("long").alias("batch_id"),
+            F.sum(F.pmod(F.col("event_id"), F.lit(PROCESSING_MS_MODULUS))).cast("long")
+            .alias("processing_time_ms"),
+            batch_midnight().alias("batch_ts"))
 
 
 def is_bot_label(user_id="user_id"):

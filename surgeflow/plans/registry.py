@@ -37,7 +37,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 def _tables(spark: SparkSession, sf: str) -> Tables:
     raw = fixture.load(spark, sf)
     return derive_tables(fixture.clickstream(raw), CFG, fixture.surrogate_stamps(raw),
-                         fixture.batch_midnight())
+                         fixture.midnight_stamp())
 
 
 def _out_events(df: DataFrame, extra: list[str] = ()) -> DataFrame:
