@@ -76,6 +76,14 @@ class Tables:
         stamps = self._stamps.select("batch_id", "batch_ts", "processing_time_ms")
         return batch_metrics(self.rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
 
+    @property
+    def window_start(self) -> Column:
+        return self._window_start
+
+    @property
+    def stamps(self) -> DataFrame:
+        return self._stamps
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {"events_clean": self.clean, "events_flagged": self.flagged,
                 "events_agg": self.agg, "pipeline_metrics": self.metrics}
@@ -87,3 +95,33 @@ def derive_tables(events: DataFrame, cfg: DetectorConfig, stamps: DataFrame,
     (batch_id, batch_ts, processing_time_ms). ``window_start``: the stamp of
     each row's aggregate key."""
     return Tables(events, cfg, stamps, window_start)
+
+
+def write_history(tables: Tables, root: str, work_root: str) -> None:
+    """Backfill the four tables for every batch in ``tables``.
+
+    The per-(batch, IP) verdicts are written once to ``work_root`` (a table in
+    the shared folder: it cuts the lineage and survives executor loss), and
+    every output reads them instead of re-deriving the rule. The aggregate
+    deltas are counted from the written clean table, and the metrics rows are
+    written last: each batch becomes visible to readers only when all of its
+    tables are in place. Events are read by the two rate aggregates and the
+    two split joins, nothing else.
+    """
+    from surgeflow.operators.detect import batch_metrics as _metrics
+    from surgeflow.sources.sinks import write_batches
+    from surgeflow.sources.tables import read_raw_table
+
+    spark = tables.events.sparkSession
+    rates_path = f"{work_root.rstrip('/')}/rates"
+    tables.rates.write.mode("overwrite").parquet(rates_path)
+    rates = spark.read.parquet(rates_path)
+    clean, flagged = split_events(tables.events, rates)
+    write_batches(clean, root, "events_clean", sort_by=["event_ts"])
+    write_batches(flagged, root, "events_flagged", sort_by=["event_ts"])
+    stored_clean = read_raw_table(spark, root, "events_clean").join(
+        rates.select("batch_id").distinct(), "batch_id", "left_semi")
+    write_batches(events_agg(stored_clean, tables.window_start), root, "events_agg")
+    stamps = tables.stamps.select("batch_id", "batch_ts", "processing_time_ms")
+    metrics = _metrics(rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
+    write_batches(metrics, root, "pipeline_metrics")

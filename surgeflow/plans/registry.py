@@ -20,7 +20,7 @@ from surgeflow.operators.detect import (batch_span, conservation, flag_reason, i
 from surgeflow.operators.partitioning import placement, reconcile_counts, shard_distribution
 from surgeflow.plans import analytics as A
 from surgeflow.plans import quality as Q
-from surgeflow.plans.history import Tables, derive_tables
+from surgeflow.plans.history import Tables, derive_tables, write_history
 from surgeflow.schema import DISTRIBUTION_COLUMN, EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.session import scratch_dir
 from surgeflow.sources.messages import encode_messages, parse_events, with_validation
@@ -118,15 +118,12 @@ def q_conservation(spark, sf):
 
 
 def q_micro_batch_split(spark, sf):
-    """The whole split written through the replay-safe table protocol (data
-    tables first, metrics last as the commit mark) and read back committed."""
-    t = _tables(spark, sf)
+    """The whole split backfilled through the replay-safe table protocol
+    (verdicts once, data tables, metrics last as the commit mark) and read
+    back committed."""
     root = scratch_dir(spark, "split")
-    write_batches(t.clean, root, "events_clean", sort_by=["event_ts"])
-    write_batches(t.flagged, root, "events_flagged", sort_by=["event_ts"])
-    write_batches(t.agg_deltas, root, "events_agg")
-    write_batches(t.metrics, root, "pipeline_metrics")
-    m = read_table(spark, root, "pipeline_metrics")
+    write_history(_tables(spark, sf), f"{root}/tables", f"{root}/work")
+    m = read_table(spark, f"{root}/tables", "pipeline_metrics")
     return m.select(*[ntz(c).alias(c) if c == "batch_ts" else F.col(c) for c in METRIC_COLUMNS])
 
 
