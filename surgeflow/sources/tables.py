@@ -4,6 +4,12 @@ Layout: ``<root>/<table>/batch_id=<id>/part-*.parquet``. A batch's directory
 is replaced as a whole, which makes writes idempotent under replay.
 ``pipeline_metrics`` is written last and serves as the commit mark: readers
 keep only batches that have a metrics row.
+
+Closed ranges of batches are compacted into
+``<root>/<table>_compacted/upto=<id>/`` (``batch_id`` as a data column); a
+reader takes every compacted range plus the live batches above the highest
+compacted id, so a range is never counted twice while its live directories
+are being removed.
 """
 
 from __future__ import annotations
@@ -41,13 +47,59 @@ def batch_path(root: str, table: str, batch_id: int) -> str:
     return f"{table_path(root, table)}/batch_id={int(batch_id)}"
 
 
+COMPACTED = "_compacted"
+
+
+def compacted_path(root: str, table: str) -> str:
+    return f"{table_path(root, table)}{COMPACTED}"
+
+
+def _children(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+
+def compacted_ranges(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Upper batch ids of the compacted ranges of a table (directory names;
+    one per compaction run, so a short list)."""
+    names = _children(spark, compacted_path(root, table), "upto=")
+    return sorted(int(n.split("=", 1)[1]) for n in names)
+
+
+def _live(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    path = table_path(root, table)
+    if not _children(spark, path, "batch_id="):
+        return None
+    return spark.read.schema(TABLE_SCHEMAS[table]).option("basePath", path).parquet(path)
+
+
+def _parts(spark: SparkSession, root: str, table: str):
+    """(compacted rows or None, live rows above the compacted range or None)."""
+    schema = TABLE_SCHEMAS[table]
+    uptos = compacted_ranges(spark, root, table)
+    live = _live(spark, root, table)
+    if not uptos:
+        return None, live
+    cp = compacted_path(root, table)
+    comp = spark.read.schema(schema).parquet(*[f"{cp}/upto={u}" for u in uptos])
+    if live is not None:
+        live = live.filter(F.col("batch_id") > F.lit(max(uptos)))
+    return comp.select(*schema.fieldNames()), live
+
+
 def read_raw_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All batches of a table, committed or not, with a typed ``batch_id``."""
-    schema = TABLE_SCHEMAS[table]
-    path = table_path(root, table)
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    comp, live = _parts(spark, root, table)
+    frames = [f for f in (comp, live) if f is not None]
+    if not frames:
+        return spark.createDataFrame([], TABLE_SCHEMAS[table])
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select(*TABLE_SCHEMAS[table].fieldNames())
 
 
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
@@ -55,14 +107,62 @@ def committed_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, table: str, committed_only: bool = True) -> DataFrame:
-    """A stored table for analysis. With ``committed_only`` rows of batches
-    without a metrics row (a batch cut off between its writes) are hidden; the
-    semi join on the partition column lets dynamic partition pruning skip
-    their directories."""
-    df = read_raw_table(spark, root, table)
-    if committed_only and table not in ("pipeline_metrics", "dead_letter"):
-        df = df.join(committed_batches(spark, root), "batch_id", "left_semi")
-    return df
+    """A stored table for analysis. With ``committed_only`` rows of live
+    batches without a metrics row (a batch cut off between its writes) are
+    hidden; the semi join on the partition column lets dynamic partition
+    pruning skip their directories. Compacted ranges hold committed rows only."""
+    if not committed_only or table in ("pipeline_metrics", "dead_letter"):
+        return read_raw_table(spark, root, table)
+    comp, live = _parts(spark, root, table)
+    if live is not None:
+        live = live.join(committed_batches(spark, root), "batch_id", "left_semi")
+    frames = [f for f in (comp, live) if f is not None]
+    if not frames:
+        return spark.createDataFrame([], TABLE_SCHEMAS[table])
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out.select(*TABLE_SCHEMAS[table].fieldNames())
+
+
+def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
+    """Rewrite the committed live batches ``<= upto`` of a table into one
+    compacted range; only for closed batches that will not be replayed.
+
+    The range is written under a temporary name, renamed into place, and only
+    then are its live directories removed; a reader in between sees the
+    compacted copy and ignores the live one. Aggregate deltas are summed per
+    key on the way (the upsert view's result is unchanged); other tables keep
+    their rows, sorted by batch. Returns whether anything was compacted.
+    """
+    import uuid
+
+    from surgeflow.schema import AGG_KEY
+
+    done = compacted_ranges(spark, root, table)
+    lo = max(done) if done else None
+    if lo is not None and upto <= lo:
+        return False
+    rows = read_table(spark, root, table, committed_only=True)
+    rows = rows.filter(F.col("batch_id") <= F.lit(int(upto)))
+    if lo is not None:
+        rows = rows.filter(F.col("batch_id") > F.lit(lo))
+    if table == "events_agg":
+        rows = (rows.groupBy(*AGG_KEY).agg(F.sum("event_count").cast("long").alias("event_count"))
+                .withColumn("batch_id", F.lit(int(upto)).cast("long")))
+    rows = rows.select(*TABLE_SCHEMAS[table].fieldNames())
+    cp = compacted_path(root, table)
+    tmp = f"{cp}/_tmp-{uuid.uuid4().hex[:12]}"
+    rows.hint("rebalance").sortWithinPartitions("batch_id").write.mode("overwrite").parquet(tmp)
+    fs, src = _fs_path(spark, tmp)
+    _, dst = _fs_path(spark, f"{cp}/upto={int(upto)}")
+    if not fs.rename(src, dst):
+        raise RuntimeError(f"could not move compacted range into {cp}/upto={upto}")
+    for name in _children(spark, table_path(root, table), "batch_id="):
+        b = int(name.split("=", 1)[1])
+        if b <= upto:
+            delete_path(spark, f"{table_path(root, table)}/{name}")
+    return True
 
 
 def register_views(spark: SparkSession, root: str, committed_only: bool = True) -> None:
@@ -90,3 +190,10 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
         return reader.jdbc(url, table, column=partition_column, lowerBound=lower,
                            upperBound=upper, numPartitions=num_partitions, properties=properties)
     return reader.jdbc(url, table, properties=properties)
+
+
+def compact_closed(spark: SparkSession, root: str, upto: int) -> dict[str, bool]:
+    """Compact every table up to a closed batch id: data tables first, the
+    commit marks (metrics) last."""
+    order = ["dead_letter", "events_clean", "events_flagged", "events_agg", "pipeline_metrics"]
+    return {t: compact(spark, root, t, upto) for t in order}
