@@ -3,7 +3,7 @@ Python evaluation of the rule on the same small inputs."""
 
 import datetime as dt
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

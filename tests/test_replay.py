@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from surgeflow.config import FixedClock
 from surgeflow.sources.sinks import append_jdbc, write_partition
 from surgeflow.sources.tables import TABLES, read_raw_table, read_table
 from surgeflow.streaming.micro_batch import BatchProcessor

@@ -2,13 +2,10 @@
 
 import datetime as dt
 
-import pytest
-from pyspark.sql import functions as F
-
 from surgeflow.config import DetectorConfig
 from surgeflow.operators.detect import batch_metrics, batch_span, ip_rate, split_events
 from surgeflow.sources.messages import encode_messages, parse_events, validate_events
-from tests.helpers import DEFAULT, batch, messages_df, msg, spread, with_batch
+from tests.helpers import DEFAULT, batch, msg, spread, with_batch
 
 
 def _rates(spark, texts, cfg=DEFAULT):

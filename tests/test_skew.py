@@ -6,7 +6,6 @@ import contextlib
 import glob
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig

@@ -2,7 +2,6 @@
 over the same tables."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from surgeflow import fixture
 from surgeflow.operators.aggregate import upsert_view
