@@ -103,3 +103,22 @@ def test_streaming_message_rate(spark, stream_dir, tmp_path):
     want = {r["window_start"]: r["messages"]
             for r in message_rate(fixture.clickstream_of(spark, SF["0.001"])).collect()}
     assert got and all(want[k] == v for k, v in got.items())
+
+
+def test_cli_runs_file_stream_into_shared_folder(spark, stream_dir, tmp_path):
+    import shutil
+
+    from surgeflow.streaming.job import main, stream_config
+    src, _ = stream_dir
+    small = tmp_path / "in"
+    small.mkdir()
+    for name in sorted(os.listdir(src))[:3]:
+        shutil.copy(os.path.join(src, name), small / name)
+    name = f"cli-{os.getpid()}"
+    main(["--json-path", str(small), "--available-now", "--name", name,
+          "--rate", str(fixture.FIXTURE_CONFIG.rate_per_sec)])
+    scfg = stream_config(spark, name)
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scfg.sink_root.startswith(base) and scfg.checkpoint_location.startswith(base)
+    m = read_table(spark, scfg.sink_root, "pipeline_metrics")
+    assert m.count() == 3
