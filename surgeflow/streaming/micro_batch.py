@@ -6,7 +6,8 @@
    yields the raw and dead-letter counts;
 2. clear this batch's metrics row (the commit mark) before touching data;
 3. write dead letters, clean rows, flagged rows and the aggregate delta, each
-   replacing its own ``batch_id=<id>`` directory;
+   replacing its own ``batch_id=<id>`` directory (independent writes, run as
+   concurrent Spark jobs);
 4. compute the metrics row from the per-IP verdicts and write it last.
 
 A replay therefore rewrites the same directories, and a batch cut off
@@ -17,6 +18,8 @@ wrote. Nothing but one counts row is brought to the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +51,9 @@ class BatchProcessor:
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
                  fail_after: str | None = None, log=None,
-                 max_broadcast_pairs: int = 500_000):
+                 max_broadcast_pairs: int = 500_000, parallel_writes: bool = True):
         self.cfg = cfg
+        self.parallel_writes = parallel_writes
         self.max_broadcast_pairs = max_broadcast_pairs
         self.root = sink_root
         self.clock = clock or WallClock()
@@ -61,6 +65,36 @@ class BatchProcessor:
         if self.fail_after == table:
             raise RuntimeError(f"injected failure after writing {table}")
 
+    def _write_dead(self, checked: DataFrame, spark, bid: int, n_dead: int) -> None:
+        if not n_dead:
+            clear_batch(spark, self.root, "dead_letter", bid)
+            return
+        dead = checked.filter("error IS NOT NULL")
+        if "raw" not in dead.columns:
+            dead = dead.withColumn("raw", F.lit(None).cast("string"))
+        (dead.select(*EVENT_COLUMNS, "raw", "error").write.mode("overwrite")
+         .parquet(f"{self.root}/dead_letter/batch_id={bid}"))
+
+    def _run(self, writes) -> None:
+        """Run the independent table writes of a batch; concurrently as
+        separate Spark jobs when ``parallel_writes`` (they share the persisted
+        batch and verdicts, and each is mostly planning and commit latency).
+        Every write finishes before the first failure is re-raised, and the
+        metrics mark is written only after all of them succeed."""
+        def one(table, fn):
+            fn()
+            self._maybe_fail(table)
+
+        if not self.parallel_writes or len(writes) == 1:
+            for table, fn in writes:
+                one(table, fn)
+            return
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            futures = [pool.submit(one, t, fn) for t, fn in writes]
+        errors = [f.exception() for f in futures if f.exception() is not None]
+        if errors:
+            raise errors[0]
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         start = self.clock.monotonic()
@@ -80,19 +114,11 @@ class BatchProcessor:
                 self.last_metrics = None
                 return
 
-            if n_dead:
-                dead = checked.filter("error IS NOT NULL")
-                if "raw" not in dead.columns:
-                    dead = dead.withColumn("raw", F.lit(None).cast("string"))
-                (dead.select(*EVENT_COLUMNS, "raw", "error").write.mode("overwrite")
-                 .parquet(f"{self.root}/dead_letter/batch_id={bid}"))
-            else:
-                clear_batch(spark, self.root, "dead_letter", bid)
-            self._maybe_fail("dead_letter")
-
+            writes = [("dead_letter", lambda: self._write_dead(checked, spark, bid, n_dead))]
             if n_raw == n_dead:
                 for t in DATA_TABLES[1:]:
                     clear_batch(spark, self.root, t, bid)
+                self._run(writes)
                 self.last_metrics = None
                 return
 
@@ -104,13 +130,16 @@ class BatchProcessor:
             # chooses from the measured size (sort-merge + skew split).
             bounded = max_bot_pairs(n_raw - n_dead, self.cfg) <= self.max_broadcast_pairs
             clean, flagged = split_events(events, rates, broadcast_bots=bounded)
-            write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])
-            self._maybe_fail("events_clean")
-            write_partition(flagged, self.root, "events_flagged", bid, sort_by=["event_ts"])
-            self._maybe_fail("events_flagged")
             window_start = F.lit(stamp).cast("timestamp")
-            write_agg_delta(events_agg(clean, window_start), self.root, bid)
-            self._maybe_fail("events_agg")
+            writes += [
+                ("events_clean",
+                 lambda: write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])),
+                ("events_flagged",
+                 lambda: write_partition(flagged, self.root, "events_flagged", bid, sort_by=["event_ts"])),
+                ("events_agg",
+                 lambda: write_agg_delta(events_agg(clean, window_start), self.root, bid)),
+            ]
+            self._run(writes)
 
             elapsed_ms = int(round((self.clock.monotonic() - start) * 1000))
             metrics = (batch_metrics(rates)
