@@ -109,7 +109,7 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     two split joins, nothing else.
     """
     from surgeflow.operators.detect import batch_metrics as _metrics
-    from surgeflow.sources.sinks import write_batches
+    from surgeflow.sources.sinks import run_writes, write_batches
     from surgeflow.sources.tables import read_raw_table
 
     spark = tables.events.sparkSession
@@ -117,8 +117,8 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     tables.rates.write.mode("overwrite").parquet(rates_path)
     rates = spark.read.parquet(rates_path)
     clean, flagged = split_events(tables.events, rates)
-    write_batches(clean, root, "events_clean", sort_by=["event_ts"])
-    write_batches(flagged, root, "events_flagged", sort_by=["event_ts"])
+    run_writes([lambda: write_batches(clean, root, "events_clean", sort_by=["event_ts"]),
+                lambda: write_batches(flagged, root, "events_flagged", sort_by=["event_ts"])])
     stored_clean = read_raw_table(spark, root, "events_clean").join(
         rates.select("batch_id").distinct(), "batch_id", "left_semi")
     write_batches(events_agg(stored_clean, tables.window_start), root, "events_agg")

@@ -18,8 +18,6 @@ wrote. Nothing but one counts row is brought to the driver.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +28,8 @@ from surgeflow.operators.aggregate import events_agg
 from surgeflow.operators.detect import batch_metrics, ip_rate, max_bot_pairs, split_events
 from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.messages import validation_error
-from surgeflow.sources.sinks import (clear_batch, write_agg_delta, write_batch_metrics,
-                                     write_partition)
+from surgeflow.sources.sinks import (clear_batch, run_writes, write_agg_delta,
+                                     write_batch_metrics, write_partition)
 
 DATA_TABLES = ["dead_letter", "events_clean", "events_flagged", "events_agg"]
 
@@ -76,24 +74,14 @@ class BatchProcessor:
          .parquet(f"{self.root}/dead_letter/batch_id={bid}"))
 
     def _run(self, writes) -> None:
-        """Run the independent table writes of a batch; concurrently as
-        separate Spark jobs when ``parallel_writes`` (they share the persisted
-        batch and verdicts, and each is mostly planning and commit latency).
-        Every write finishes before the first failure is re-raised, and the
+        """The independent table writes of a batch (see ``run_writes``); the
         metrics mark is written only after all of them succeed."""
         def one(table, fn):
-            fn()
-            self._maybe_fail(table)
-
-        if not self.parallel_writes or len(writes) == 1:
-            for table, fn in writes:
-                one(table, fn)
-            return
-        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-            futures = [pool.submit(one, t, fn) for t, fn in writes]
-        errors = [f.exception() for f in futures if f.exception() is not None]
-        if errors:
-            raise errors[0]
+            def go():
+                fn()
+                self._maybe_fail(table)
+            return go
+        run_writes([one(t, fn) for t, fn in writes], parallel=self.parallel_writes)
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
