@@ -91,3 +91,14 @@ def test_append_jdbc_skips_empty(spark):
     # No database is started in tests; an empty frame must not even connect.
     empty = spark.createDataFrame([], "a int")
     assert append_jdbc(empty, "jdbc:invalid://nowhere", "t", {}) is False
+
+
+def test_replay_with_fewer_rows_leaves_no_stale_rows(spark, sink_root):
+    proc = BatchProcessor(DEFAULT, sink_root, CLOCK)
+    proc(t2_batch(spark), 6)
+    proc(batch(spark, spread(4, "1.1.1.1", 4.0, start=100)), 6)
+    s = snapshot(spark, sink_root)
+    assert len(s["events_clean"]) == 4 and len(s["events_flagged"]) == 0
+    assert len(s["dead_letter"]) == 0
+    (m,) = read_table(spark, sink_root, "pipeline_metrics").collect()
+    assert (m["total_events"], m["flagged_events"]) == (4, 0)
