@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from surgeflow import fixture
 from surgeflow.functions.columns import ntz
 from surgeflow.operators.aggregate import upsert_view
-from surgeflow.operators.detect import (batch_span, conservation, flag_reason, ip_rate,
-                                        split_events)
+from surgeflow.operators.detect import batch_span, conservation, flag_reason
 from surgeflow.operators.partitioning import placement, reconcile_counts, shard_distribution
 from surgeflow.plans import analytics as A
 from surgeflow.plans import quality as Q
@@ -63,29 +62,25 @@ def q_validate_events(spark, sf):
 
 
 def q_batch_span(spark, sf):
-    return (batch_span(_events(spark, sf), CFG)
+    return (batch_span(_tables(spark, sf).events, CFG)
             .select("batch_id", "total_events", ntz("min_ts").alias("min_ts"),
                     ntz("max_ts").alias("max_ts"), "raw_span_sec", "span_sec", "threshold"))
 
 
 def q_ip_rate(spark, sf):
-    return ip_rate(_events(spark, sf), CFG).drop("reason")
+    return _tables(spark, sf).rates.drop("reason")
 
 
 def q_flag_reason(spark, sf):
-    return flag_reason(ip_rate(_events(spark, sf), CFG))
+    return flag_reason(_tables(spark, sf).rates)
 
 
 def q_flagged_events(spark, sf):
-    ev = _events(spark, sf)
-    _, flagged = split_events(ev, ip_rate(ev, CFG))
-    return _out_events(flagged, ["batch_id", "reason"])
+    return _out_events(_tables(spark, sf).flagged, ["batch_id", "reason"])
 
 
 def q_clean_events(spark, sf):
-    ev = _events(spark, sf)
-    clean, _ = split_events(ev, ip_rate(ev, CFG))
-    return _out_events(clean, ["batch_id"])
+    return _out_events(_tables(spark, sf).clean, ["batch_id"])
 
 
 def q_events_agg(spark, sf):
@@ -188,8 +183,9 @@ def q_reconcile_counts(spark, sf):
 
 
 def q_detection_accuracy(spark, sf):
-    ev = _events(spark, sf).withColumn("is_bot_label", fixture.is_bot_label())
-    return Q.detection_accuracy(ev, ip_rate(ev, CFG), "is_bot_label")
+    t = _tables(spark, sf)
+    ev = t.events.withColumn("is_bot_label", fixture.is_bot_label())
+    return Q.detection_accuracy(ev, t.rates, "is_bot_label")
 
 
 def fixture_phases(spark: SparkSession, days: int = 30) -> DataFrame:
