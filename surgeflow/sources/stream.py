@@ -17,6 +17,7 @@ class SourceConfig:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
     path: str = ""
     max_files_per_trigger: int | None = None
     extra: dict = field(default_factory=dict)
@@ -24,7 +25,9 @@ class SourceConfig:
 
 def kafka_options(conf: SourceConfig) -> dict[str, str]:
     """Reader options: one topic, start at latest, tolerate lost offsets,
-    optional cap of offsets per trigger (backpressure)."""
+    optional cap of offsets per trigger (backpressure) and a minimum number
+    of Spark partitions per batch (splits each topic partition's offset range
+    so parsing and validation are not limited to one task per topic partition)."""
     opts = {
         "kafka.bootstrap.servers": conf.bootstrap_servers,
         "subscribe": conf.topic,
@@ -33,6 +36,8 @@ def kafka_options(conf: SourceConfig) -> dict[str, str]:
     }
     if conf.max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(conf.max_offsets_per_trigger)
+    if conf.min_partitions:
+        opts["minPartitions"] = str(conf.min_partitions)
     opts.update(conf.extra)
     return opts
 

@@ -66,13 +66,16 @@ def main(argv=None) -> None:
     ap.add_argument("--rate", type=float, default=5.0, help="events per second per IP")
     ap.add_argument("--trigger-seconds", type=int, default=5)
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    ap.add_argument("--min-partitions", type=int, default=None,
+                    help="Spark partitions per batch at least (splits Kafka offset ranges)")
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
     spark = build_session(app_name="surgeflow-stream")
     src = (SourceConfig(format="json-files", path=a.json_path, max_files_per_trigger=1)
            if a.json_path else
            SourceConfig(bootstrap_servers=a.bootstrap_servers, topic=a.topic,
-                        max_offsets_per_trigger=a.max_offsets_per_trigger))
+                        max_offsets_per_trigger=a.max_offsets_per_trigger,
+                        min_partitions=a.min_partitions))
     cfg = DetectorConfig(rate_per_sec=a.rate, floor_sec=float(a.trigger_seconds))
     scfg = stream_config(spark, a.name, a.sink_root, a.trigger_seconds, a.available_now)
     q = start_stream(read_event_stream(spark, src), cfg, scfg,

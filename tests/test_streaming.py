@@ -39,9 +39,10 @@ def stream_dir(spark, tmp_path_factory):
 
 
 def test_kafka_options():
-    o = kafka_options(SourceConfig(bootstrap_servers="b:9092", topic="t", max_offsets_per_trigger=1000))
+    o = kafka_options(SourceConfig(bootstrap_servers="b:9092", topic="t", max_offsets_per_trigger=1000,
+                                   min_partitions=48))
     assert o == {"kafka.bootstrap.servers": "b:9092", "subscribe": "t", "startingOffsets": "latest",
-                 "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+                 "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000", "minPartitions": "48"}
 
 
 def test_stream_equals_batch(spark, stream_dir, tmp_path):
