@@ -102,3 +102,13 @@ def test_replay_with_fewer_rows_leaves_no_stale_rows(spark, sink_root):
     assert len(s["dead_letter"]) == 0
     (m,) = read_table(spark, sink_root, "pipeline_metrics").collect()
     assert (m["total_events"], m["flagged_events"]) == (4, 0)
+
+
+def test_batch_of_only_bad_messages(spark, sink_root):
+    proc = BatchProcessor(DEFAULT, sink_root, CLOCK)
+    proc(t2_batch(spark), 8)                     # an earlier run of the same id
+    bad = batch(spark, ["not json", '{"event_id": "x"}', msg(1, None)])
+    proc(bad, 8)
+    s = snapshot(spark, sink_root, committed_only=False)
+    assert len(s["dead_letter"]) == 3
+    assert all(len(s[t]) == 0 for t in TABLES)  # cleared, and no commit mark
