@@ -16,7 +16,7 @@ def snapshot(spark, root, committed_only=True):
     for t in TABLES + ["dead_letter"]:
         df = read_table(spark, root, t, committed_only)
         cols = [c for c in df.columns if c not in ("ingested_at", "created_at")]
-        out[t] = sorted(tuple(r) for r in df.select(*cols).collect())
+        out[t] = sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
     return out
 
 
