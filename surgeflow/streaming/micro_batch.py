@@ -88,8 +88,11 @@ class BatchProcessor:
         start = self.clock.monotonic()
         stamp = self.clock.now()
         bid = int(batch_id)
-        checked = (batch_df.select(*EVENT_COLUMNS, *(["raw"] if "raw" in batch_df.columns else []))
-                   .withColumn("error", validation_error())
+        # The raw message text is kept only on rows that fail validation (for
+        # the dead letter), so the persisted batch holds parsed fields only.
+        raw = ([F.when(validation_error().isNotNull(), F.col("raw")).alias("raw")]
+               if "raw" in batch_df.columns else [])
+        checked = (batch_df.select(*EVENT_COLUMNS, *raw, validation_error().alias("error"))
                    .persist(StorageLevel.MEMORY_AND_DISK))
         rates = None
         try:
