@@ -16,6 +16,8 @@ from surgeflow.operators.aggregate import events_agg, upsert_view
 from surgeflow.operators.detect import batch_metrics, ip_rate, split_events
 from surgeflow.schema import METRIC_COLUMNS
 from surgeflow.sources.messages import validate_events
+from surgeflow.sources.sinks import run_writes, write_batches
+from surgeflow.sources.tables import read_raw_table
 
 
 class Tables:
@@ -108,10 +110,6 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     tables are in place. Events are read by the two rate aggregates and the
     two split joins, nothing else.
     """
-    from surgeflow.operators.detect import batch_metrics as _metrics
-    from surgeflow.sources.sinks import run_writes, write_batches
-    from surgeflow.sources.tables import read_raw_table
-
     spark = tables.events.sparkSession
     rates_path = f"{work_root.rstrip('/')}/rates"
     tables.rates.write.mode("overwrite").parquet(rates_path)
@@ -123,5 +121,5 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
         rates.select("batch_id").distinct(), "batch_id", "left_semi")
     write_batches(events_agg(stored_clean, tables.window_start), root, "events_agg")
     stamps = tables.stamps.select("batch_id", "batch_ts", "processing_time_ms")
-    metrics = _metrics(rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
+    metrics = batch_metrics(rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
     write_batches(metrics, root, "pipeline_metrics")

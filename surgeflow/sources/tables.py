@@ -14,10 +14,13 @@ are being removed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgeflow.schema import TABLE_SCHEMAS
+from surgeflow.operators.aggregate import upsert_view
+from surgeflow.schema import AGG_KEY, TABLE_SCHEMAS
 
 TABLES = ["events_clean", "events_flagged", "events_agg", "pipeline_metrics"]
 
@@ -135,10 +138,6 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
     key on the way (the upsert view's result is unchanged); other tables keep
     their rows, sorted by batch. Returns whether anything was compacted.
     """
-    import uuid
-
-    from surgeflow.schema import AGG_KEY
-
     done = compacted_ranges(spark, root, table)
     lo = max(done) if done else None
     if lo is not None and upto <= lo:
@@ -167,7 +166,6 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
 
 def register_views(spark: SparkSession, root: str, committed_only: bool = True) -> None:
     """Temp views named like the tables, for ``spark.sql`` users."""
-    from surgeflow.operators.aggregate import upsert_view
     for t in TABLES:
         df = read_table(spark, root, t, committed_only)
         if t == "events_agg":
