@@ -69,6 +69,8 @@ def main(argv=None) -> None:
     ap.add_argument("--min-partitions", type=int, default=None,
                     help="Spark partitions per batch at least (splits Kafka offset ranges)")
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--agg-window", default=None,
+                    help="key events_agg by an event-time bucket (e.g. minute) instead of the batch stamp")
     a = ap.parse_args(argv)
     spark = build_session(app_name="surgeflow-stream")
     src = (SourceConfig(format="json-files", path=a.json_path, max_files_per_trigger=1)
@@ -79,7 +81,8 @@ def main(argv=None) -> None:
     cfg = DetectorConfig(rate_per_sec=a.rate, floor_sec=float(a.trigger_seconds))
     scfg = stream_config(spark, a.name, a.sink_root, a.trigger_seconds, a.available_now)
     q = start_stream(read_event_stream(spark, src), cfg, scfg,
-                     processor=BatchProcessor(cfg, scfg.sink_root, log=print))
+                     processor=BatchProcessor(cfg, scfg.sink_root, log=print,
+                                              agg_window=a.agg_window))
     q.awaitTermination()
 
 

@@ -43,14 +43,17 @@ class BatchProcessor:
     """Callable ``(batch_df, batch_id)`` for ``writeStream.foreachBatch``.
 
     ``clock`` supplies the batch stamp and elapsed time (wall clock by
-    default, fixed in tests). ``fail_after`` names a table after whose write
+    default, fixed in tests). ``agg_window`` keys the aggregate deltas by an
+    event-time bucket instead of the batch stamp. ``fail_after`` names a table after whose write
     an exception is raised: fault injection for replay tests.
     """
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
                  fail_after: str | None = None, log=None,
-                 max_broadcast_pairs: int = 500_000, parallel_writes: bool = True):
+                 max_broadcast_pairs: int = 500_000, parallel_writes: bool = True,
+                 agg_window: str | None = None):
         self.cfg = cfg
+        self.agg_window = agg_window
         self.parallel_writes = parallel_writes
         self.max_broadcast_pairs = max_broadcast_pairs
         self.root = sink_root
@@ -121,7 +124,10 @@ class BatchProcessor:
             # chooses from the measured size (sort-merge + skew split).
             bounded = max_bot_pairs(n_raw - n_dead, self.cfg) <= self.max_broadcast_pairs
             clean, flagged = split_events(events, rates, broadcast_bots=bounded)
-            window_start = F.lit(stamp).cast("timestamp")
+            # Aggregate key: the batch stamp (as the original job), or an
+            # event-time bucket ("minute", "hour", ...) that a replay reproduces.
+            window_start = (F.date_trunc(self.agg_window, "event_ts") if self.agg_window
+                            else F.lit(stamp).cast("timestamp"))
             writes += [
                 ("events_clean",
                  lambda: write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])),

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from surgeflow.config import FixedClock
 from surgeflow.sources.sinks import append_jdbc, write_partition
 from surgeflow.sources.tables import TABLES, read_raw_table, read_table
 from surgeflow.streaming.micro_batch import BatchProcessor
@@ -112,3 +113,17 @@ def test_batch_of_only_bad_messages(spark, sink_root):
     s = snapshot(spark, sink_root, committed_only=False)
     assert len(s["dead_letter"]) == 3
     assert all(len(s[t]) == 0 for t in TABLES)  # cleared, and no commit mark
+
+
+def test_event_time_minute_aggregate_is_replay_stable(spark, sink_root):
+    import datetime as dt
+    texts = spread(5, "1.1.1.1", 100.0, start=100)        # 10:00:00 .. 10:01:40
+    BatchProcessor(DEFAULT, sink_root, CLOCK, agg_window="minute")(batch(spark, texts), 2)
+    first = sorted(tuple(r) for r in read_table(spark, sink_root, "events_agg")
+                   .select("window_start", "product_id", "event_count").collect())
+    assert {r[0] for r in first} == {dt.datetime(2026, 6, 18, 10, 0), dt.datetime(2026, 6, 18, 10, 1)}
+    other_clock = FixedClock(dt.datetime(2030, 1, 1))
+    BatchProcessor(DEFAULT, sink_root, other_clock, agg_window="minute")(batch(spark, texts), 2)
+    again = sorted(tuple(r) for r in read_table(spark, sink_root, "events_agg")
+                   .select("window_start", "product_id", "event_count").collect())
+    assert again == first
