@@ -7,10 +7,10 @@ wrote. Multi-batch writers use dynamic partition overwrite.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import InheritableThread
 from pyspark.sql import functions as F
 
 from surgeflow.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS, METRIC_COLUMNS
@@ -90,16 +90,30 @@ def run_writes(writes: list[Callable[[], None]], parallel: bool = True) -> None:
     """Run independent writes, as concurrent Spark jobs when ``parallel``.
 
     Each write is mostly planning and commit latency on the driver plus its
-    own tasks, so overlapping them fills the cluster better than a queue.
-    All writes finish before the first failure is re-raised, so a caller that
-    writes its commit mark afterwards never marks a partial batch.
+    own tasks, so overlapping them fills the cluster better than a queue. The
+    threads inherit the caller's local properties (scheduler pool, job group,
+    the streaming batch they belong to). All writes finish before the first
+    failure is re-raised, so a caller that writes its commit mark afterwards
+    never marks a partial batch.
     """
     if not parallel or len(writes) <= 1:
         for fn in writes:
             fn()
         return
-    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-        futures = [pool.submit(fn) for fn in writes]
-    errors = [f.exception() for f in futures if f.exception() is not None]
+    errors: list[BaseException] = []
+
+    def guarded(fn):
+        def go():
+            try:
+                fn()
+            except BaseException as e:  # re-raised in the caller below
+                errors.append(e)
+        return go
+
+    threads = [InheritableThread(target=guarded(fn)) for fn in writes]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
     if errors:
         raise errors[0]
