@@ -14,7 +14,7 @@ from surgeflow.plans.history import derive_tables
 from surgeflow.sources.messages import ISO_MICROS
 from surgeflow.sources.stream import SourceConfig, kafka_options, read_event_stream
 from surgeflow.sources.tables import read_table
-from surgeflow.streaming import start_message_rate, start_stream
+from surgeflow.streaming import BatchProcessor, start_message_rate, start_stream
 from tests.conftest import SF
 
 
@@ -123,3 +123,55 @@ def test_cli_runs_file_stream_into_shared_folder(spark, stream_dir, tmp_path):
     assert scfg.sink_root.startswith(base) and scfg.checkpoint_location.startswith(base)
     m = read_table(spark, scfg.sink_root, "pipeline_metrics")
     assert m.count() == 3
+
+
+class FailOnce(BatchProcessor):
+    """Fails once, after the flagged write of one batch: a crash mid-batch."""
+
+    def __init__(self, *a, fail_batch: int, **kw):
+        super().__init__(*a, **kw)
+        self.fail_batch = fail_batch
+        self.failed = False
+
+    def __call__(self, batch_df, batch_id):
+        self.fail_after = None
+        if batch_id == self.fail_batch and not self.failed:
+            self.failed = True
+            self.fail_after = "events_flagged"
+        return super().__call__(batch_df, batch_id)
+
+
+def test_crash_mid_batch_then_restart_equals_clean_run(spark, stream_dir, tmp_path):
+    path, _ = stream_dir
+    conf = SourceConfig(format="json-files", path=path, max_files_per_trigger=10)
+    clock = FixedClock(dt.datetime(2024, 2, 1))
+
+    def run(root, ckpt, proc):
+        scfg = StreamConfig(sink_root=root, checkpoint_location=ckpt, available_now=True)
+        q = start_stream(read_event_stream(spark, conf), fixture.FIXTURE_CONFIG, scfg, clock,
+                         processor=proc)
+        try:
+            q.awaitTermination(600)
+        except Exception:
+            pass
+        return q
+
+    ok_root = str(tmp_path / "ok")
+    run(ok_root, str(tmp_path / "ok_ckpt"), BatchProcessor(fixture.FIXTURE_CONFIG, ok_root, clock))
+
+    root, ckpt = str(tmp_path / "t"), str(tmp_path / "c")
+    crashing = FailOnce(fixture.FIXTURE_CONFIG, root, clock, fail_batch=1)
+    q = run(root, ckpt, crashing)
+    assert crashing.failed and q.exception() is not None
+    assert read_table(spark, root, "pipeline_metrics").count() == 1   # batch 1 not committed
+    q = run(root, ckpt, crashing)                                      # restart: batch 1 replayed
+    assert q.exception() is None
+
+    def rows(r, t, cols):
+        return sorted(tuple(x) for x in read_table(spark, r, t).select(*cols).collect())
+    ev_cols = ["event_id", "ip_address", "event_ts", "batch_id"]
+    for t, cols in (("events_clean", ev_cols), ("events_flagged", ev_cols + ["reason"]),
+                    ("events_agg", ["batch_id", "window_start", "product_id", "action", "event_count"]),
+                    ("pipeline_metrics", ["batch_id", "total_events", "legit_events",
+                                          "flagged_events", "distinct_ips", "distinct_flagged_ips"])):
+        assert rows(root, t, cols) == rows(ok_root, t, cols), t
