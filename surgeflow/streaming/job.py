@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from surgeflow.config import DetectorConfig, StreamConfig
 from surgeflow.session import build_session, shared_dir
 from surgeflow.sources.stream import SourceConfig, read_event_stream
+from surgeflow.sources.tables import compact_closed
 from surgeflow.plans.analytics import message_rate
 from surgeflow.streaming.micro_batch import BatchProcessor
 
@@ -69,6 +70,8 @@ def main(argv=None) -> None:
     ap.add_argument("--min-partitions", type=int, default=None,
                     help="Spark partitions per batch at least (splits Kafka offset ranges)")
     ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--compact-upto", type=int, default=None,
+                    help="maintenance: compact the closed batches <= this id of the sink and exit")
     ap.add_argument("--agg-window", default=None,
                     help="key events_agg by an event-time bucket (e.g. minute) instead of the batch stamp")
     a = ap.parse_args(argv)
@@ -80,6 +83,9 @@ def main(argv=None) -> None:
                         min_partitions=a.min_partitions))
     cfg = DetectorConfig(rate_per_sec=a.rate, floor_sec=float(a.trigger_seconds))
     scfg = stream_config(spark, a.name, a.sink_root, a.trigger_seconds, a.available_now)
+    if a.compact_upto is not None:
+        print(compact_closed(spark, scfg.sink_root, a.compact_upto))
+        return
     q = start_stream(read_event_stream(spark, src), cfg, scfg,
                      processor=BatchProcessor(cfg, scfg.sink_root, log=print,
                                               agg_window=a.agg_window))

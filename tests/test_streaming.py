@@ -123,6 +123,10 @@ def test_cli_runs_file_stream_into_shared_folder(spark, stream_dir, tmp_path):
     assert scfg.sink_root.startswith(base) and scfg.checkpoint_location.startswith(base)
     m = read_table(spark, scfg.sink_root, "pipeline_metrics")
     assert m.count() == 3
+    main(["--name", name, "--compact-upto", "1"])             # maintenance run
+    m = read_table(spark, scfg.sink_root, "pipeline_metrics")
+    assert sorted(r[0] for r in m.select("batch_id").collect()) == [0, 1, 2]
+    assert sorted(os.listdir(os.path.join(scfg.sink_root, "events_clean"))) == ["batch_id=2"]
 
 
 class FailOnce(BatchProcessor):
