@@ -91,13 +91,15 @@ def q_events_agg(spark, sf):
 
 def q_upsert_events_agg(spark, sf):
     """Deltas go through the sink (one directory per batch, dynamic
-    overwrite, written twice to show a replay adds nothing) and are read back
-    through the additive view."""
-    t = _tables(spark, sf)
+    overwrite) twice, as a replay of every batch would, and are read back
+    through the additive view: the replay adds nothing. The deltas are
+    computed once into a work table in the shared folder."""
     root = scratch_dir(spark, "upsert")
-    write_batches(t.agg_deltas, root, "events_agg")
-    write_batches(t.agg_deltas, root, "events_agg")
-    view = upsert_view(read_raw_table(spark, root, "events_agg"))
+    _tables(spark, sf).agg_deltas.write.parquet(f"{root}/work/deltas")
+    deltas = spark.read.parquet(f"{root}/work/deltas")
+    write_batches(deltas, f"{root}/tables", "events_agg")
+    write_batches(deltas, f"{root}/tables", "events_agg")
+    view = upsert_view(read_raw_table(spark, f"{root}/tables", "events_agg"))
     return view.select(ntz("window_start").alias("window_start"), "product_id", "action", "event_count")
 
 
