@@ -44,8 +44,11 @@ class BatchProcessor:
 
     ``clock`` supplies the batch stamp and elapsed time (wall clock by
     default, fixed in tests). ``agg_window`` keys the aggregate deltas by an
-    event-time bucket instead of the batch stamp. ``fail_after`` names a table after whose write
-    an exception is raised: fault injection for replay tests.
+    event-time bucket instead of the batch stamp. ``max_broadcast_pairs`` is
+    the size limit under which the bounded bot set is broadcast.
+    ``parallel_writes`` runs the independent table writes as concurrent jobs.
+    ``fail_after`` names a table after whose write an exception is raised:
+    fault injection for replay tests.
     """
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
