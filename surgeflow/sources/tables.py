@@ -106,7 +106,12 @@ def read_raw_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
-    return read_raw_table(spark, root, "pipeline_metrics").select("batch_id")
+    """Batch ids that have a metrics row. Every metrics row has events (an
+    empty batch writes none), and stating that predicate lets Catalyst treat
+    this side as selective and prune the data table's batch directories
+    dynamically instead of reading them and dropping the rows."""
+    return (read_raw_table(spark, root, "pipeline_metrics")
+            .filter(F.col("total_events") > 0).select("batch_id"))
 
 
 def read_table(spark: SparkSession, root: str, table: str, committed_only: bool = True) -> DataFrame:

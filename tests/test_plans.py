@@ -64,3 +64,16 @@ def test_message_rate_single_scan_partial_agg(spark):
     p = plan_text(queries()["message_rate"](spark, SF["0.001"]))
     assert p.count("FileScan parquet") == 1
     assert "partial_count" in p
+
+
+def test_committed_read_prunes_batch_directories(spark, tmp_path):
+    from surgeflow.plans.registry import _tables
+    from surgeflow.sources.sinks import write_batches
+    from surgeflow.sources.tables import read_table
+    root = str(tmp_path / "t")
+    t = _tables(spark, SF["0.001"])
+    write_batches(t.clean, root, "events_clean")
+    write_batches(t.metrics.filter("batch_id < 5"), root, "pipeline_metrics")
+    df = read_table(spark, root, "events_clean")
+    assert {r[0] for r in df.select("batch_id").distinct().collect()} <= set(range(5))
+    assert "dynamicpruningexpression(batch_id" in plan_text(df)
