@@ -13,7 +13,8 @@
 A replay therefore rewrites the same directories, and a batch cut off
 between writes stays invisible to readers until its metrics row exists. An
 empty batch writes nothing and clears what an earlier run of the same id
-wrote. Nothing but one counts row is brought to the driver.
+wrote. A batch id inside a compacted (closed) range is refused. Nothing but
+one counts row is brought to the driver.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.messages import validation_error
 from surgeflow.sources.sinks import (clear_batch, run_writes, write_agg_delta,
                                      write_batch_metrics, write_partition)
+from surgeflow.sources.tables import compacted_ranges
 
 DATA_TABLES = ["dead_letter", "events_clean", "events_flagged", "events_agg"]
 
@@ -94,6 +96,10 @@ class BatchProcessor:
         start = self.clock.monotonic()
         stamp = self.clock.now()
         bid = int(batch_id)
+        closed = compacted_ranges(spark, self.root, "pipeline_metrics")
+        if closed and bid <= max(closed):
+            raise ValueError(f"batch {bid} lies in a compacted (closed) range up to {max(closed)}; "
+                             "only batches above it can be written or replayed")
         # The raw message text is kept only on rows that fail validation (for
         # the dead letter), so the persisted batch holds parsed fields only.
         raw = ([F.when(validation_error().isNotNull(), F.col("raw")).alias("raw")]

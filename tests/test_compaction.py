@@ -51,3 +51,16 @@ def test_compaction_preserves_tables(spark, sink_root):
     m = read_table(spark, sink_root, "pipeline_metrics")
     assert sorted(r[0] for r in m.select("batch_id").collect()) == [0, 1, 2, 3, 4, 5]
     assert m.agg(F.sum("flagged_events")).first()[0] == sum(26 + k for k in range(6))
+
+
+def test_replay_into_compacted_range_is_refused(spark, sink_root):
+    import pytest
+    proc = BatchProcessor(DEFAULT, sink_root, CLOCK)
+    for k in range(3):
+        proc(day(spark, k), k)
+    compact_closed(spark, sink_root, 1)
+    before = state(spark, sink_root)
+    with pytest.raises(ValueError):
+        proc(day(spark, 1), 1)
+    proc(day(spark, 2), 2)                      # the open batch still replays
+    assert state(spark, sink_root) == before
