@@ -44,28 +44,31 @@ def detection_accuracy(events: DataFrame, rates: DataFrame, label: str = "is_bot
 
 
 def rate_conformance(events: DataFrame, phases: DataFrame, tol: float = 0.01,
-                     bucket_seconds: int = 3600) -> DataFrame:
+                     bucket_seconds: int = 3600, grain: str = "second") -> DataFrame:
     """Achieved events against ``eps x duration`` per phase.
 
     ``phases``: (phase_id, start_ts, end_ts, eps); a NULL eps means a uniform
-    target, total events over total phase time. Phase bounds are whole
-    seconds. Events are counted per second first (a bounded reduction, one row
-    per second of history), then matched to phases by an equi join on a time
-    bucket plus a range filter, instead of a nested-loop range join.
+    target, total events over total phase time. Events are counted per
+    ``grain`` first (a bounded reduction: one row per second of history by
+    default; phase bounds must be multiples of the grain, e.g. "millisecond"
+    for finer ones), then matched to phases by an equi join on a time bucket
+    plus a range filter, instead of a nested-loop range join.
     """
-    per_sec = (events.groupBy(F.date_trunc("second", "event_ts").alias("sec"))
+    bucket_us = int(bucket_seconds) * 1_000_000
+    per_sec = (events.groupBy(F.date_trunc(grain, "event_ts").alias("sec"))
                .agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("bucket", F.floor(F.unix_seconds("sec") / F.lit(bucket_seconds))))
-    ph = phases.withColumn("start_s", F.unix_seconds("start_ts")).withColumn("end_s", F.unix_seconds("end_ts"))
+               .withColumn("bucket", F.floor(F.unix_micros("sec") / F.lit(bucket_us))))
+    ph = (phases.withColumn("start_us", F.unix_micros("start_ts"))
+          .withColumn("end_us", F.unix_micros("end_ts")))
     buckets = ph.withColumn("bucket", F.explode(F.sequence(
-        F.floor(F.col("start_s") / F.lit(bucket_seconds)),
-        F.floor((F.col("end_s") - F.lit(1)) / F.lit(bucket_seconds)))))
+        F.floor(F.col("start_us") / F.lit(bucket_us)),
+        F.floor((F.col("end_us") - F.lit(1)) / F.lit(bucket_us)))))
     hits = (per_sec.join(buckets.select("bucket", "phase_id", "start_ts", "end_ts"), "bucket")
             .filter((F.col("sec") >= F.col("start_ts")) & (F.col("sec") < F.col("end_ts")))
             .groupBy("phase_id").agg(F.sum("n").cast("long").alias("actual")))
     per_phase = (ph.join(hits, "phase_id", "left")
                  .withColumn("actual", F.coalesce("actual", F.lit(0).cast("long")))
-                 .withColumn("duration_sec", (F.col("end_s") - F.col("start_s")).cast("double")))
+                 .withColumn("duration_sec", (F.col("end_us") - F.col("start_us")) / F.lit(1e6)))
     everything = Window.partitionBy()  # the phase list: bounded by configuration
     uniform = F.sum("actual").over(everything) / F.sum("duration_sec").over(everything)
     eps = F.coalesce(F.col("eps").cast("double"), uniform)

@@ -74,3 +74,21 @@ def test_hash_distribution_matches_repartition(spark):
     got = (df.repartition(8, "ip").withColumn("p", F.spark_partition_id())
            .groupBy("p").count().collect())
     assert {r["p"]: r["count"] for r in got} == want
+
+
+def test_rate_conformance_sub_second_phase_bounds(spark):
+    start, end = START + dt.timedelta(milliseconds=500), START + dt.timedelta(seconds=2, milliseconds=500)
+    ev = spark.createDataFrame([(START + dt.timedelta(milliseconds=m),) for m in (100, 600, 900, 2400, 2600)],
+                               "event_ts timestamp")
+    ph = spark.createDataFrame([(0, start, end, 1.5)], "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
+    r = rate_conformance(ev, ph, grain="millisecond").first()
+    assert r["actual"] == 3 and r["expected"] == 3.0 and r["within_tol"]
+
+
+def test_rate_conformance_phase_ending_past_a_bucket_edge(spark):
+    start, end = START, START + dt.timedelta(seconds=3600, milliseconds=500)
+    ev = spark.createDataFrame([(START + dt.timedelta(seconds=3600, milliseconds=200),),
+                                (START + dt.timedelta(seconds=10),)], "event_ts timestamp")
+    ph = spark.createDataFrame([(0, start, end, None)], "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
+    r = rate_conformance(ev, ph, grain="millisecond").first()
+    assert r["actual"] == 2 and abs(r["expected"] - 2.0) < 1e-9
