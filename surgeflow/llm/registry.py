@@ -7,20 +7,30 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from surgeflow.llm import mixing
 from surgeflow.llm import sentencepiece_codec as spc
+from surgeflow.llm.common import Workspace, settled
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op3") as ws:
+        return settled(mixing.mix_sources(table(spark, sf, "documents"), ws).drop("rid"), "op3")
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return spc.digest(spc.sentencepiece_codec(table(spark, sf, "documents"), model))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
     "op6_sentencepiece": op6_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE_SQL,
+}
