@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgeflow.llm import mixing
+from surgeflow.llm import fingerprint, hilbert_sharding, mixing
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -26,9 +26,22 @@ def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     return spc.digest(spc.sentencepiece_codec(table(spark, sf, "documents"), model))
 
 
+def op7_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op7") as ws:
+        return settled(fingerprint.fingerprints(table(spark, sf, "documents"), ws), "op7")
+
+
+def op8_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op8") as ws:
+        order = hilbert_sharding.hilbert_order(table(spark, sf, "documents"), ws)
+        return settled(hilbert_sharding.digest(hilbert_sharding.cut_runs(order, 16)), "op8")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_fingerprint": op7_fingerprint,
+    "op8_hilbert_sharding": op8_hilbert_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
