@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgeflow.llm import fingerprint, hilbert_sharding, mixing
+from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -37,13 +37,21 @@ def op8_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
         return settled(hilbert_sharding.digest(hilbert_sharding.cut_runs(order, 16)), "op8")
 
 
+def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op10") as ws:
+        found, _ = ngram_join.ngram_join(table(spark, sf, "documents"), ws)
+        return settled(ngram_join.digest(found), "op10")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprint": op7_fingerprint,
     "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
+    "op10_ngram_join": ngram_join.ORACLE_SQL,
 }
