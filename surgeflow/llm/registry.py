@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join
+from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join, suffix_dedup
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op1") as ws:
+        marks, blocks = suffix_dedup.removed_spans(table(spark, sf, "documents"), ws)
+        return settled(suffix_dedup.digest(suffix_dedup.strip(blocks, marks)), "op1")
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     with Workspace(spark, "op3") as ws:
         return settled(mixing.mix_sources(table(spark, sf, "documents"), ws).drop("rid"), "op3")
@@ -44,6 +50,7 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_mixing": op3_mixing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprint": op7_fingerprint,
