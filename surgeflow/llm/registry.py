@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join, suffix_dedup
+from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join, quality_gam, suffix_dedup
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -27,6 +27,11 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
         return settled(mixing.mix_sources(table(spark, sf, "documents"), ws).drop("rid"), "op3")
 
 
+def op4_quality_gam(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality_gam.digest(docs, quality_gam.train(docs, table(spark, sf, "labels")))
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return spc.digest(spc.sentencepiece_codec(table(spark, sf, "documents"), model))
@@ -52,6 +57,7 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_mixing": op3_mixing,
+    "op4_quality_gam": op4_quality_gam,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprint": op7_fingerprint,
     "op8_hilbert_sharding": op8_hilbert_sharding,
