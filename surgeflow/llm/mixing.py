@@ -131,14 +131,15 @@ def place_documents(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix_sources(docs: DataFrame, ws: Workspace, weights: tuple = (3, 1, 2), share: float = 1.5,
                 max_repeats: int = 2, block: int = BLOCK_WORDS, id_col: str = "doc_id",
-                text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` and
-    ``rid``, the number of the input row in ``ws``'s table ``sized``."""
+                text_col: str = "text", source_col: str = "source", rid: Column | None = None,
+                carry: tuple = ()) -> DataFrame:
+    """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``,
+    ``rid`` (the row's number: ``rid`` or one given here) and the columns of ``carry``."""
     sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("place"),
-        F.monotonically_increasing_id().alias("rid"))
+        (F.monotonically_increasing_id() if rid is None else rid).alias("rid"), *carry)
     sized = ws.write(sized, "sized")
     targets = ws.write(source_targets(sized, weights, share, max_repeats), "targets")
     slots = schedule(_quotas(targets, block), block).select("src", "block", "words")
@@ -150,7 +151,7 @@ def mix_sources(docs: DataFrame, ws: Workspace, weights: tuple = (3, 1, 2), shar
            .withColumn("n", F.when(F.col("words").isNotNull(), F.greatest(F.lit(0), F.least(
                F.col("first") + F.col("size"), F.col("from") + F.col("words")) - F.greatest("first", "from")))))
     return got.groupBy("rid").agg(
-        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target")],
+        *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target", *carry)],
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("taken"))
 
 

@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgeflow.llm.common import ROW_BITS, Workspace, partitions, whole_text
@@ -35,16 +35,23 @@ def write_blocks(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_co
     """The documents as a table bucketed by ``block``; ``rid`` numbers the rows and
     ``ord`` orders them by id (null ids last)."""
     at = F.monotonically_increasing_id()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("ord"),
-                       whole_text(text_col).cast("binary").alias("body"), at.alias("rid"))
     # the struct keeps the row as it was, but for the text, which the body holds
-    rows = rows.withColumn("row", F.col("row").dropFields(text_col)) if len(docs.columns) > 1 else rows
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("ord"),
+                       whole_text(text_col).cast("binary").alias("body"), F.col(text_col).isNull().alias("no_text"),
+                       at.alias("rid"))
     block = F.when(F.octet_length("body") >= LONG_TEXT, -F.col("rid") - 1).otherwise(
         F.shiftright("rid", BLOCK_ROWS_BITS))
     return ws.write_bucketed(rows.withColumn("block", block), "blocks", "block", partitions(docs.sparkSession))
 
 
+def as_rows(rows: DataFrame, columns: list[str], text: Column | None = None, text_col: str = "text") -> DataFrame:
+    """Rows of a blocks table with the documents' own columns again."""
+    body = F.col("body").cast("string") if text is None else text
+    return rows.select(*[F.when(~F.col("no_text"), body).alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                         for c in columns])
+
+
 def key_bits(blocks: DataFrame, per_byte: float) -> int:
     """Bits of a fingerprint: what counts the corpus's keys, and ``SPARE_BITS``."""
     total = blocks.agg(F.sum(F.octet_length("body"))).first()[0] or 1

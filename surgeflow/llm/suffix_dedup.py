@@ -471,7 +471,8 @@ def removed_spans(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_c
 
 def strip(blocks: DataFrame, marks: DataFrame, keep_row: bool = False) -> DataFrame:
     """Per document: ``ord``, ``n_bytes``, ``starts`` and ``ends`` of the removed
-    runs, ``kept`` (remaining bytes); with ``keep_row`` its other columns as ``row``."""
+    runs, ``kept`` (remaining bytes); with ``keep_row`` its other columns as ``row``
+    and ``kept_text`` (the remaining bytes without those of characters cut apart)."""
     row = [f for f in blocks.schema.fields if f.name == "row"] if keep_row else []
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -493,12 +494,15 @@ def strip(blocks: DataFrame, marks: DataFrame, keep_row: bool = False) -> DataFr
             sizes.append(len(body))
         cols = {"ord": left["ord"], "n_bytes": pa.array(sizes, pa.int64()), "starts": pa.array(starts, pa.list_(pa.int64())),
                 "ends": pa.array(ends, pa.list_(pa.int64())), "kept": pa.array(kept, pa.binary())}
-        return pa.table(cols | ({"row": left["row"]} if row else {}))
+        if row:
+            text = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+            cols |= {"row": left["row"], "no_text": left["no_text"], "kept_text": text}
+        return pa.table(cols)
 
     shape = "ord long, n_bytes long, starts array<long>, ends array<long>, kept binary"
     if row:
-        shape += f", row {row[0].dataType.simpleString()}"
-    cols = ["block", "rid", "ord", "body", *(["row"] if row else [])]
+        shape += f", row {row[0].dataType.simpleString()}, no_text boolean, kept_text string"
+    cols = ["block", "rid", "ord", "body", *(["row", "no_text"] if row else [])]
     return blocks.select(*cols).groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(cut, shape)
 
 
