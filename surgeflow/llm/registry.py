@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from surgeflow.llm import fingerprint, hilbert_sharding, mixing, ngram_join, quality_gam, suffix_dedup
+from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, ngram_join, quality_gam, suffix_dedup
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -32,6 +32,11 @@ def op4_quality_gam(spark: SparkSession, sf: str) -> DataFrame:
     return quality_gam.digest(docs, quality_gam.train(docs, table(spark, sf, "labels")))
 
 
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op5") as ws:
+        return settled(license_scan.digest(*license_scan.scan_licences(table(spark, sf, "documents"), ws)), "op5")
+
+
 def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     return spc.digest(spc.sentencepiece_codec(table(spark, sf, "documents"), model))
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_mixing": op3_mixing,
     "op4_quality_gam": op4_quality_gam,
+    "op5_license_scan": op5_license_scan,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprint": op7_fingerprint,
     "op8_hilbert_sharding": op8_hilbert_sharding,
