@@ -12,10 +12,11 @@ intersected before the exact count of common tokens verifies.
 Steps: (1) which shingles more than one document holds (``repeats``); a set
 with fewer than 0.8 of its tokens repeated has no link and is done. (2) Equal
 sets are one class. (3) Each class is paired with the most central class among
-all that share a prefix token with it (and, for a second chance, with one drawn
-by hash): verified pairs join almost all copies of a group by as many pairs as
-it has members. (4) All candidate pairs between classes that are then still in
-different components are verified. A link between classes of one component
+all that share a prefix token with it, and with some drawn by hash; in the next
+rounds only with classes of other components. Verified pairs join almost all
+copies of a group by a few pairs a member. (4) All candidate pairs between
+classes that are then still in different components are verified, but for those
+whose recurring tokens are too few to reach the threshold. A link between classes of one component
 changes nothing, so components are exact without any group's pairs being
 written out.
 
@@ -41,6 +42,7 @@ from surgeflow.llm.components import connected_components
 
 WORDS = 5
 ORDERS = 3
+DRAWS = ([0, 1], [2, 3, 4], [5, 6, 7, 8])  # rounds of star pairs, by how a class's partner is drawn
 CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 LOWER = np.arange(256, dtype=np.uint8)
@@ -158,8 +160,10 @@ def token_sets(blocks: DataFrame, repeated: DataFrame, bits: int, percent: int,
                       "p0 array<long>, " + ", ".join(f"p{k} array<int>" for k in range(1, ORDERS))))
 
 
-def _near_size(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _possible(x: str, y: str, percent: int) -> Column:
+    """Whether sets of sizes ``n`` of which ``r`` tokens recur anywhere could be near enough."""
+    n, m, common = F.col(f"{x}n"), F.col(f"{y}n"), F.least(F.col(f"{x}r"), F.col(f"{y}r"))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (common * (100 + percent) >= (n + m) * percent)
 
 
 def verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -175,34 +179,39 @@ def verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return both.where(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent).select("a", "b")
 
 
-def star_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """For each class one pair with the most central of all classes that share a
-    prefix token with it, and one with a class drawn by hash."""
-    rank = [F.struct(-F.col("central"), F.xxhash64("cid"), "cid", "n"),
-            F.struct(F.lit(0.0), F.xxhash64("cid", F.lit(1)), "cid", "n")]
-    heads = members.groupBy("token").agg(*[F.min(r).alias(f"h{i}") for i, r in enumerate(rank)])
-    # each class's best head that is of its size and not itself, over all its tokens
+def rooted(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members with the root of their component; tokens all of whose members have one go."""
+    if roots is None:
+        return members.withColumn("root", F.col("cid"))
+    m = (members.join(roots, members["cid"] == roots["node"], "left").drop("node")
+         .withColumn("root", F.coalesce("root", "cid")))
+    mixed = m.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
+    return m.join(mixed, "token")
+
+
+def star_pairs(members: DataFrame, draws: list[int], percent: int) -> DataFrame:
+    """For each class one pair per draw: with the first of all classes of other
+    components that share a prefix token with it. Draw 0 puts the most central
+    first, the others go by hash among those with few tokens of their own."""
+    def rank(draw: int) -> Column:
+        alone = F.col("r") * (100 + percent) < F.col("n") * 2 * percent
+        lead = -F.col("central") if draw == 0 else F.lit(0.0)
+        return F.struct(alone.alias("alone"), lead.alias("lead"), F.xxhash64("cid", F.lit(draw)).alias("at"), "cid", "n", "r", "root")
+
+    heads = members.groupBy("token").agg(*[F.min(rank(d)).alias(f"h{d}") for d in draws])
     met = members.join(heads, "token")
-    out = None
-    for i in range(len(rank)):
-        h = f"h{i}"
-        near = (F.col(f"{h}.cid") != F.col("cid")) & _near_size(F.col(f"{h}.n"), F.col("n"), percent)
-        best = (met.where(near).groupBy("cid").agg(F.min(h).alias("h"))
-                .select(F.least("cid", "h.cid").alias("a"), F.greatest("cid", "h.cid").alias("b")))
-        out = best if out is None else out.unionByName(best)
-    return out.distinct()
+    best = met.groupBy("cid").agg(*[
+        F.min(F.when((F.col(f"h{d}.root") != F.col("root")) & _possible("", f"h{d}.", percent), F.col(f"h{d}"))).alias(f"h{d}")
+        for d in draws])
+    pairs = best.select("cid", F.explode(F.array(*[F.col(f"h{d}.cid") for d in draws])).alias("head")).where("head is not null")
+    return pairs.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def open_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of the first order between classes of different components."""
-    m = (members.join(roots, members["cid"] == roots["node"], "left")
-         .select("token", "cid", "n", F.coalesce("root", "cid").alias("root")))
-    mixed = (m.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token"))
-    m = m.join(mixed, "token")
-    x = m.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = m.select("token", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    return (x.join(y, "token").where("a < b and ra <> rb").where(_near_size(F.col("na"), F.col("nb"), percent))
-            .select("a", "b").distinct())
+    x, y = (members.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("cid", "n", "r", "root")]) for side in "xy")
+    return (x.join(y, "token").where("x_cid < y_cid and x_root <> y_root").where(_possible("x_", "y_", percent))
+            .select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b")).distinct())
 
 
 def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = WORDS, id_col: str = "doc_id",
@@ -222,16 +231,20 @@ def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = W
     classes = ws.write(maybe.groupBy("n", "name").agg(
         F.min("rid").alias("cid"), F.min(F.struct("ord", "rid")).alias("least")), "classes")
     reps = ws.write(maybe.join(classes.select("cid"), maybe["rid"] == classes["cid"])
-                    .select("cid", "n", "central", "tokens", *[f"p{k}" for k in range(ORDERS)]), "reps")
-    members = reps.select("cid", "n", "central", F.explode("p0").alias("token"))
-    stars = ws.write(verified(star_pairs(members, percent), reps, percent), "stars")
-    roots = connected_components(stars, ws, "first")
-    rest = ws.write(verified(open_pairs(members, roots, percent), reps, percent), "rest")
-    roots = connected_components(stars.unionByName(rest), ws, "all")
-
-    rooted = classes.join(roots, classes["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("top"))
-    named = rooted.join(least, "root").select("n", "name", "top")
+                    .select("cid", "n", F.size("tokens").cast("long").alias("r"), "central", "tokens",
+                            *[f"p{k}" for k in range(ORDERS)]), "reps")
+    members = reps.select("cid", "n", "r", "central", F.explode("p0").alias("token"))
+    links = roots = None
+    for i, draws in enumerate([*DRAWS, None]):
+        m = rooted(members, roots)
+        pairs = open_pairs(m, percent) if draws is None else star_pairs(m, draws, percent)
+        found = ws.write(verified(pairs, reps, percent), f"links-{i}")
+        links = found if links is None else links.unionByName(found)
+        roots = connected_components(links, ws, f"roots-{i}")
+
+    placed = classes.join(roots, classes["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
+    least = placed.groupBy("root").agg(F.min("least").alias("top"))
+    named = placed.join(least, "root").select("n", "name", "top")
     known = (maybe.select("rid", "block", "ord", "n", "name").join(named, ["n", "name"])
              .select("rid", "block", "ord", "n", F.col("top.ord").alias("root_ord"), (F.col("top.rid") == F.col("rid")).alias("first")))
     alone = sets.where("name is null").select("rid", "block", "ord", "n", F.col("ord").alias("root_ord"),
