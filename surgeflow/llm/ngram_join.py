@@ -3,7 +3,8 @@
 A document's set holds its distinct five-word shingles (ASCII letters
 lower-cased; fewer words: the whole sequence as one). Two sets of similarity
 0.8 or more share a token among the first ``n - ceil(0.8 n) + 1`` tokens of
-either under ANY global order of tokens. Several orders are used: all rare
+either under ANY global order of tokens (fewer, once both sizes are known: all
+but the common tokens they need, and one). Several orders are used: all rare
 first, by the number of documents that hold a token, exact or by powers of two,
 ties broken by different hashes. A pair is a candidate only if its prefixes
 meet under every order; the first order generates pairs, the others are
@@ -160,21 +161,35 @@ def token_sets(blocks: DataFrame, repeated: DataFrame, bits: int, percent: int,
                       "p0 array<long>, " + ", ".join(f"p{k} array<int>" for k in range(1, ORDERS))))
 
 
+def _least_common(n: Column, m: Column, percent: int) -> Column:
+    """Tokens that sets of ``n`` and ``m`` must share to be near enough."""
+    return F.floor(((n + m) * percent + 99 + percent) / (100 + percent)).cast("long")
+
+
 def _possible(x: str, y: str, percent: int) -> Column:
     """Whether sets of sizes ``n`` of which ``r`` tokens recur anywhere could be near enough."""
-    n, m, common = F.col(f"{x}n"), F.col(f"{y}n"), F.least(F.col(f"{x}r"), F.col(f"{y}r"))
-    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (common * (100 + percent) >= (n + m) * percent)
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    return ((F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+            & (F.least(F.col(f"{x}r"), F.col(f"{y}r")) >= _least_common(n, m, percent)))
+
+
+def _in_prefixes(x: str, y: str, percent: int) -> Column:
+    """Whether a common token stands in the prefixes that this pair of sizes needs."""
+    need = _least_common(F.col(f"{x}n"), F.col(f"{y}n"), percent)
+    return (F.col(f"{x}pos") <= F.col(f"{x}n") - need) & (F.col(f"{y}pos") <= F.col(f"{y}n") - need)
 
 
 def verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Of distinct pairs ``a``, ``b``: those whose prefixes meet under every order
     and whose sets are similar enough."""
-    cols = ["n", "tokens", *[f"p{k}" for k in range(1, ORDERS)]]
+    cols = ["n", "r", "tokens", *[f"p{k}" for k in range(1, ORDERS)]]
     x = reps.select(F.col("cid").alias("a"), *[F.col(c).alias(f"{c}_a") for c in cols])
     y = reps.select(F.col("cid").alias("b"), *[F.col(c).alias(f"{c}_b") for c in cols])
     both = pairs.join(x, "a").join(y, "b")
-    for k in range(1, ORDERS):
-        both = both.where(F.arrays_overlap(f"p{k}_a", f"p{k}_b"))
+    need = _least_common(F.col("n_a"), F.col("n_b"), percent)
+    for k in range(1, ORDERS):  # recurring tokens in the prefixes of this pair of sizes
+        heads = [F.slice(f"p{k}_{s}", 1, F.greatest(F.lit(0), F.col(f"r_{s}") - need + 1).cast("int")) for s in "ab"]
+        both = both.where(F.arrays_overlap(*heads))
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     return both.where(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent).select("a", "b")
 
@@ -196,12 +211,13 @@ def star_pairs(members: DataFrame, draws: list[int], percent: int) -> DataFrame:
     def rank(draw: int) -> Column:
         alone = F.col("r") * (100 + percent) < F.col("n") * 2 * percent
         lead = -F.col("central") if draw == 0 else F.lit(0.0)
-        return F.struct(alone.alias("alone"), lead.alias("lead"), F.xxhash64("cid", F.lit(draw)).alias("at"), "cid", "n", "r", "root")
+        return F.struct(alone.alias("alone"), lead.alias("lead"), F.xxhash64("cid", F.lit(draw)).alias("at"), "cid", "n", "r", "pos", "root")
 
     heads = members.groupBy("token").agg(*[F.min(rank(d)).alias(f"h{d}") for d in draws])
     met = members.join(heads, "token")
     best = met.groupBy("cid").agg(*[
-        F.min(F.when((F.col(f"h{d}.root") != F.col("root")) & _possible("", f"h{d}.", percent), F.col(f"h{d}"))).alias(f"h{d}")
+        F.min(F.when((F.col(f"h{d}.root") != F.col("root")) & _possible("", f"h{d}.", percent)
+                     & _in_prefixes("", f"h{d}.", percent), F.col(f"h{d}"))).alias(f"h{d}")
         for d in draws])
     pairs = best.select("cid", F.explode(F.array(*[F.col(f"h{d}.cid") for d in draws])).alias("head")).where("head is not null")
     return pairs.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
@@ -209,8 +225,9 @@ def star_pairs(members: DataFrame, draws: list[int], percent: int) -> DataFrame:
 
 def open_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All candidate pairs of the first order between classes of different components."""
-    x, y = (members.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("cid", "n", "r", "root")]) for side in "xy")
-    return (x.join(y, "token").where("x_cid < y_cid and x_root <> y_root").where(_possible("x_", "y_", percent))
+    x, y = (members.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("cid", "n", "r", "pos", "root")]) for side in "xy")
+    return (x.join(y, "token").where("x_cid < y_cid and x_root <> y_root")
+            .where(_possible("x_", "y_", percent) & _in_prefixes("x_", "y_", percent))
             .select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b")).distinct())
 
 
@@ -233,7 +250,8 @@ def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = W
     reps = ws.write(maybe.join(classes.select("cid"), maybe["rid"] == classes["cid"])
                     .select("cid", "n", F.size("tokens").cast("long").alias("r"), "central", "tokens",
                             *[f"p{k}" for k in range(ORDERS)]), "reps")
-    members = reps.select("cid", "n", "r", "central", F.explode("p0").alias("token"))
+    members = reps.select("cid", "n", "r", "central", F.posexplode("p0").alias("pos", "token"))
+    members = members.withColumn("pos", F.col("pos") + F.col("n") - F.col("r"))  # behind the set's own tokens
     links = roots = None
     for i, draws in enumerate([*DRAWS, None]):
         m = rooted(members, roots)
