@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, ngram_join, quality_gam, suffix_dedup
+from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -22,6 +23,10 @@ def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
         return settled(suffix_dedup.digest(suffix_dedup.strip(blocks, marks)), "op1")
 
 
+def op2_multiprobe_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return multiprobe_ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     with Workspace(spark, "op3") as ws:
         return settled(mixing.mix_sources(table(spark, sf, "documents"), ws).drop("rid"), "op3")
@@ -61,6 +66,7 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_multiprobe_ann": op2_multiprobe_ann,
     "op3_mixing": op3_mixing,
     "op4_quality_gam": op4_quality_gam,
     "op5_license_scan": op5_license_scan,
