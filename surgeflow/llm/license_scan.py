@@ -28,8 +28,9 @@ from surgeflow.llm.common import Workspace, ascii_lower, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
 ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of text in either case
-GATE = ("licen", "spdx", "copyright", "creative", "public domain", "unlicen", "copyleft")
-GATE_PATTERN = r"cc[^0-9a-z]+(by|0|zero|sa)"
+# Of these a text, in lower case, must hold one; every base phrase does.
+GATE = ("licen", "spdx", "gpl", "apache", "creative", "public domain", "copyleft")
+GATE_PATTERN = r"cc[^0-9a-z]*(by|0|zero)"
 
 # Phrases and labels of the base contract.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -65,7 +66,7 @@ LICENCES = (
     Licence("lgpl-3", ("lgpl", "lesser general"), f"(?:gnu )?(?:lgpl|lesser general public licen[sc]e) ?{V}3(?: 0)?", "lgpl 3 0(?: only| or later)?", "gnu lesser general public license version 3", "gnu org licenses lgpl 3 0"),
     Licence("lgpl", ("lgpl", "lesser general", "library general"), "(?:gnu )?(?:lgpl|(?:lesser|library) general public)", "lgpl", "gnu lesser general public license", "gnu org (?:licenses|copyleft) lgpl"),
     Licence("agpl-3", ("agpl", "affero"), f"(?:gnu )?(?:agpl|affero general public licen[sc]e|affero gpl)(?: ?{V}3(?: 0)?)?", "agpl 3 0(?: only| or later)?", "gnu affero general public license", "gnu org licenses agpl"),
-    Licence("gfdl", ("gfdl", "free documentation"), f"(?:gnu )?(?:gfdl|fdl|free documentation)(?: licen[sc]e)?(?: {V}1 [123])?", "gfdl 1 [123](?: only| or later)?", "gnu free documentation license", "gnu org licenses fdl"),
+    Licence("gfdl", ("gfdl", "fdl", "free documentation"), f"(?:gnu )?(?:gfdl|fdl|free documentation)(?: licen[sc]e)?(?: {V}1 [123])?", "gfdl 1 [123](?: only| or later)?", "gnu free documentation license", "gnu org licenses fdl"),
     Licence("mpl-1.1", ("mpl", "mozilla"), f"(?:mpl|mozilla public licen[sc]e) ?{V}1 1", "mpl 1 1", "mozilla public license version 1 1", "mozilla org mpl 1 1"),
     Licence("mpl-2", ("mpl", "mozilla"), f"(?:mpl|mozilla public(?: licen[sc]e)?)(?: ?{V}2(?: 0)?)?", "mpl 2 0", "mozilla public license version 2 0", "mozilla org mpl 2 0"),
     Licence("epl-1", ("epl", "eclipse"), f"(?:epl|eclipse public(?: licen[sc]e)?) ?{V}1(?: 0)?", "epl 1 0", "eclipse public license v 1 0", "eclipse org legal epl v10"),
@@ -76,19 +77,19 @@ LICENCES = (
     Licence("bsl-1", ("boost", "bsl"), f"boost(?: software)?(?: licen[sc]e)?(?: {V}1(?: 0)?)?", "bsl 1 0", "boost software license version 1 0", "boost org license 1 0"),
     Licence("isc", ("isc", "internet systems"), "(?:isc|internet systems consortium)", "isc", "isc license isc", "opensource org licenses isc"),
     Licence("zlib", ("zlib",), "(?:zlib|zlib libpng)", "zlib", "zlib license", "zlib net zlib license"),
-    Licence("unlicense", ("unlicense",), "unlicense", "unlicense", "this is free and unencumbered software released into the public domain", "unlicense org"),
+    Licence("unlicense", ("unlicense", "unencumbered"), "unlicense", "unlicense", "this is free and unencumbered software released into the public domain", "unlicense org"),
     Licence("wtfpl", ("wtfpl", "what the f"), f"(?:wtfpl|do what the fuck you want to public)(?: {V}2)?", "wtfpl", "do what the fuck you want to public license", "wtfpl net"),
     Licence("psf-2", ("python", "psf"), f"(?:psf|python software foundation)(?: licen[sc]e)?(?: {V}2)?", "psf 2 0|python 2 0", "python software foundation license version 2", "python org psf license"),
     Licence("ofl-1.1", ("ofl", "open font"), f"(?:sil )?(?:ofl|open font)(?: licen[sc]e)?(?: {V}1 1)?", "ofl 1 1", "sil open font license version 1 1", "scripts sil org ofl"),
     Licence("odbl", ("odbl", "open database"), f"(?:odbl|open database)(?: licen[sc]e)?(?: {V}1(?: 0)?)?", "odbl 1 0", "open database license", "opendatacommons org licenses odbl"),
     Licence("eupl", ("eupl", "european union public"), f"(?:eupl|european union public)(?: licen[sc]e)?(?: {V}1 [12])?", "eupl 1 [12]", "european union public licence", "joinup ec europa eu .{0,40}eupl"),
-    Licence("cc0", ("cc0", "cc 0", "cc zero", "creative commons"), f"(?:cc ?0|cc zero|creative commons (?:zero|0))(?: {V}1 0)?", "cc0 1 0", "cc0 1 0 universal", "creativecommons org publicdomain zero"),
-    Licence("cc-by", ("cc by", "creative commons"), f"(?:cc by|creative commons attribution)(?! ?(?:nc|sa|nd|non ?commercial|share|no deriv))(?: {V}[1-4](?: 0)?)?", "cc by [1-4] 0", "creative commons attribution [1-4] 0", "creativecommons org licenses by [1-4]"),
-    Licence("cc-by-sa", ("cc by", "creative commons"), f"(?:cc by sa|creative commons attribution share ?alike)(?: {V}[1-4](?: 0)?)?", "cc by sa [1-4] 0", "creative commons attribution sharealike", "creativecommons org licenses by sa"),
-    Licence("cc-by-nd", ("cc by", "creative commons"), f"(?:cc by nd|creative commons attribution no ?deriv[a-z]*)(?: {V}[1-4](?: 0)?)?", "cc by nd [1-4] 0", "creative commons attribution noderivatives", "creativecommons org licenses by nd"),
-    Licence("cc-by-nc", ("cc by", "creative commons"), f"(?:cc by nc|creative commons attribution non ?commercial)(?! ?(?:sa|nd|share|no ?deriv))(?: {V}[1-4](?: 0)?)?", "cc by nc [1-4] 0", "creative commons attribution noncommercial", "creativecommons org licenses by nc [1-4]"),
-    Licence("cc-by-nc-sa", ("cc by", "creative commons"), f"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: {V}[1-4](?: 0)?)?", "cc by nc sa [1-4] 0", "creative commons attribution noncommercial sharealike", "creativecommons org licenses by nc sa"),
-    Licence("cc-by-nc-nd", ("cc by", "creative commons"), f"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv[a-z]*)(?: {V}[1-4](?: 0)?)?", "cc by nc nd [1-4] 0", "creative commons attribution noncommercial noderivatives", "creativecommons org licenses by nc nd"),
+    Licence("cc0", ("cc0", "cc 0", "cc zero", "creative commons", "creativecommons"), f"(?:cc ?0|cc zero|creative commons (?:zero|0))(?: {V}1 0)?", "cc0 1 0", "cc0 1 0 universal", "creativecommons org publicdomain zero"),
+    Licence("cc-by", ("cc by", "creative commons", "creativecommons"), f"(?:cc by|creative commons attribution)(?! ?(?:nc|sa|nd|non ?commercial|share|no deriv))(?: {V}[1-4](?: 0)?)?", "cc by [1-4] 0", "creative commons attribution [1-4] 0", "creativecommons org licenses by [1-4]"),
+    Licence("cc-by-sa", ("cc by", "creative commons", "creativecommons"), f"(?:cc by sa|creative commons attribution share ?alike)(?: {V}[1-4](?: 0)?)?", "cc by sa [1-4] 0", "creative commons attribution sharealike", "creativecommons org licenses by sa"),
+    Licence("cc-by-nd", ("cc by", "creative commons", "creativecommons"), f"(?:cc by nd|creative commons attribution no ?deriv[a-z]*)(?: {V}[1-4](?: 0)?)?", "cc by nd [1-4] 0", "creative commons attribution noderivatives", "creativecommons org licenses by nd"),
+    Licence("cc-by-nc", ("cc by", "creative commons", "creativecommons"), f"(?:cc by nc|creative commons attribution non ?commercial)(?! ?(?:sa|nd|share|no ?deriv))(?: {V}[1-4](?: 0)?)?", "cc by nc [1-4] 0", "creative commons attribution noncommercial", "creativecommons org licenses by nc [1-4]"),
+    Licence("cc-by-nc-sa", ("cc by", "creative commons", "creativecommons"), f"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: {V}[1-4](?: 0)?)?", "cc by nc sa [1-4] 0", "creative commons attribution noncommercial sharealike", "creativecommons org licenses by nc sa"),
+    Licence("cc-by-nc-nd", ("cc by", "creative commons", "creativecommons"), f"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv[a-z]*)(?: {V}[1-4](?: 0)?)?", "cc by nc nd [1-4] 0", "creative commons attribution noncommercial noderivatives", "creativecommons org licenses by nc nd"),
 )
 
 LICENCE, TERMS = "licen[sc]e", "(?:the )?(?:terms of )?(?:the )?"

@@ -264,4 +264,4 @@ def digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_bytes_spanned"))
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes_spanned"))
