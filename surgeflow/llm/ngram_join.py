@@ -43,7 +43,7 @@ from surgeflow.llm.components import connected_components
 
 WORDS = 5
 ORDERS = 3
-DRAWS = ([0, 1], [2, 3, 4], [5, 6, 7, 8])  # rounds of star pairs, by how a class's partner is drawn
+DRAWS = ([0, 1, 2],)  # rounds of star pairs, by how a class's partner is drawn
 CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
 LOWER = np.arange(256, dtype=np.uint8)
