@@ -18,24 +18,15 @@ class DetectorConfig:
 
     rate_per_sec  events per second above which an IP is bot-like (strict >).
     floor_sec     lower bound of a batch's span; the trigger interval.
-    max_span_sec  optional cap of the span so that one far-off event time
-                  cannot lift the threshold for the whole batch (off by default).
     """
 
     rate_per_sec: float = 5.0
     floor_sec: float = 5.0
-    max_span_sec: float | None = None
 
     @property
     def floor_us(self) -> int:
         return int(round(self.floor_sec * 1_000_000))
 
-    @property
-    def max_span_us(self) -> int | None:
-        if self.max_span_sec is None:
-            return None
-        return int(round(self.max_span_sec * 1_000_000))
-
     @property
     def rate_text(self) -> str:
         # Python's own float text, as the reason string shows it ("5.0").
@@ -57,18 +48,18 @@ class WallClock:
     """Real time: batch stamp truncated to the second, elapsed milliseconds."""
 
     def now(self) -> _dt.datetime:
-        t = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0)
-        return t.replace(tzinfo=None)
+        return _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0)
 
     def monotonic(self) -> float:
         return time.monotonic()
 
 
 class FixedClock:
-    """Deterministic clock for tests: a fixed stamp and zero elapsed time."""
+    """Deterministic clock for tests: a fixed stamp (UTC, if it names no zone)
+    and zero elapsed time."""
 
     def __init__(self, stamp: _dt.datetime, step_ms: int = 0):
-        self._stamp = stamp
+        self._stamp = stamp if stamp.tzinfo else stamp.replace(tzinfo=_dt.timezone.utc)
         self._step = step_ms / 1000.0
         self._t = 0.0
 

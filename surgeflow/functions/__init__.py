@@ -1,5 +1,5 @@
 from surgeflow.functions.columns import (effective_span_us, ntz, reason_text, safe_pct,
-                                         span_seconds, trailing_number)
+                                         span_seconds, key_number)
 
 __all__ = ["effective_span_us", "ntz", "reason_text", "safe_pct", "span_seconds",
-           "trailing_number"]
+           "key_number"]

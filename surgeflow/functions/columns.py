@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import lru_cache
 
 from pyspark import SparkContext
@@ -21,11 +22,14 @@ def raw_span_us(min_ts, max_ts) -> Column:
 
 
 def effective_span_us(min_ts, max_ts, cfg: DetectorConfig) -> Column:
-    """Span floored at the trigger interval and optionally capped, in microseconds."""
-    span = F.greatest(raw_span_us(min_ts, max_ts), F.lit(cfg.floor_us).cast("long"))
-    if cfg.max_span_us is not None:
-        span = F.least(span, F.lit(max(cfg.max_span_us, cfg.floor_us)).cast("long"))
-    return span
+    """Span floored at the trigger interval, in microseconds."""
+    return F.greatest(raw_span_us(min_ts, max_ts), F.lit(cfg.floor_us).cast("long"))
+
+
+def instant(t: dt.datetime) -> Column:
+    """A point in time as a timestamp literal, whatever zone driver or session are in."""
+    micros = (t - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros).cast("long"))
 
 
 def span_seconds(span_us) -> Column:
@@ -58,9 +62,9 @@ def ntz(col) -> Column:
     return _c(col).cast("timestamp_ntz")
 
 
-def trailing_number(col) -> Column:
-    """The digits at the end of a key (``PRD-0042`` -> 42, ``10.0.0.7`` -> 7)."""
-    return F.regexp_extract(_c(col), r"(\d+)$", 1).cast("long")
+def key_number(col) -> Column:
+    """A number from the whole key: the first 32 bits of its MD5, which any engine can compute."""
+    return F.conv(F.substring(F.md5(_c(col).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def jvm_token() -> int:

@@ -10,14 +10,15 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
 from surgeflow.operators.aggregate import events_agg, upsert_view
-from surgeflow.operators.detect import batch_metrics, ip_rate, split_events
+from surgeflow.operators.detect import batch_metrics, clean_of, flagged_of, ip_rate, with_verdict
 from surgeflow.schema import METRIC_COLUMNS
 from surgeflow.sources.messages import validate_events
-from surgeflow.sources.sinks import run_writes, write_batches
-from surgeflow.sources.tables import read_raw_table
+from surgeflow.sources.sinks import clear_batch, run_writes, write_batches
+from surgeflow.sources.tables import TABLES, live_batches, refuse_closed
 
 
 class Tables:
@@ -51,16 +52,23 @@ class Tables:
         return ip_rate(self.events, self._cfg)
 
     @cached_property
-    def _split(self) -> tuple[DataFrame, DataFrame]:
-        return split_events(self.events, self.rates)
+    def verdicts(self) -> DataFrame:
+        """Valid events with the reason they are flagged for, if they are."""
+        return with_verdict(self.events, self.rates)
 
     @property
     def clean(self) -> DataFrame:
-        return self._split[0]
+        return clean_of(self.verdicts)
 
     @property
     def flagged(self) -> DataFrame:
-        return self._split[1]
+        return flagged_of(self.verdicts)
+
+    @cached_property
+    def keyed(self) -> DataFrame:
+        """Clean and flagged rows per aggregate key, from one pass."""
+        return (self.verdicts.groupBy(self._window_start.alias("window_start"), "product_id", "action")
+                .agg(F.count_if(F.col("reason").isNull()).alias("clean_rows"), F.count("reason").alias("flagged_rows")))
 
     @cached_property
     def agg_deltas(self) -> DataFrame:
@@ -100,26 +108,33 @@ def derive_tables(events: DataFrame, cfg: DetectorConfig, stamps: DataFrame,
 
 
 def write_history(tables: Tables, root: str, work_root: str) -> None:
-    """Backfill the four tables for every batch in ``tables``.
-
-    The per-(batch, IP) verdicts are written once to ``work_root`` (a table in
-    the shared folder: it cuts the lineage and survives executor loss), and
-    every output reads them instead of re-deriving the rule. The aggregate
-    deltas are counted from the written clean table, and the metrics rows are
-    written last: each batch becomes visible to readers only when all of its
-    tables are in place. Events are read by the two rate aggregates and the
-    two split joins, nothing else.
+    """Backfill the four tables for every batch in ``tables``, replay-safe.
+
+    The events with their verdicts, and the per-(batch, IP) rates, are written
+    once to ``work_root`` (tables in the shared folder: they cut the lineage and
+    survive executor loss); every output reads them. A batch in a closed range
+    is refused. Commit marks of all batches go first, then what an earlier run
+    stored of them in any table, so that a batch that now has no rows in a table
+    keeps none; the metrics rows are written last: each batch becomes visible
+    only when all of its tables are in place. Only batch ids reach the driver,
+    one number a batch, as many as there are directories to replace.
     """
     spark = tables.events.sparkSession
-    rates_path = f"{work_root.rstrip('/')}/rates"
-    tables.rates.write.mode("overwrite").parquet(rates_path)
-    rates = spark.read.parquet(rates_path)
-    clean, flagged = split_events(tables.events, rates)
+    work = work_root.rstrip("/")
+    tables.rates.write.mode("overwrite").parquet(f"{work}/rates")
+    rates = spark.read.parquet(f"{work}/rates")
+    with_verdict(tables.events, rates).write.mode("overwrite").parquet(f"{work}/verdicts")
+    verdicts = spark.read.parquet(f"{work}/verdicts")
+    ids = rates.select("batch_id").unionByName(tables.stamps.select("batch_id")).distinct()
+    batches = {r["batch_id"] for r in ids.toLocalIterator()}
+    refuse_closed(spark, root, sorted(batches))
+    for table in reversed(TABLES):  # the marks first
+        for b in batches.intersection(live_batches(spark, root, table)):
+            clear_batch(spark, root, table, b)
+    clean = clean_of(verdicts)
     run_writes([lambda: write_batches(clean, root, "events_clean", sort_by=["event_ts"]),
-                lambda: write_batches(flagged, root, "events_flagged", sort_by=["event_ts"])])
-    stored_clean = read_raw_table(spark, root, "events_clean").join(
-        rates.select("batch_id").distinct(), "batch_id", "left_semi")
-    write_batches(events_agg(stored_clean, tables.window_start), root, "events_agg")
+                lambda: write_batches(flagged_of(verdicts), root, "events_flagged", sort_by=["event_ts"]),
+                lambda: write_batches(events_agg(clean, tables.window_start), root, "events_agg")])
     stamps = tables.stamps.select("batch_id", "batch_ts", "processing_time_ms")
     metrics = batch_metrics(rates).join(stamps, "batch_id").select(*METRIC_COLUMNS)
     write_batches(metrics, root, "pipeline_metrics")

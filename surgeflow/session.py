@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,11 +44,13 @@ def build_session(master: str | None = None, app_name: str = "surgeflow",
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (a local test session) a folder is chosen and registered here.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, which
+    has one machine, gets a folder of its own where that is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: a cluster needs a folder that all its machines share")
         base = os.path.join(os.environ.get("TMPDIR", "/tmp"), "surgeflow-checkpoints")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():
@@ -55,6 +58,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a work folder, on whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder in the shared directory for one job's output."""
     return shared_dir(spark, "surgeflow", f"{name}-{uuid.uuid4().hex[:12]}")

@@ -146,7 +146,9 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
     done = compacted_ranges(spark, root, table)
     lo = max(done) if done else None
     if lo is not None and upto <= lo:
+        _drop_copied(spark, root, table, lo)  # left over where an earlier run was cut off
         return False
+    copied = [b for b in live_batches(spark, root, table) if b <= upto]
     rows = read_table(spark, root, table, committed_only=True)
     rows = rows.filter(F.col("batch_id") <= F.lit(int(upto)))
     if lo is not None:
@@ -162,13 +164,18 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
     _, dst = _fs_path(spark, f"{cp}/upto={int(upto)}")
     if not fs.rename(src, dst):
         raise RuntimeError(f"could not move compacted range into {cp}/upto={upto}")
-    for name in _children(spark, table_path(root, table), "batch_id="):
-        b = int(name.split("=", 1)[1])
-        if b <= upto:
-            delete_path(spark, f"{table_path(root, table)}/{name}")
+    for b in copied:
+        delete_path(spark, batch_path(root, table, b))
     return True
 
 
+def _drop_copied(spark: SparkSession, root: str, table: str, upto: int) -> None:
+    """Live directories of batches that the compacted range already holds."""
+    for b in live_batches(spark, root, table):
+        if b <= upto:
+            delete_path(spark, batch_path(root, table, b))
+
+
 def register_views(spark: SparkSession, root: str, committed_only: bool = True) -> None:
     """Temp views named like the tables, for ``spark.sql`` users."""
     for t in TABLES:
@@ -178,10 +185,6 @@ def register_views(spark: SparkSession, root: str, committed_only: bool = True)
         df.createOrReplaceTempView(t)
 
 
-def row_counts(df: DataFrame, keys: list[str], name: str = "rows") -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
                     partition_column: str | None = None, lower: int | None = None,
                     upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
@@ -195,8 +198,50 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
     return reader.jdbc(url, table, properties=properties)
 
 
+CLOSED = "_closed"
+
+
+def closed_upto(spark: SparkSession, root: str) -> int | None:
+    """The highest batch id that has been closed for compaction."""
+    names = _children(spark, f"{root.rstrip('/')}/{CLOSED}", "upto=")
+    found = [int(n.split("=", 1)[1]) for n in names]
+    for t in TABLES:
+        found += compacted_ranges(spark, root, t)
+    return max(found, default=None)
+
+
+def refuse_closed(spark: SparkSession, root: str, batch_ids: list[int]) -> None:
+    """Raise if a batch to be written lies in a closed range."""
+    closed = closed_upto(spark, root)
+    inside = [b for b in batch_ids if closed is not None and b <= closed]
+    if inside:
+        raise ValueError(f"batch {min(inside)} lies in a compacted (closed) range up to {closed}; "
+                         "only batches above it can be written or replayed")
+
+
+def live_batches(spark: SparkSession, root: str, table: str) -> list[int]:
+    """Batch ids that have a directory of their own (names only, no data)."""
+    return sorted(int(n.split("=", 1)[1]) for n in _children(spark, table_path(root, table), "batch_id="))
+
+
 def compact_closed(spark: SparkSession, root: str, upto: int) -> dict[str, bool]:
-    """Compact every table up to a closed batch id: data tables first, the
-    commit marks (metrics) last."""
+    """Close the batches up to ``upto`` and compact every table's.
+
+    Refused unless ``upto`` is at most the highest committed batch and no batch
+    at or below it holds data without a commit mark. The closing is published
+    first, so that from then on no writer touches the range; a run that is cut
+    off is finished by calling again. Data tables go first, the commit marks
+    (metrics) last.
+    """
+    upto, closed = int(upto), closed_upto(spark, root)
+    if closed is None or upto > closed:
+        marks = set(live_batches(spark, root, "pipeline_metrics"))
+        if not marks or upto > max(marks):
+            raise ValueError(f"batch {upto} is above the highest committed batch {max(marks, default=None)}")
+        cut_off = sorted({b for t in TABLES for b in live_batches(spark, root, t) if b <= upto} - marks)
+        if cut_off:
+            raise ValueError(f"batch {cut_off[0]} was cut off before its commit mark; replay it before closing {upto}")
+        fs, p = _fs_path(spark, f"{root.rstrip('/')}/{CLOSED}/upto={upto}")
+        fs.mkdirs(p)
     order = ["dead_letter", "events_clean", "events_flagged", "events_agg", "pipeline_metrics"]
     return {t: compact(spark, root, t, upto) for t in order}

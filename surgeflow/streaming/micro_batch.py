@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig, WallClock
-from surgeflow.functions.columns import reusable
+from surgeflow.functions.columns import instant, reusable
 from surgeflow.operators.aggregate import events_agg
-from surgeflow.operators.detect import batch_metrics, ip_rate, max_bot_pairs, split_events
+from surgeflow.operators.detect import batch_metrics, ip_rate, split_events
 from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.messages import validation_error
 from surgeflow.sources.sinks import (clear_batch, run_writes, write_agg_delta,
                                      write_batch_metrics, write_partition)
-from surgeflow.sources.tables import compacted_ranges
+from surgeflow.sources.tables import refuse_closed
 
 DATA_TABLES = ["dead_letter", "events_clean", "events_flagged", "events_agg"]
 
@@ -46,21 +46,18 @@ class BatchProcessor:
 
     ``clock`` supplies the batch stamp and elapsed time (wall clock by
     default, fixed in tests). ``agg_window`` keys the aggregate deltas by an
-    event-time bucket instead of the batch stamp. ``max_broadcast_pairs`` is
-    the size limit under which the bounded bot set is broadcast.
-    ``parallel_writes`` runs the independent table writes as concurrent jobs.
+    event-time bucket instead of the batch stamp. ``parallel_writes`` runs the independent table writes as concurrent jobs.
     ``fail_after`` names a table after whose write an exception is raised:
     fault injection for replay tests.
     """
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
                  fail_after: str | None = None, log=None,
-                 max_broadcast_pairs: int = 500_000, parallel_writes: bool = True,
+                 parallel_writes: bool = True,
                  agg_window: str | None = None):
         self.cfg = cfg
         self.agg_window = agg_window
         self.parallel_writes = parallel_writes
-        self.max_broadcast_pairs = max_broadcast_pairs
         self.root = sink_root
         self.clock = clock or WallClock()
         self.fail_after = fail_after
@@ -96,10 +93,7 @@ class BatchProcessor:
         start = self.clock.monotonic()
         stamp = self.clock.now()
         bid = int(batch_id)
-        closed = compacted_ranges(spark, self.root, "pipeline_metrics")
-        if closed and bid <= max(closed):
-            raise ValueError(f"batch {bid} lies in a compacted (closed) range up to {max(closed)}; "
-                             "only batches above it can be written or replayed")
+        refuse_closed(spark, self.root, [bid])
         # The raw message text is kept only on rows that fail validation (for
         # the dead letter), so the persisted batch holds parsed fields only.
         raw = ([F.when(validation_error().isNotNull(), F.col("raw")).alias("raw")]
@@ -127,16 +121,12 @@ class BatchProcessor:
 
             events = (checked.filter("error IS NULL").select(*EVENT_COLUMNS)
                       .withColumn("batch_id", F.lit(bid).cast("long")))
-            rates = ip_rate(events, self.cfg, single_batch=True).persist(StorageLevel.MEMORY_AND_DISK)
-            # Size check before any broadcast: the bot set of this batch
-            # cannot exceed max_bot_pairs(valid rows); beyond the limit AQE
-            # chooses from the measured size (sort-merge + skew split).
-            bounded = max_bot_pairs(n_raw - n_dead, self.cfg) <= self.max_broadcast_pairs
-            clean, flagged = split_events(events, rates, broadcast_bots=bounded)
+            rates = ip_rate(events, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
+            clean, flagged = split_events(events, rates)
             # Aggregate key: the batch stamp (as the original job), or an
             # event-time bucket ("minute", "hour", ...) that a replay reproduces.
             window_start = (F.date_trunc(self.agg_window, "event_ts") if self.agg_window
-                            else F.lit(stamp).cast("timestamp"))
+                            else instant(stamp))
             writes += [
                 ("events_clean",
                  lambda: write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])),
@@ -149,14 +139,14 @@ class BatchProcessor:
 
             elapsed_ms = int(round((self.clock.monotonic() - start) * 1000))
             metrics = (batch_metrics(rates)
-                       .withColumn("batch_ts", F.lit(stamp).cast("timestamp"))
+                       .withColumn("batch_ts", instant(stamp))
                        .withColumn("processing_time_ms", F.lit(elapsed_ms).cast("long"))
                        .select(*METRIC_COLUMNS))
             write_batch_metrics(metrics, self.root, bid)
             self.last_metrics = {"batch_id": bid, "raw": n_raw, "dead": n_dead,
                                  "processing_time_ms": elapsed_ms}
             if self.log:
-                self.log(f"[batch {bid}] raw={n_raw} dead={n_dead} took={elapsed_ms}ms")
+                self.log(f"wrote batch {bid}: {n_raw - n_dead} valid rows, {n_dead} dead letters, {elapsed_ms} ms")
         finally:
             if rates is not None:
                 rates.unpersist()

@@ -127,3 +127,39 @@ def test_event_time_minute_aggregate_is_replay_stable(spark, sink_root):
     again = sorted(tuple(r) for r in read_table(spark, sink_root, "events_agg")
                    .select("window_start", "product_id", "event_count").collect())
     assert again == first
+
+
+def backfill(spark, root, work, rate):
+    from surgeflow import fixture
+    from surgeflow.config import DetectorConfig
+    from surgeflow.plans.history import derive_tables, write_history
+    from tests.conftest import SF
+    raw = fixture.load(spark, SF["0.001"])
+    cfg = DetectorConfig(rate_per_sec=rate, floor_sec=5.0)
+    write_history(derive_tables(fixture.clickstream(raw), cfg, fixture.surrogate_stamps(raw), fixture.window_stamp()), root, work)
+
+
+def test_backfill_twice_equals_a_clean_one(spark, tmp_path):
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    for i, rate in enumerate((5.5 / 86400, 1e9, 0.0)):      # some flagged, then none, then every row
+        backfill(spark, twice, str(tmp_path / f"w{i}"), rate)
+        backfill(spark, f"{once}-{i}", str(tmp_path / f"v{i}"), rate)
+        assert snapshot(spark, twice, committed_only=False) == snapshot(spark, f"{once}-{i}", committed_only=False)
+    s = snapshot(spark, twice)
+    assert len(s["events_flagged"]) == 1000 and len(s["events_clean"]) == 0 and len(s["events_agg"]) == 0
+
+
+def test_stamps_are_utc_wherever_the_driver_is(spark, sink_root, monkeypatch):
+    import time
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        BatchProcessor(DEFAULT, sink_root)(t2_batch(spark), 1)
+        f = read_table(spark, sink_root, "pipeline_metrics").select(
+            (F.unix_seconds(F.current_timestamp()) - F.unix_seconds("batch_ts")).alias("age")).first()
+        a = read_table(spark, sink_root, "events_agg").select(
+            (F.unix_seconds(F.current_timestamp()) - F.unix_seconds("window_start")).alias("age")).first()
+        assert 0 <= f["age"] < 600 and 0 <= a["age"] < 600
+    finally:
+        monkeypatch.undo()
+        time.tzset()
