@@ -3,19 +3,16 @@
 Every function keys on a ``batch_id`` column, so one implementation serves a
 single micro-batch (constant id) and a whole history of batches at once.
 
-Plan shape (the events are read by two narrow aggregates and one join):
-
-    events --partial count--> Exchange(batch_id, ip)  --> per (batch, IP) n
-    events --partial count/min/max--> Exchange(batch_id) --> per batch span
-    per (batch, IP) JOIN per batch span ON batch_id       --> rates, is_bot
-    events INNER / LEFT ANTI (bot pairs) ON (batch_id, ip) --> flagged / clean
-
-The bot set is never collected to the driver. Over a history its size is not
-bounded in advance, so no broadcast hint is forced on it there: AQE measures
-the materialised set and broadcasts it when small, and otherwise keeps a
-sort-merge join whose hot-IP partition it splits (skew join). Within one
-micro-batch the set is bounded by ``max_bot_pairs`` and the caller may
-broadcast it on that bound.
+Plan shape (the events are read by one narrow aggregate and one join):
+
+    events --partial count/min/max--> Exchange(batch_id, ip) --> per (batch, IP) n, bounds
+    per (batch, IP) --partial--> Exchange(batch_id)          --> per batch span
+    per (batch, IP) JOIN per batch span ON batch_id          --> rates, is_bot
+    events LEFT (bot pairs) ON (batch_id, ip)                --> events with their verdict
+
+The bot set is never collected to the driver and no broadcast is forced on it:
+AQE measures the materialised set and broadcasts it when small, and otherwise
+keeps a sort-merge join whose hot-IP partition it splits (skew join).
 """
 
 from __future__ import annotations
@@ -32,14 +29,14 @@ PAIR_KEY = ["batch_id", "ip_address"]
 
 
 @reusable
-def _count_n() -> Column:
-    return F.count(F.lit(1)).alias("n")
+def _pair_aggs() -> tuple[Column, ...]:
+    return (F.count(F.lit(1)).alias("n"), F.min("event_ts").alias("min_ts"), F.max("event_ts").alias("max_ts"))
 
 
 @reusable
 def _span_aggs() -> tuple[Column, ...]:
-    return (F.count(F.lit(1)).alias("total_events"), F.min("event_ts").alias("min_ts"),
-            F.max("event_ts").alias("max_ts"))
+    return (F.sum("n").cast("long").alias("total_events"), F.min("min_ts").alias("min_ts"),
+            F.max("max_ts").alias("max_ts"))
 
 
 @reusable
@@ -58,46 +55,38 @@ def _is_bot() -> Column:
 
 
 def ip_counts(events: DataFrame) -> DataFrame:
-    """(batch_id, ip_address, n): map-side combined, so a hot IP costs one
-    partial row per task before the shuffle, not all its events."""
-    return events.groupBy(*PAIR_KEY).agg(_count_n())
+    """(batch_id, ip_address, n, min_ts, max_ts): map-side combined, so a hot IP
+    costs one partial row per task before the shuffle, not all its events."""
+    return events.groupBy(*PAIR_KEY).agg(*_pair_aggs())
 
 
 def batch_span(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """Per batch: total events, event-time bounds, raw and effective span.
 
     Columns: batch_id, total_events, min_ts, max_ts, raw_span_sec, span_us,
-    span_sec, threshold, reason. Partial count/min/max per task, so the
-    shuffle carries one row per (task, batch), whatever the batch size.
+    span_sec, threshold, reason. Rolled up from the per-IP counts, partially
+    per task, so that a batch of very many IPs meets in one row per task.
     """
-    per_batch = events.groupBy("batch_id").agg(*_span_aggs())
+    return spans_of(ip_counts(events), cfg)
+
+
+def spans_of(counts: DataFrame, cfg: DetectorConfig) -> DataFrame:
+    per_batch = counts.groupBy("batch_id").agg(*_span_aggs())
     return per_batch.select("batch_id", "total_events", "min_ts", "max_ts", *_span_columns(cfg))
 
 
-def ip_rate(events: DataFrame, cfg: DetectorConfig, single_batch: bool = False) -> DataFrame:
+def ip_rate(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """Per (batch, IP): n, span_sec, threshold, is_bot (n > threshold, strict), reason.
 
-    ``single_batch``: the caller guarantees one batch id (a micro-batch), so
-    the per-batch table has at most one row and is broadcast on that bound.
-    Over a history its size is the number of batches, which is not bounded,
-    so the join strategy is left to AQE's measured sizes.
+    The counts feed both sides of the join with the per-batch spans, so that
+    their exchange is computed once and reused.
     """
-    spans = batch_span(events, cfg).select("batch_id", "span_sec", "threshold", "reason")
-    if single_batch:
-        spans = F.broadcast(spans)
-    return (ip_counts(events).join(spans, "batch_id")
+    counts = ip_counts(events)
+    spans = spans_of(counts, cfg).select("batch_id", "span_sec", "threshold", "reason")
+    return (counts.join(spans, "batch_id")
             .select("batch_id", "ip_address", "n", "span_sec", "threshold", _is_bot(), "reason"))
 
 
-def max_bot_pairs(rows: int, cfg: DetectorConfig) -> int:
-    """Upper bound of flagged (batch, IP) pairs among ``rows`` events of one
-    batch: a flagged pair has more than rate x span >= rate x floor events."""
-    per_pair = cfg.rate_per_sec * cfg.floor_sec
-    if per_pair <= 0:
-        return rows
-    return int(rows // per_pair) if per_pair >= 1 else rows
-
-
 def bot_pairs(rates: DataFrame) -> DataFrame:
     """(batch_id, ip_address, reason) of the flagged pairs."""
     return rates.filter("is_bot").select("batch_id", "ip_address", "reason")
@@ -107,25 +96,27 @@ def flag_reason(rates: DataFrame) -> DataFrame:
     return bot_pairs(rates)
 
 
-def split_events(events: DataFrame, rates: DataFrame,
-                 broadcast_bots: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(clean, flagged). Every row of a flagged (batch, IP) is flagged.
+def with_verdict(events: DataFrame, rates: DataFrame) -> DataFrame:
+    """Events with ``reason``: that of their flagged (batch, IP), NULL for clean rows.
 
-    Flagged is an inner join on the unique pair key (a semi join that also
-    carries the reason); clean is a left anti join, which, unlike NOT IN, does
-    not lose the whole batch when a NULL IP is among the bots. NULL IPs are
-    removed by validation before this point. An empty bot set yields a typed
-    empty flagged frame without a branch.
-
-    ``broadcast_bots``: set by a caller that has bounded the bot set (see
-    ``max_bot_pairs``); otherwise AQE picks the strategy from measured sizes.
+    One left join on the unique pair key. An empty bot set leaves every row
+    clean without a branch. NULL IPs are removed by validation before.
     """
-    bots = bot_pairs(rates)
-    if broadcast_bots:
-        bots = F.broadcast(bots)
-    flagged = events.join(bots, PAIR_KEY, "inner").select(*FLAGGED_COLUMNS)
-    clean = events.join(bots.select(*PAIR_KEY), PAIR_KEY, "left_anti").select(*CLEAN_COLUMNS)
-    return clean, flagged
+    return events.join(bot_pairs(rates), PAIR_KEY, "left").select(*FLAGGED_COLUMNS)
+
+
+def clean_of(verdicts: DataFrame) -> DataFrame:
+    return verdicts.filter("reason IS NULL").select(*CLEAN_COLUMNS)
+
+
+def flagged_of(verdicts: DataFrame) -> DataFrame:
+    return verdicts.filter("reason IS NOT NULL").select(*FLAGGED_COLUMNS)
+
+
+def split_events(events: DataFrame, rates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean, flagged). Every row of a flagged (batch, IP) is flagged."""
+    verdicts = with_verdict(events, rates)
+    return clean_of(verdicts), flagged_of(verdicts)
 
 
 @reusable
@@ -151,14 +142,18 @@ def batch_metrics(rates: DataFrame) -> DataFrame:
                     "distinct_flagged_ips"))
 
 
-def conservation(metrics: DataFrame, clean: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Per batch: the metrics' totals against rows counted independently in
-    the clean and flagged tables; ``balanced`` when total = clean + flagged and
-    the metrics agree with the tables."""
-    c = clean.groupBy("batch_id").agg(F.count(F.lit(1)).alias("clean_rows"))
-    f = flagged.groupBy("batch_id").agg(F.count(F.lit(1)).alias("flagged_rows"))
+def verdict_rows(verdicts: DataFrame) -> DataFrame:
+    """(batch_id, clean_rows, flagged_rows), counted row by row in one pass."""
+    return verdicts.groupBy("batch_id").agg(
+        F.count_if(F.col("reason").isNull()).alias("clean_rows"), F.count("reason").alias("flagged_rows"))
+
+
+def conservation(metrics: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per batch: the metrics' totals against ``rows`` (clean and flagged rows
+    counted independently); ``balanced`` when total = clean + flagged and the
+    metrics agree with the tables."""
     m = metrics.select("batch_id", "total_events", "legit_events", "flagged_events")
-    out = (m.join(c, "batch_id", "full_outer").join(f, "batch_id", "full_outer")
+    out = (m.join(rows, "batch_id", "full_outer")
            .withColumn("clean_rows", F.coalesce("clean_rows", F.lit(0).cast("long")))
            .withColumn("flagged_rows", F.coalesce("flagged_rows", F.lit(0).cast("long"))))
     balanced = ((F.col("total_events") == F.col("clean_rows") + F.col("flagged_rows"))

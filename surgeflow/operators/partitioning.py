@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgeflow.functions.columns import trailing_number
+from surgeflow.functions.columns import key_number
 
 
 def distribute(df: DataFrame, n: int, col: str) -> DataFrame:
@@ -21,8 +21,8 @@ def hash_distribution(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def shard_of(col: str, n_shards: int):
-    """Shard number of a key: its trailing number modulo the shard count."""
-    return F.pmod(trailing_number(col), F.lit(n_shards))
+    """Shard number of a key, any text: a portable hash modulo the shard count."""
+    return F.pmod(key_number(col), F.lit(n_shards))
 
 
 def placement(spark: SparkSession, n_shards: int, n_nodes: int) -> DataFrame:
@@ -32,21 +32,20 @@ def placement(spark: SparkSession, n_shards: int, n_nodes: int) -> DataFrame:
         F.concat(F.lit("node_"), F.pmod(F.col("id"), F.lit(n_nodes)).cast("string")).alias("nodename"))
 
 
-def shard_distribution(tables: dict[str, tuple[DataFrame, str]], place: DataFrame,
-                       n_shards: int) -> DataFrame:
-    """(table_name, nodename, shard_count, row_count).
+def shard_rows(df: DataFrame, name: str, col: str, n_shards: int, rows=None) -> DataFrame:
+    """(table_name, shard, rows) of one table; ``rows``: a column that weighs its rows."""
+    n = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    return (df.groupBy(shard_of(col, n_shards).alias("shard")).agg(n.cast("long").alias("rows"))
+            .where("rows > 0").select(F.lit(name).alias("table_name"), "shard", "rows"))
 
-    Each table is reduced to rows per shard before anything is joined, so the
-    join sees at most ``n_shards`` rows per table; the placement has exactly
-    ``n_shards`` rows, the proven bound on which it is broadcast.
-    """
-    per_shard = None
-    for name, (df, col) in tables.items():
-        part = (df.groupBy(shard_of(col, n_shards).alias("shard"))
-                .agg(F.count(F.lit(1)).alias("rows"))
-                .withColumn("table_name", F.lit(name)))
-        per_shard = part if per_shard is None else per_shard.unionByName(part)
-    return (per_shard.join(F.broadcast(place), "shard")
+
+def shard_distribution(parts: list[DataFrame], place: DataFrame) -> DataFrame:
+    """(table_name, nodename, shard_count, row_count) from every table's
+    ``shard_rows``: each is reduced to a row per shard before the join."""
+    per_shard = parts[0]
+    for part in parts[1:]:
+        per_shard = per_shard.unionByName(part)
+    return (per_shard.join(place, "shard")
             .groupBy("table_name", "nodename")
             .agg(F.count(F.lit(1)).alias("shard_count"), F.sum("rows").cast("long").alias("row_count")))
 

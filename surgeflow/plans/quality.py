@@ -44,37 +44,36 @@ def detection_accuracy(events: DataFrame, rates: DataFrame, label: str = "is_bot
 
 
 def rate_conformance(events: DataFrame, phases: DataFrame, tol: float = 0.01,
-                     bucket_seconds: int = 3600, grain: str = "second") -> DataFrame:
+                     bucket_seconds: int = 3600) -> DataFrame:
     """Achieved events against ``eps x duration`` per phase.
 
-    ``phases``: (phase_id, start_ts, end_ts, eps); a NULL eps means a uniform
-    target, total events over total phase time. Events are counted per
-    ``grain`` first (a bounded reduction: one row per second of history by
-    default; phase bounds must be multiples of the grain, e.g. "millisecond"
-    for finer ones), then matched to phases by an equi join on a time bucket
-    plus a range filter, instead of a nested-loop range join.
+    ``phases``: (phase_id, start_ts, end_ts, eps), half-open and to the
+    microsecond; a NULL eps means a uniform target, total events over total
+    phase time. Events are matched by an equi join on a time bucket: buckets
+    that lie within a phase are counted as a whole, and only the events of a
+    phase's edge buckets are compared with its bounds. A phase that expects
+    nothing has an error of 0.
     """
-    bucket_us = int(bucket_seconds) * 1_000_000
-    per_sec = (events.groupBy(F.date_trunc(grain, "event_ts").alias("sec"))
-               .agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("bucket", F.floor(F.unix_micros("sec") / F.lit(bucket_us))))
+    width = F.lit(int(bucket_seconds) * 1_000_000)
+    at = events.select(F.unix_micros("event_ts").alias("us")).withColumn("bucket", F.floor(F.col("us") / width))
     ph = (phases.withColumn("start_us", F.unix_micros("start_ts"))
           .withColumn("end_us", F.unix_micros("end_ts")))
-    buckets = ph.withColumn("bucket", F.explode(F.sequence(
-        F.floor(F.col("start_us") / F.lit(bucket_us)),
-        F.floor((F.col("end_us") - F.lit(1)) / F.lit(bucket_us)))))
-    hits = (per_sec.join(buckets.select("bucket", "phase_id", "start_ts", "end_ts"), "bucket")
-            .filter((F.col("sec") >= F.col("start_ts")) & (F.col("sec") < F.col("end_ts")))
-            .groupBy("phase_id").agg(F.sum("n").cast("long").alias("actual")))
+    parts = ph.filter("end_us > start_us").select("phase_id", "start_us", "end_us", F.explode(F.sequence(
+        F.floor(F.col("start_us") / width), F.floor((F.col("end_us") - F.lit(1)) / width))).alias("bucket"))
+    whole = (F.col("bucket") * width >= F.col("start_us")) & ((F.col("bucket") + 1) * width <= F.col("end_us"))
+    full = (at.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+            .join(parts.filter(whole).select("bucket", "phase_id"), "bucket").select("phase_id", "n"))
+    edge = (at.join(parts.filter(~whole), "bucket").filter("us >= start_us AND us < end_us")
+            .groupBy("phase_id").agg(F.count(F.lit(1)).alias("n")))
+    hits = full.unionByName(edge).groupBy("phase_id").agg(F.sum("n").cast("long").alias("actual"))
     per_phase = (ph.join(hits, "phase_id", "left")
                  .withColumn("actual", F.coalesce("actual", F.lit(0).cast("long")))
                  .withColumn("duration_sec", (F.col("end_us") - F.col("start_us")) / F.lit(1e6)))
-    everything = Window.partitionBy()  # the phase list: bounded by configuration
-    uniform = F.sum("actual").over(everything) / F.sum("duration_sec").over(everything)
-    eps = F.coalesce(F.col("eps").cast("double"), uniform)
-    expected = eps * F.col("duration_sec")
+    uniform = per_phase.agg(F.sum("actual") / F.nullif(F.sum("duration_sec"), F.lit(0.0))).scalar()
+    expected = F.coalesce(F.col("eps").cast("double"), uniform, F.lit(0.0)) * F.col("duration_sec")
+    off = F.abs(F.col("actual") - F.col("expected")) / F.nullif(F.col("expected"), F.lit(0.0))
     return (per_phase.withColumn("expected", expected)
-            .withColumn("rel_error", F.abs(F.col("actual") - F.col("expected")) / F.col("expected"))
+            .withColumn("rel_error", F.coalesce(off, F.lit(0.0)))
             .select("phase_id", ntz("start_ts").alias("start_ts"), "expected", "actual", "rel_error",
                     (F.col("rel_error") <= F.lit(tol)).alias("within_tol")))
 

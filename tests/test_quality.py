@@ -28,7 +28,7 @@ def phases(spark, seconds, eps):
         "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
 
 
-# The generator's rate cases (events/s, seconds), tolerance 1 %.
+# The generator's rate cases (events/s, seconds), tolerance 1 %.
 @pytest.mark.parametrize("eps,seconds", [(100, 120), (10000, 30), (1, 10), (0.5, 20), (100000, 5)])
 def test_rate_conformance_cases(spark, eps, seconds):
     r = rate_conformance(uniform_events(spark, eps, seconds), phases(spark, seconds, eps)).first()
@@ -81,7 +81,7 @@ def test_rate_conformance_sub_second_phase_bounds(spark):
     ev = spark.createDataFrame([(START + dt.timedelta(milliseconds=m),) for m in (100, 600, 900, 2400, 2600)],
                                "event_ts timestamp")
     ph = spark.createDataFrame([(0, start, end, 1.5)], "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
-    r = rate_conformance(ev, ph, grain="millisecond").first()
+    r = rate_conformance(ev, ph).first()
     assert r["actual"] == 3 and r["expected"] == 3.0 and r["within_tol"]
 
 
@@ -90,5 +90,36 @@ def test_rate_conformance_phase_ending_past_a_bucket_edge(spark):
     ev = spark.createDataFrame([(START + dt.timedelta(seconds=3600, milliseconds=200),),
                                 (START + dt.timedelta(seconds=10),)], "event_ts timestamp")
     ph = spark.createDataFrame([(0, start, end, None)], "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
-    r = rate_conformance(ev, ph, grain="millisecond").first()
+    r = rate_conformance(ev, ph).first()
     assert r["actual"] == 2 and abs(r["expected"] - 2.0) < 1e-9
+
+
+def test_rate_conformance_to_the_microsecond(spark):
+    start, end = START + dt.timedelta(milliseconds=500), START + dt.timedelta(milliseconds=2500)
+    at = [500_000 - 1, 500_000, 800_000, 1_200_000, 1_700_000, 2_499_999, 2_500_000, 2_900_000]
+    ev = spark.createDataFrame([(START + dt.timedelta(microseconds=m),) for m in at], "event_ts timestamp")
+    ph = spark.createDataFrame([(0, start, end, 2.5)], "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
+    for seconds in (1, 3600):
+        r = rate_conformance(ev, ph, bucket_seconds=seconds).first()
+        assert r["actual"] == 5 and r["expected"] == 5.0 and r["within_tol"]
+
+
+def test_rate_conformance_without_target_or_events(spark):
+    r = rate_conformance(uniform_events(spark, 1, 10), phases(spark, 10, 0)).first()
+    assert (r["expected"], r["actual"], r["rel_error"], r["within_tol"]) == (0.0, 10, 0.0, True)
+    none = spark.createDataFrame([], "event_ts timestamp")
+    ph = spark.createDataFrame([(0, START, START + dt.timedelta(seconds=5), None)],
+                               "phase_id long, start_ts timestamp, end_ts timestamp, eps double")
+    r = rate_conformance(none, ph).first()
+    assert (r["expected"], r["actual"], r["rel_error"]) == (0.0, 0, 0.0)
+
+
+def test_shards_take_any_key_and_are_all_used(spark):
+    from surgeflow.operators.partitioning import placement, shard_distribution, shard_rows
+    ips = spark.range(40320).select(F.concat_ws(".", F.lit("10"), (F.col("id") / 256 % 8).cast("int").cast("string"),
+                                                (F.col("id") % 256).cast("string"), (F.col("id") % 7).cast("string")).alias("ip"))
+    used = shard_rows(ips, "t", "ip", 32).collect()
+    assert {r["shard"] for r in used} == set(range(32)) and sum(r["rows"] for r in used) == 40320
+    odd = spark.createDataFrame([("sku-a",), ("",), ("é",)], "k string")
+    got = shard_distribution([shard_rows(odd, "t", "k", 32)], placement(spark, 32, 3)).collect()
+    assert sum(r["row_count"] for r in got) == 3
