@@ -7,8 +7,10 @@ to HUGEINT) and ratios to DOUBLE, so types line up with Spark's.
 
 from __future__ import annotations
 
-from surgeflow.fixture import FIXTURE_CONFIG
+from surgeflow.fixture import FIXTURE_CONFIG, MISSING_FIELDS, PHASE_OFFSET_MS, PIPELINE_CONFIG, PIPELINE_DAYS
 
+STAMP = ("(TIMESTAMP '2024-01-01' + INTERVAL (CAST(batch_id // 3 AS INTEGER)) MINUTE"
+         " + INTERVAL (CAST(batch_id % 3 * 20 AS INTEGER)) SECOND)")
 RATE = repr(float(FIXTURE_CONFIG.rate_per_sec))
 RATE_TEXT = FIXTURE_CONFIG.rate_text
 FLOOR_US = FIXTURE_CONFIG.floor_us
@@ -58,7 +60,7 @@ clean AS (
                             WHERE b.batch_id = ev.batch_id AND b.ip_address = ev.ip_address)
 ),
 agg_deltas AS (
-  SELECT batch_id, CAST(DATE '2024-01-01' + CAST(batch_id AS INTEGER) AS TIMESTAMP) AS window_start,
+  SELECT batch_id, date_trunc('minute', {STAMP}) AS window_start,
          product_id, action, COUNT(*) AS event_count
   FROM clean GROUP BY batch_id, product_id, action
 ),
@@ -67,7 +69,7 @@ agg AS (
   FROM agg_deltas GROUP BY window_start, product_id, action
 ),
 stamps AS (
-  SELECT batch_id, CAST(DATE '2024-01-01' + CAST(batch_id AS INTEGER) AS TIMESTAMP) AS batch_ts,
+  SELECT batch_id, {STAMP} AS batch_ts,
          CAST(SUM(src_id % 97) AS BIGINT) AS processing_time_ms
   FROM ev GROUP BY batch_id
 ),
@@ -80,6 +82,16 @@ bm AS (
          COUNT(CASE WHEN is_bot THEN 1 END) AS distinct_flagged_ips
   FROM rt GROUP BY batch_id
 ),
+pe AS (SELECT *, batch_id // {PIPELINE_DAYS} AS b FROM ev),
+ps AS (
+  SELECT b, greatest(epoch_us(MAX(event_ts)) - epoch_us(MIN(event_ts)), {PIPELINE_CONFIG.floor_us}) AS us FROM pe GROUP BY b
+),
+pv AS (
+  SELECT pe.*, COUNT(*) OVER (PARTITION BY pe.b, ip_address) > CAST({float(PIPELINE_CONFIG.rate_per_sec)!r} AS DOUBLE) * (us / 1e6) AS is_bot,
+         'ip_rate_exceeded_{PIPELINE_CONFIG.rate_text}_events_per_sec_over_' || CAST(((us + 50000) // 100000) // 10 AS VARCHAR)
+           || '.' || CAST(((us + 50000) // 100000) % 10 AS VARCHAR) || 's_span' AS reason
+  FROM pe JOIN ps ON pe.b = ps.b
+),
 metrics AS (
   SELECT bm.batch_id, stamps.batch_ts, bm.total_events, bm.legit_events, bm.flagged_events,
          bm.distinct_ips, bm.distinct_flagged_ips, stamps.processing_time_ms
@@ -99,7 +111,10 @@ FROM ev""",
 SELECT event_id, user_id, action, product_id, ip_address, event_ts FROM ev""",
     "validate_events": """
 SELECT event_id, user_id, action, product_id, ip_address, event_ts,
-       CAST(NULL AS VARCHAR) AS error FROM ev""",
+       nullif(concat_ws(',', CASE WHEN user_id IS NULL THEN 'user_id' END, CASE WHEN product_id IS NULL THEN 'product_id' END,
+                        CASE WHEN ip_address IS NULL THEN 'ip_address' END, CASE WHEN event_ts IS NULL THEN 'event_ts' END), '') AS error
+FROM (SELECT event_id, action, """ + ", ".join(
+        f"CASE WHEN src_id % 100 <> {k} THEN {c} END AS {c}" for k, c in MISSING_FIELDS.items()) + """ FROM ev) sent""",
     "batch_span": """
 SELECT batch_id, total_events, min_ts, max_ts, raw_span_sec, span_sec, threshold FROM sp""",
     "ip_rate": """
@@ -123,14 +138,24 @@ SELECT m.batch_id, m.total_events, m.legit_events, m.flagged_events,
        (m.total_events = COALESCE(c.clean_rows, 0) + COALESCE(f.flagged_rows, 0)
         AND m.legit_events = COALESCE(c.clean_rows, 0)
         AND m.flagged_events = COALESCE(f.flagged_rows, 0)) AS balanced
-FROM metrics m
+FROM bm m
 LEFT JOIN (SELECT batch_id, COUNT(*) AS clean_rows FROM clean GROUP BY batch_id) c
   ON m.batch_id = c.batch_id
 LEFT JOIN (SELECT batch_id, COUNT(*) AS flagged_rows FROM flagged GROUP BY batch_id) f
   ON m.batch_id = f.batch_id""",
     "micro_batch_split": """
-SELECT batch_id, batch_ts, total_events, legit_events, flagged_events, distinct_ips,
-       distinct_flagged_ips, processing_time_ms FROM metrics""",
+SELECT m.*, COALESCE(c.n, 0) AS clean_rows, COALESCE(f.n, 0) AS flagged_rows, COALESCE(c.n, 0) AS agg_events
+FROM metrics m
+LEFT JOIN (SELECT batch_id, COUNT(*) AS n FROM clean GROUP BY batch_id) c ON m.batch_id = c.batch_id
+LEFT JOIN (SELECT batch_id, COUNT(*) AS n FROM flagged GROUP BY batch_id) f ON m.batch_id = f.batch_id""",
+    "batch_pipeline": f"""
+SELECT 'events_clean' AS table_name, b AS batch_id, event_id AS k0, ip_address AS k1, CAST(NULL AS VARCHAR) AS k2,
+       CAST(1 AS BIGINT) AS n FROM pv WHERE NOT is_bot
+UNION ALL SELECT 'events_flagged', b, event_id, ip_address, reason, 1 FROM pv WHERE is_bot
+UNION ALL SELECT 'events_agg', NULL, product_id, action, NULL, COUNT(*) FROM pv WHERE NOT is_bot GROUP BY product_id, action
+UNION ALL SELECT 'pipeline_metrics', b, CAST(COUNT(*) FILTER (NOT is_bot) AS VARCHAR),
+       CAST(COUNT(*) FILTER (is_bot) AS VARCHAR), CAST(COUNT(DISTINCT ip_address) FILTER (is_bot) AS VARCHAR), COUNT(*)
+FROM pv GROUP BY b""",
     "top_products": """
 SELECT product_id, action, CAST(SUM(event_count) AS BIGINT) AS total
 FROM agg GROUP BY product_id, action
@@ -177,13 +202,13 @@ SELECT table_name, 'node_' || CAST(shard % 3 AS VARCHAR) AS nodename, COUNT(*) A
        CAST(SUM(rows) AS BIGINT) AS row_count
 FROM (
   SELECT 'events_clean' AS table_name,
-         CAST(regexp_extract(product_id, '(\d+)$', 1) AS BIGINT) % 32 AS shard, COUNT(*) AS rows
+         CAST('0x' || substr(md5(product_id), 1, 8) AS BIGINT) % 32 AS shard, COUNT(*) AS rows
   FROM clean GROUP BY 1, 2
   UNION ALL
-  SELECT 'events_flagged', CAST(regexp_extract(ip_address, '(\d+)$', 1) AS BIGINT) % 32, COUNT(*)
+  SELECT 'events_flagged', CAST('0x' || substr(md5(ip_address), 1, 8) AS BIGINT) % 32, COUNT(*)
   FROM flagged GROUP BY 1, 2
   UNION ALL
-  SELECT 'events_agg', CAST(regexp_extract(product_id, '(\d+)$', 1) AS BIGINT) % 32, COUNT(*)
+  SELECT 'events_agg', CAST('0x' || substr(md5(product_id), 1, 8) AS BIGINT) % 32, COUNT(*)
   FROM agg GROUP BY 1, 2
 ) s
 GROUP BY 1, 2""",
@@ -210,22 +235,19 @@ FROM (
         FROM ev GROUP BY 1, 2, 3) l
   JOIN rt ON l.batch_id = rt.batch_id AND l.ip_address = rt.ip_address
 ) c""",
-    "rate_conformance": """
+    "rate_conformance": f"""
 SELECT phase_id, start_ts, expected, actual, rel_error, rel_error <= 0.01 AS within_tol
 FROM (
-  SELECT *, abs(actual - expected) / expected AS rel_error
+  SELECT *, CASE WHEN expected = 0 THEN 0 ELSE abs(actual - expected) / expected END AS rel_error
   FROM (
-    SELECT phase_id, start_ts, actual,
-           (SUM(actual) OVER () / SUM(duration_sec) OVER ()) * duration_sec AS expected
+    SELECT phase_id, start_ts, actual, (SUM(actual) OVER () / SUM(86400.0::DOUBLE) OVER ()) * 86400 AS expected
     FROM (
-      SELECT ph.phase_id, ph.start_ts, COUNT(ev.event_id) AS actual,
-             CAST(epoch(ph.end_ts) - epoch(ph.start_ts) AS DOUBLE) AS duration_sec
-      FROM (SELECT i AS phase_id,
-                   CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS TIMESTAMP) AS start_ts,
-                   CAST(DATE '2024-01-01' + CAST(i + 1 AS INTEGER) AS TIMESTAMP) AS end_ts
-            FROM range(30) t(i)) ph
-      LEFT JOIN ev ON ev.event_ts >= ph.start_ts AND ev.event_ts < ph.end_ts
-      GROUP BY ph.phase_id, ph.start_ts, ph.end_ts
+      SELECT ph.phase_id, ph.start_ts, COUNT(ev.event_id) AS actual
+      FROM (SELECT i AS phase_id, CAST(DATE '2024-01-01' + CAST(i AS INTEGER) AS TIMESTAMP)
+                     + INTERVAL {PHASE_OFFSET_MS} MILLISECOND AS start_ts
+            FROM (SELECT unnest(range(min(batch_id), max(batch_id) + 1)) AS i FROM ev) days) ph
+      LEFT JOIN ev ON ev.event_ts >= ph.start_ts AND ev.event_ts < ph.start_ts + INTERVAL 1 DAY
+      GROUP BY ph.phase_id, ph.start_ts
     ) p
   ) q
 ) r""",

@@ -21,6 +21,13 @@ N_SHARDS = 32
 N_NODES = 3
 BOT_USER_MODULUS = 15
 PROCESSING_MS_MODULUS = 97
+BATCHES_PER_MINUTE = 3
+# Runs of the per-batch function: several days a batch, and a rate at which some are flagged.
+PIPELINE_DAYS = 5
+PIPELINE_CONFIG = DetectorConfig(rate_per_sec=3.6 / 86400, floor_sec=5.0)
+# Fields that some messages lack, by the event number's remainder of 100.
+MISSING_FIELDS = {7: "ip_address", 13: "event_ts", 29: "product_id", 57: "user_id"}
+PHASE_OFFSET_MS = 250
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -55,16 +62,17 @@ def clickstream_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clickstream(load(spark, sf_dir, "events"))
 
 
-def batch_midnight(batch_id="batch_id"):
-    """Surrogate batch stamp: midnight of the batch's day."""
-    b = F.col(batch_id) if isinstance(batch_id, str) else batch_id
-    return F.date_add(F.lit(EPOCH_DAY).cast("date"), b.cast("int")).cast("timestamp")
+def batch_stamp():
+    """Surrogate stamp of the ``batch_id`` column: three batches share a minute, 20 s apart."""
+    b = F.col("batch_id")
+    micros = (F.floor(b / BATCHES_PER_MINUTE) * 60 + F.pmod(b, F.lit(BATCHES_PER_MINUTE)) * 20) * 1_000_000
+    return F.timestamp_micros(F.unix_micros(F.lit(EPOCH_DAY).cast("timestamp")) + micros)
 
 
 @reusable
-def midnight_stamp():
-    """``batch_midnight()`` of the ``batch_id`` column, built once."""
-    return batch_midnight()
+def window_stamp():
+    """The minute of ``batch_stamp``, as the key of aggregates that several batches add to."""
+    return F.date_trunc("minute", batch_stamp())
 
 
 def surrogate_stamps(raw: DataFrame) -> DataFrame:
@@ -83,10 +91,31 @@ def _stamp_columns():
     return (F.datediff(F.col("ts"), F.lit(EPOCH_DAY)).cast("long").alias("batch_id"),
             F.sum(F.pmod(F.col("event_id"), F.lit(PROCESSING_MS_MODULUS))).cast("long")
             .alias("processing_time_ms"),
-            batch_midnight().alias("batch_ts"))
+            batch_stamp().alias("batch_ts"))
 
 
 def is_bot_label(user_id="user_id"):
     """Known-bot label of the fixture: numeric user id divisible by 15."""
     u = F.col(user_id) if isinstance(user_id, str) else user_id
     return F.pmod(F.regexp_extract(u, r"(\d+)$", 1).cast("long"), F.lit(BOT_USER_MODULUS)) == 0
+
+
+def some_invalid(events: DataFrame) -> DataFrame:
+    """Events of which those with certain numbers lack a required field."""
+    number = F.pmod(F.conv(F.col("event_id"), 16, 10).cast("long"), F.lit(100))
+    lacks = {c: k for k, c in MISSING_FIELDS.items()}
+    return events.select(*[F.when(number != lacks[c], F.col(c)).alias(c) if c in lacks else F.col(c)
+                           for c in events.columns])
+
+
+def day_phases(events: DataFrame) -> DataFrame:
+    """A phase of one day for every day that the events span, each beginning
+    ``PHASE_OFFSET_MS`` after midnight, with a uniform target (eps NULL)."""
+    span = events.agg(F.min(F.to_date("event_ts")).alias("lo"), F.max(F.to_date("event_ts")).alias("hi"))
+    days = span.select(F.explode(F.expr("sequence(lo, hi)")).alias("day"))
+
+    def start(day):
+        return F.timestamp_micros(F.unix_micros(day.cast("timestamp")) + F.lit(PHASE_OFFSET_MS * 1000))
+
+    return days.select(F.datediff("day", F.lit(EPOCH_DAY)).cast("long").alias("phase_id"), start(F.col("day")).alias("start_ts"),
+                       start(F.date_add("day", 1)).alias("end_ts"), F.lit(None).cast("double").alias("eps"))

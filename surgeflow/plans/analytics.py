@@ -71,6 +71,17 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def verdict_counts(keyed: DataFrame, metrics: DataFrame) -> DataFrame:
+    """``table_counts`` from one pass: ``keyed`` holds clean and flagged rows per
+    aggregate key, a row of ``events_agg`` where any is clean."""
+    sums = keyed.agg(F.coalesce(F.sum("clean_rows"), F.lit(0)).alias("events_clean"),
+                     F.coalesce(F.sum("flagged_rows"), F.lit(0)).alias("events_flagged"),
+                     F.count_if(F.col("clean_rows") > 0).alias("events_agg"))
+    rows = sums.select(F.explode(F.array(*[
+        F.struct(F.lit(t).alias("table_name"), F.col(t).cast("long").alias("row_count")) for t in sums.columns])).alias("r"))
+    return rows.select("r.table_name", "r.row_count").unionByName(table_counts({"pipeline_metrics": metrics}))
+
+
 def latest_batches(metrics: DataFrame, k: int = 5) -> DataFrame:
     return (metrics.orderBy(F.desc("batch_ts"), F.desc("batch_id")).limit(k)
             .select("batch_id", ntz("batch_ts").alias("batch_ts"), "total_events", "legit_events",

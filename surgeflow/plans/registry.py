@@ -7,6 +7,7 @@ streaming job uses, over all batches at once.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +16,18 @@ from pyspark.sql import functions as F
 from surgeflow import fixture
 from surgeflow.functions.columns import ntz
 from surgeflow.operators.aggregate import upsert_view
-from surgeflow.operators.detect import batch_span, conservation, flag_reason
-from surgeflow.operators.partitioning import placement, reconcile_counts, shard_distribution
+from surgeflow.config import FixedClock
+from surgeflow.operators.detect import batch_metrics, batch_span, conservation, flag_reason, verdict_rows
+from surgeflow.operators.partitioning import placement, reconcile_counts, shard_distribution, shard_rows
 from surgeflow.plans import analytics as A
 from surgeflow.plans import quality as Q
 from surgeflow.plans.history import Tables, derive_tables, write_history
 from surgeflow.schema import DISTRIBUTION_COLUMN, EVENT_COLUMNS, METRIC_COLUMNS
-from surgeflow.session import scratch_dir
+from surgeflow.session import drop_dir, scratch_dir
 from surgeflow.sources.messages import encode_messages, parse_events, with_validation
 from surgeflow.sources.sinks import write_batches
 from surgeflow.sources.tables import read_raw_table, read_table
+from surgeflow.streaming.micro_batch import BatchProcessor
 
 CFG = fixture.FIXTURE_CONFIG
 
@@ -36,7 +39,7 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 def _tables(spark: SparkSession, sf: str) -> Tables:
     raw = fixture.load(spark, sf)
     return derive_tables(fixture.clickstream(raw), CFG, fixture.surrogate_stamps(raw),
-                         fixture.midnight_stamp())
+                         fixture.window_stamp())
 
 
 def _out_events(df: DataFrame, extra: list[str] = ()) -> DataFrame:
@@ -58,7 +61,9 @@ def q_parse_events(spark, sf):
 
 
 def q_validate_events(spark, sf):
-    return _out_events(with_validation(parse_events(_messages(spark, sf))), ["error"])
+    """Messages of which some lack a required field."""
+    sent = encode_messages(fixture.some_invalid(_events(spark, sf).select(*EVENT_COLUMNS)))
+    return _out_events(with_validation(parse_events(sent)), ["error"])
 
 
 def q_batch_span(spark, sf):
@@ -89,18 +94,26 @@ def q_events_agg(spark, sf):
                                "action", "event_count")
 
 
+def _kept(spark, root: str, df: DataFrame) -> DataFrame:
+    """The result, written and read back; the work and tables it came from go."""
+    df.write.parquet(f"{root}/result")
+    for part in ("work", "tables"):
+        drop_dir(spark, f"{root}/{part}")
+    return spark.read.schema(df.schema).parquet(f"{root}/result")
+
+
 def q_upsert_events_agg(spark, sf):
     """Deltas go through the sink (one directory per batch, dynamic
     overwrite) twice, as a replay of every batch would, and are read back
-    through the additive view: the replay adds nothing. The deltas are
-    computed once into a work table in the shared folder."""
+    through the additive view: batches of one minute add up, the replay adds
+    nothing. The deltas are computed once into a work table."""
     root = scratch_dir(spark, "upsert")
     _tables(spark, sf).agg_deltas.write.parquet(f"{root}/work/deltas")
     deltas = spark.read.parquet(f"{root}/work/deltas")
     write_batches(deltas, f"{root}/tables", "events_agg")
     write_batches(deltas, f"{root}/tables", "events_agg")
     view = upsert_view(read_raw_table(spark, f"{root}/tables", "events_agg"))
-    return view.select(ntz("window_start").alias("window_start"), "product_id", "action", "event_count")
+    return _kept(spark, root, view.select(ntz("window_start").alias("window_start"), "product_id", "action", "event_count"))
 
 
 def q_batch_metrics(spark, sf):
@@ -111,17 +124,56 @@ def q_batch_metrics(spark, sf):
 
 def q_conservation(spark, sf):
     t = _tables(spark, sf)
-    return conservation(t.metrics, t.clean, t.flagged)
+    return conservation(batch_metrics(t.rates), verdict_rows(t.verdicts))
 
 
 def q_micro_batch_split(spark, sf):
     """The whole split backfilled through the replay-safe table protocol
     (verdicts once, data tables, metrics last as the commit mark) and read
-    back committed."""
+    back committed: each batch's metrics beside the rows its tables hold."""
     root = scratch_dir(spark, "split")
     write_history(_tables(spark, sf), f"{root}/tables", f"{root}/work")
-    m = read_table(spark, f"{root}/tables", "pipeline_metrics")
-    return m.select(*[ntz(c).alias(c) if c == "batch_ts" else F.col(c) for c in METRIC_COLUMNS])
+
+    def stored(table, n, name):
+        return read_table(spark, f"{root}/tables", table).groupBy("batch_id").agg(n.cast("long").alias(name))
+
+    out = read_table(spark, f"{root}/tables", "pipeline_metrics").select(
+        *[ntz(c).alias(c) if c == "batch_ts" else F.col(c) for c in METRIC_COLUMNS])
+    for table, n, name in (("events_clean", F.count(F.lit(1)), "clean_rows"), ("events_flagged", F.count(F.lit(1)), "flagged_rows"),
+                           ("events_agg", F.sum("event_count"), "agg_events")):
+        out = out.join(stored(table, n, name), "batch_id", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return _kept(spark, root, out)
+
+
+def q_batch_pipeline(spark, sf):
+    """The per-batch function over real micro-batches of several days each, and
+    the rows of all four stored tables."""
+    root, cfg = scratch_dir(spark, "batches"), fixture.PIPELINE_CONFIG
+    events = _events(spark, sf)
+    run = F.floor(F.col("batch_id") / fixture.PIPELINE_DAYS)
+    last = events.agg(F.max(run)).first()[0]
+    process = BatchProcessor(cfg, f"{root}/tables", FixedClock(dt.datetime(2024, 2, 1)))
+    for b in range(0 if last is None else last + 1):
+        sent = encode_messages(events.where(run == b).select(*EVENT_COLUMNS))
+        process(parse_events(sent, keep_raw=True), b)
+
+    def table(name):
+        return read_table(spark, f"{root}/tables", name)
+
+    def rows(df, name, batch, keys, n):
+        text = [k.cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        return df.select(F.lit(name).alias("table_name"), batch.cast("long").alias("batch_id"),
+                         *[k.alias(f"k{i}") for i, k in enumerate(text)], n.cast("long").alias("n"))
+
+    c = F.col
+    out = rows(table("events_clean"), "events_clean", c("batch_id"), [c("event_id"), c("ip_address")], F.lit(1))
+    out = out.unionByName(rows(table("events_flagged"), "events_flagged", c("batch_id"),
+                               [c("event_id"), c("ip_address"), c("reason")], F.lit(1)))
+    out = out.unionByName(rows(upsert_view(table("events_agg")), "events_agg", F.lit(None),
+                               [c("product_id"), c("action")], c("event_count")))
+    out = out.unionByName(rows(table("pipeline_metrics"), "pipeline_metrics", c("batch_id"),
+                               [c("legit_events"), c("flagged_events"), c("distinct_flagged_ips")], c("total_events")))
+    return _kept(spark, root, out)
 
 
 def q_top_products(spark, sf):
@@ -149,7 +201,8 @@ def q_minute_rollup(spark, sf):
 
 
 def q_table_counts(spark, sf):
-    return A.table_counts(_tables(spark, sf).as_dict())
+    t = _tables(spark, sf)
+    return A.verdict_counts(t.keyed, batch_metrics(t.rates))
 
 
 def q_latest_batches(spark, sf):
@@ -169,19 +222,19 @@ def q_message_rate(spark, sf):
 
 
 def q_shard_distribution(spark, sf):
-    t = _tables(spark, sf)
-    tabs = {name: (df, DISTRIBUTION_COLUMN[name])
-            for name, df in (("events_clean", t.clean), ("events_flagged", t.flagged),
-                             ("events_agg", t.agg))}
-    return shard_distribution(tabs, placement(spark, fixture.N_SHARDS, fixture.N_NODES),
-                              fixture.N_SHARDS)
+    """Clean rows and aggregate keys from one pass over the verdicts, flagged
+    rows from the per-IP counts."""
+    t, n, at = _tables(spark, sf), fixture.N_SHARDS, DISTRIBUTION_COLUMN
+    parts = [shard_rows(t.keyed, "events_clean", at["events_clean"], n, F.col("clean_rows")),
+             shard_rows(t.rates.filter("is_bot"), "events_flagged", at["events_flagged"], n, F.col("n")),
+             shard_rows(t.keyed.filter("clean_rows > 0"), "events_agg", at["events_agg"], n)]
+    return shard_distribution(parts, placement(spark, n, fixture.N_NODES))
 
 
 def q_reconcile_counts(spark, sf):
     """Source rows per batch against rows landed in clean + flagged."""
     t = _tables(spark, sf)
-    landed = t.clean.select("batch_id").unionByName(t.flagged.select("batch_id"))
-    return reconcile_counts(_events(spark, sf).select("batch_id"), landed, ["batch_id"])
+    return reconcile_counts(_events(spark, sf).select("batch_id"), t.verdicts.select("batch_id"), ["batch_id"])
 
 
 def q_detection_accuracy(spark, sf):
@@ -190,16 +243,9 @@ def q_detection_accuracy(spark, sf):
     return Q.detection_accuracy(ev, t.rates, "is_bot_label")
 
 
-def fixture_phases(spark: SparkSession, days: int = 30) -> DataFrame:
-    """One-day phases with a uniform target rate (eps NULL = derived)."""
-    start = F.date_add(F.lit(fixture.EPOCH_DAY).cast("date"), F.col("id").cast("int"))
-    return spark.range(days).select(
-        F.col("id").alias("phase_id"), start.cast("timestamp").alias("start_ts"),
-        F.date_add(start, 1).cast("timestamp").alias("end_ts"), F.lit(None).cast("double").alias("eps"))
-
-
 def q_rate_conformance(spark, sf):
-    return Q.rate_conformance(_events(spark, sf), fixture_phases(spark), tol=0.01)
+    events = _events(spark, sf)
+    return Q.rate_conformance(events, fixture.day_phases(events), tol=0.01)
 
 
 def q_action_mix(spark, sf):
@@ -222,6 +268,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_metrics": q_batch_metrics,
     "conservation": q_conservation,
     "micro_batch_split": q_micro_batch_split,
+    "batch_pipeline": q_batch_pipeline,
     "top_products": q_top_products,
     "throughput": q_throughput,
     "flagged_pct": q_flagged_pct,

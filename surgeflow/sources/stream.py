@@ -16,7 +16,6 @@ class SourceConfig:
     topic: str = "clickstream-events"
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
-    max_offsets_per_trigger: int | None = None
     min_partitions: int | None = None
     path: str = ""
     max_files_per_trigger: int | None = None
@@ -25,17 +24,16 @@ class SourceConfig:
 
 def kafka_options(conf: SourceConfig) -> dict[str, str]:
     """Reader options: one topic, start at latest, tolerate lost offsets,
-    optional cap of offsets per trigger (backpressure) and a minimum number
-    of Spark partitions per batch (splits each topic partition's offset range
-    so parsing and validation are not limited to one task per topic partition)."""
+    and a minimum number of Spark partitions per batch (splits each topic
+    partition's offset range so parsing and validation are not limited to one
+    task per topic partition). ``extra`` holds any other option of the source;
+    ``maxOffsetsPerTrigger`` among them moves batch boundaries, hence verdicts."""
     opts = {
         "kafka.bootstrap.servers": conf.bootstrap_servers,
         "subscribe": conf.topic,
         "startingOffsets": conf.starting_offsets,
         "failOnDataLoss": str(conf.fail_on_data_loss).lower(),
     }
-    if conf.max_offsets_per_trigger:
-        opts["maxOffsetsPerTrigger"] = str(conf.max_offsets_per_trigger)
     if conf.min_partitions:
         opts["minPartitions"] = str(conf.min_partitions)
     opts.update(conf.extra)

@@ -8,11 +8,12 @@ before the shuffle).
 import pytest
 
 from __spark_entry__ import queries
+from surgeflow.plans.registry import QUERIES
 from tests.conftest import SF
 
-KEYS = sorted(queries())
+KEYS = sorted(QUERIES)
 # The queries that write through the table protocol run it while building.
-WRITERS = {"upsert_events_agg", "micro_batch_split"}
+WRITERS = {"upsert_events_agg", "micro_batch_split", "batch_pipeline"}
 
 
 def plan_text(df) -> str:
@@ -60,6 +61,16 @@ def test_batch_metrics_scan_is_pruned(spark):
             assert "props" not in schema and "value" not in schema, schema
 
 
+@pytest.mark.parametrize("key,most", [("ip_rate", 1), ("batch_metrics", 1), ("batch_span", 1), ("flagged_events", 2),
+                                      ("conservation", 2), ("table_counts", 2), ("shard_distribution", 2),
+                                      ("reconcile_counts", 3)])
+def test_scans_of_the_plan_that_ran(spark, key, most):
+    df = queries()[key](spark, SF["0.001"])
+    df.collect()
+    p = plan_text(df).split("Initial Plan")[0]
+    assert p.count("FileScan parquet") <= most, p
+
+
 def test_message_rate_single_scan_partial_agg(spark):
     p = plan_text(queries()["message_rate"](spark, SF["0.001"]))
     assert p.count("FileScan parquet") == 1
