@@ -6,6 +6,7 @@ single micro-batch (constant id) and a whole history of batches at once.
 Plan shape (the events are read by one narrow aggregate and one join):
 
     events --partial count/min/max--> Exchange(batch_id, ip) --> per (batch, IP) n, bounds
+        (written out once where several questions follow)
     per (batch, IP) --partial--> Exchange(batch_id)          --> per batch span
     per (batch, IP) JOIN per batch span ON batch_id          --> rates, is_bot
     events LEFT (bot pairs) ON (batch_id, ip)                --> events with their verdict
@@ -76,12 +77,14 @@ def spans_of(counts: DataFrame, cfg: DetectorConfig) -> DataFrame:
 
 
 def ip_rate(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
-    """Per (batch, IP): n, span_sec, threshold, is_bot (n > threshold, strict), reason.
+    """Per (batch, IP): n, span_sec, threshold, is_bot (n > threshold, strict), reason."""
+    return rates_of(ip_counts(events), cfg)
 
-    The counts feed both sides of the join with the per-batch spans, so that
-    their exchange is computed once and reused.
-    """
-    counts = ip_counts(events)
+
+def rates_of(counts: DataFrame, cfg: DetectorConfig) -> DataFrame:
+    """``ip_rate`` from ``ip_counts``. The two sides of its join need different
+    columns, so a lazy plan derives the counts for each; a caller that uses the
+    rates several times writes the counts out first."""
     spans = spans_of(counts, cfg).select("batch_id", "span_sec", "threshold", "reason")
     return (counts.join(spans, "batch_id")
             .select("batch_id", "ip_address", "n", "span_sec", "threshold", _is_bot(), "reason"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
 from surgeflow.operators.aggregate import events_agg, upsert_view
-from surgeflow.operators.detect import batch_metrics, clean_of, flagged_of, ip_rate, with_verdict
+from surgeflow.operators.detect import batch_metrics, clean_of, flagged_of, ip_counts, rates_of, with_verdict
 from surgeflow.schema import METRIC_COLUMNS
 from surgeflow.sources.messages import validate_events
 from surgeflow.sources.sinks import clear_batch, run_writes, write_batches
@@ -46,10 +46,21 @@ class Tables:
     def dead_letter(self) -> DataFrame:
         return self._validated[1]
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        """Per (batch, IP) events and their time bounds."""
+        return ip_counts(self.events)
+
     @cached_property
     def rates(self) -> DataFrame:
         """Per (batch, IP) verdicts."""
-        return ip_rate(self.events, self._cfg)
+        return rates_of(self.counts, self._cfg)
+
+    def settle(self, path: str) -> Tables:
+        """Write the counts to a work table: the rule reads the events once from here on."""
+        self.counts.write.mode("overwrite").parquet(path)
+        self.counts = self.events.sparkSession.read.schema(self.counts.schema).parquet(path)
+        return self
 
     @cached_property
     def verdicts(self) -> DataFrame:
@@ -110,7 +121,7 @@ def derive_tables(events: DataFrame, cfg: DetectorConfig, stamps: DataFrame,
 def write_history(tables: Tables, root: str, work_root: str) -> None:
     """Backfill the four tables for every batch in ``tables``, replay-safe.
 
-    The events with their verdicts, and the per-(batch, IP) rates, are written
+    The per-(batch, IP) counts and rates, and the events with their verdicts, are written
     once to ``work_root`` (tables in the shared folder: they cut the lineage and
     survive executor loss); every output reads them. A batch in a closed range
     is refused. Commit marks of all batches go first, then what an earlier run
@@ -121,7 +132,7 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     """
     spark = tables.events.sparkSession
     work = work_root.rstrip("/")
-    tables.rates.write.mode("overwrite").parquet(f"{work}/rates")
+    tables.settle(f"{work}/counts").rates.write.mode("overwrite").parquet(f"{work}/rates")
     rates = spark.read.parquet(f"{work}/rates")
     with_verdict(tables.events, rates).write.mode("overwrite").parquet(f"{work}/verdicts")
     verdicts = spark.read.parquet(f"{work}/verdicts")

@@ -117,16 +117,44 @@ def q_upsert_events_agg(spark, sf):
 
 
 def q_batch_metrics(spark, sf):
-    t = _tables(spark, sf)
-    return t.metrics.select("batch_id", "total_events", "legit_events", "flagged_events",
-                            "distinct_ips", "distinct_flagged_ips")
+    return batch_metrics(_tables(spark, sf).rates)
 
 
-def q_conservation(spark, sf):
-    t = _tables(spark, sf)
+def conservation_of(spark, sf, t: Tables) -> DataFrame:
     return conservation(batch_metrics(t.rates), verdict_rows(t.verdicts))
 
 
+def table_counts_of(spark, sf, t: Tables) -> DataFrame:
+    return A.verdict_counts(t.keyed, batch_metrics(t.rates))
+
+
+def shard_distribution_of(spark, sf, t: Tables) -> DataFrame:
+    """Clean rows and aggregate keys from one pass over the verdicts, flagged
+    rows from the per-IP counts."""
+    n, at = fixture.N_SHARDS, DISTRIBUTION_COLUMN
+    parts = [shard_rows(t.keyed, "events_clean", at["events_clean"], n, F.col("clean_rows")),
+             shard_rows(t.rates.filter("is_bot"), "events_flagged", at["events_flagged"], n, F.col("n")),
+             shard_rows(t.keyed.filter("clean_rows > 0"), "events_agg", at["events_agg"], n)]
+    return shard_distribution(parts, placement(spark, n, fixture.N_NODES))
+
+
+def reconcile_counts_of(spark, sf, t: Tables) -> DataFrame:
+    """Source rows per batch against rows landed in clean + flagged."""
+    return reconcile_counts(_events(spark, sf).select("batch_id"), t.verdicts.select("batch_id"), ["batch_id"])
+
+
+# Questions that use the rule's verdicts several times, from counts written once.
+SETTLED = {"conservation": conservation_of, "table_counts": table_counts_of,
+           "shard_distribution": shard_distribution_of, "reconcile_counts": reconcile_counts_of}
+
+
+def _settled(name: str):
+    def query(spark, sf):
+        root = scratch_dir(spark, name)
+        return _kept(spark, root, SETTLED[name](spark, sf, _tables(spark, sf).settle(f"{root}/work/counts")))
+    return query
+
+
 def q_micro_batch_split(spark, sf):
     """The whole split backfilled through the replay-safe table protocol
     (verdicts once, data tables, metrics last as the commit mark) and read
@@ -200,11 +228,6 @@ def q_minute_rollup(spark, sf):
     return A.minute_rollup(_tables(spark, sf).metrics)
 
 
-def q_table_counts(spark, sf):
-    t = _tables(spark, sf)
-    return A.verdict_counts(t.keyed, batch_metrics(t.rates))
-
-
 def q_latest_batches(spark, sf):
     return A.latest_batches(_tables(spark, sf).metrics)
 
@@ -221,22 +244,6 @@ def q_message_rate(spark, sf):
     return A.message_rate(_events(spark, sf), 60)
 
 
-def q_shard_distribution(spark, sf):
-    """Clean rows and aggregate keys from one pass over the verdicts, flagged
-    rows from the per-IP counts."""
-    t, n, at = _tables(spark, sf), fixture.N_SHARDS, DISTRIBUTION_COLUMN
-    parts = [shard_rows(t.keyed, "events_clean", at["events_clean"], n, F.col("clean_rows")),
-             shard_rows(t.rates.filter("is_bot"), "events_flagged", at["events_flagged"], n, F.col("n")),
-             shard_rows(t.keyed.filter("clean_rows > 0"), "events_agg", at["events_agg"], n)]
-    return shard_distribution(parts, placement(spark, n, fixture.N_NODES))
-
-
-def q_reconcile_counts(spark, sf):
-    """Source rows per batch against rows landed in clean + flagged."""
-    t = _tables(spark, sf)
-    return reconcile_counts(_events(spark, sf).select("batch_id"), t.verdicts.select("batch_id"), ["batch_id"])
-
-
 def q_detection_accuracy(spark, sf):
     t = _tables(spark, sf)
     ev = t.events.withColumn("is_bot_label", fixture.is_bot_label())
@@ -266,7 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_agg": q_events_agg,
     "upsert_events_agg": q_upsert_events_agg,
     "batch_metrics": q_batch_metrics,
-    "conservation": q_conservation,
+    "conservation": _settled("conservation"),
     "micro_batch_split": q_micro_batch_split,
     "batch_pipeline": q_batch_pipeline,
     "top_products": q_top_products,
@@ -275,13 +282,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_offenders": q_top_offenders,
     "latency_distribution": q_latency_distribution,
     "minute_rollup": q_minute_rollup,
-    "table_counts": q_table_counts,
+    "table_counts": _settled("table_counts"),
     "latest_batches": q_latest_batches,
     "latency_series": q_latency_series,
     "flagged_ip_series": q_flagged_ip_series,
     "message_rate": q_message_rate,
-    "shard_distribution": q_shard_distribution,
-    "reconcile_counts": q_reconcile_counts,
+    "shard_distribution": _settled("shard_distribution"),
+    "reconcile_counts": _settled("reconcile_counts"),
     "detection_accuracy": q_detection_accuracy,
     "rate_conformance": q_rate_conformance,
     "action_mix": q_action_mix,
