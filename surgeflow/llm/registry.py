@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup
+from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup, wordpiece_count
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -58,6 +58,10 @@ def op8_hilbert_sharding(spark: SparkSession, sf: str) -> DataFrame:
         return settled(hilbert_sharding.digest(hilbert_sharding.cut_runs(order, 16)), "op8")
 
 
+def op9_wordpiece_count(spark: SparkSession, sf: str) -> DataFrame:
+    return wordpiece_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     with Workspace(spark, "op10") as ws:
         found, _ = ngram_join.ngram_join(table(spark, sf, "documents"), ws)
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_fingerprint": op7_fingerprint,
     "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op9_wordpiece_count": op9_wordpiece_count,
     "op10_ngram_join": op10_ngram_join,
 }
 
