@@ -2,8 +2,6 @@ import random
 
 import pytest
 
-from tests.conftest import *  # noqa: F401,F403
-
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SYLLABLES = "re on the ti er an st ou nd ing es ed ly ble a of ca mo".split()
 
