@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from surgeflow.llm import repeats as R
 from surgeflow.llm.common import Workspace
-from surgeflow.llm.components import connected_components
+from surgeflow.llm.components import apart, connected_components
 
 WORDS = 5
 ORDERS = 3
@@ -262,7 +262,7 @@ def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = W
 
     placed = classes.join(roots, classes["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
     least = placed.groupBy("root").agg(F.min("least").alias("top"))
-    named = placed.join(least, "root").select("n", "name", "top")
+    named = placed.join(apart(least), "root").select("n", "name", "top")
     known = (maybe.select("rid", "block", "ord", "n", "name").join(named, ["n", "name"])
              .select("rid", "block", "ord", "n", F.col("top.ord").alias("root_ord"), (F.col("top.rid") == F.col("rid")).alias("first")))
     alone = sets.where("name is null").select("rid", "block", "ord", "n", F.col("ord").alias("root_ord"),
