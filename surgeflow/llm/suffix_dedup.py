@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -328,7 +329,7 @@ def _marks_table(block: np.ndarray, rid: np.ndarray, lo: np.ndarray, hi: np.ndar
 
 def record_runs(blocks: DataFrame, repeated: DataFrame, bits: int, splitters: list[int]) -> DataFrame:
     """Per block its sorted records cut into key ranges (``range``, ``run``), and
-    the marks that the block alone can tell (``range`` null)."""
+    the marks that the block alone can tell (``settled``), dealt over the ranges."""
     shift, cuts = np.uint64(64 - bits), np.array(splitters, np.int64)
 
     def build(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -373,12 +374,13 @@ def record_runs(blocks: DataFrame, repeated: DataFrame, bits: int, splitters: li
                     ranges.append(r)
                     packed.append(Run(rows[i:j], ord_[i:j], rec[a:b] - i, rid[a:b], pos[a:b]).pack())
         n, m = len(ranges), marks.num_rows
-        return pa.table({"range": pa.array([*ranges, *[None] * m], pa.int32()),
+        return pa.table({"range": pa.array([*ranges, *[block % (len(cuts) + 1)] * m], pa.int32()),
                          "block": pa.array([block] * (n + m), pa.int64()),
+                         "settled": pa.array([False] * n + [True] * m),
                          "run": pa.array([*packed, *marks["marks"].to_pylist()], pa.binary())})
 
     return (blocks.select("block", "rid", "ord", "body").groupBy("block")
-            .cogroup(repeated.groupBy("block")).applyInArrow(build, "range int, block long, run binary"))
+            .cogroup(repeated.groupBy("block")).applyInArrow(build, "range int, block long, settled boolean, run binary"))
 
 
 def _reach(rows: np.ndarray) -> np.ndarray:
@@ -417,9 +419,14 @@ def shared_windows(rows: np.ndarray, ords: np.ndarray) -> np.ndarray:
 
 
 def merge_ranges(runs: DataFrame) -> DataFrame:
-    """Marks (``block``, packed spans) from the merged runs of each key range."""
+    """Marks (``block``, packed spans) from the merged runs of each key range, and
+    those that were settled before. The runs are exchanged once and never stored."""
 
     def merge(table: pa.Table) -> pa.Table:
+        settled = table.filter(table["settled"]).select(["block", "run"]).rename_columns(["block", "marks"])
+        table = table.filter(pa.compute.invert(table["settled"]))
+        if not table.num_rows:
+            return settled
         runs = [Run.unpack(r) for r in table["run"].to_pylist()]
         order = merge_order([(r.rows, lcp) for r, lcp in runs])
         rows = np.concatenate([r.rows for r, _ in runs])
@@ -436,7 +443,7 @@ def merge_ranges(runs: DataFrame) -> DataFrame:
                 part.append(v[:len(got[0])])
             out[0][-1] = np.full(len(out[1][-1]), block)
             base += len(r.rows)
-        return _marks_table(*(np.concatenate(p).astype(np.int64) for p in out))
+        return pa.concat_tables([settled, _marks_table(*(np.concatenate(p).astype(np.int64) for p in out))])
 
     return runs.groupBy("range").applyInArrow(merge, "block long, marks binary")
 
@@ -463,10 +470,8 @@ def removed_spans(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_c
     blocks = R.write_blocks(docs, ws, id_col, text_col)
     bits = R.key_bits(blocks, 2 / (SPAN + 1))
     repeated = R.repeated_keys(blocks, anchor_sets, bits, ws)
-    runs = ws.write(record_runs(blocks, repeated, bits, splitters(blocks, partitions(docs.sparkSession))), "runs")
-    merged = merge_ranges(runs.where("range is not null"))
-    marks = merged.unionByName(runs.where("range is null").select("block", F.col("run").alias("marks")))
-    return ws.write(marks, "marks"), blocks
+    runs = record_runs(blocks, repeated, bits, splitters(blocks, partitions(docs.sparkSession)))
+    return ws.write(merge_ranges(runs), "marks"), blocks
 
 
 def strip(blocks: DataFrame, marks: DataFrame, keep_row: bool = False) -> DataFrame:
