@@ -32,10 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgeflow.llm.common import partitions
-
 TABLES, HASHES, WIDTH, PROBES = 3, 8, 2.5, 320
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16_384  # rows of a table that a task scores, two times that at most
 QUERY_ROWS = 128  # queries scored at once against a block
 SEED = 20250
 STEPS = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)), np.int64)  # perturbations of a bucket
@@ -110,8 +108,8 @@ def best_of(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, see
     return at[keep], ids[on[keep]], score[keep]
 
 
-def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, float]:
-    """Rows that take part (``vec_id``, ``v``), their dimension and largest norm."""
+def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, float, int]:
+    """Rows that take part (``vec_id``, ``v``), their dimension, largest norm and number."""
     v = F.col("v")
     fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
@@ -121,8 +119,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, in
         F.max(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))).alias("top"))
     got = sizes.orderBy(F.desc("n"), F.desc("dim")).first()
     if got is None:
-        return rows, 0, 1.0
-    return rows.where(F.size("v") == got["dim"]), got["dim"], got["top"]
+        return rows, 0, 1.0, 0
+    return rows.where(F.size("v") == got["dim"]), got["dim"], got["top"], got["n"]
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
@@ -130,12 +128,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found for each
     row of which ``is_query`` (on ``vec_id``) holds."""
     spark = vectors.sparkSession
-    rows, dim, top = usable(vectors, id_col, vec_col)
+    rows, dim, top, n_rows = usable(vectors, id_col, vec_col)
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     single = rows.schema["v"].dataType.elementType.simpleString() == "float"
     dtype = "<f4" if single else "<f8"
-    groups = max(1, partitions(spark) // TABLES)
+    groups = -(-n_rows // BLOCK_ROWS)  # a block returns k rows a query: no more blocks than the rows need
     hasher = Hasher(dim)
 
     def unit(x: np.ndarray) -> np.ndarray:
@@ -196,7 +194,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     placed = rows.mapInArrow(index, "tab int, grp int, code long, vec_id long, v binary")
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     visits = queries.mapInArrow(visit, "tab int, grp int, query_id long, q binary, codes binary")
-    blocks = placed.groupBy("tab", "grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks"))
+    blocks = placed.groupBy("tab", "grp").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK_ROWS)).alias("blocks"))
     left = placed.join(blocks, ["tab", "grp"]).withColumn("block", F.expr("pmod(xxhash64(vec_id), blocks)")).drop("blocks")
     right = visits.join(blocks, ["tab", "grp"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
     key = ["tab", "grp", "block"]
