@@ -2,9 +2,10 @@
 
 Some hundreds of regular expressions, one per licence and kind of statement,
 run over a text's words (ASCII letters lower-cased, every separator one blank),
-so that a hit is an interval of words. A gate of a few substrings decides
-whether a text is scanned at all, and each rule has key strings of which the
-text must hold one before its expression is tried. Of overlapping hits, one
+so that a hit is an interval of words. Each rule has keys of its licence and keys
+of its kind; all that it matches holds one of either, at a word's start, and only
+texts that do are tried with its expression. The gate that decides whether a text
+is scanned at all is the union of these keys over all rules. Of overlapping hits, one
 that lies within another of higher priority (or of the same priority and not
 shorter) is suppressed; hits of the three base phrases always stay. The labels
 are those of the hits that remain; the score is the surest kind among them.
@@ -27,10 +28,6 @@ from pyspark.sql import functions as F
 from surgeflow.llm.common import Workspace, ascii_lower, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of text in either case
-# Of these a text, in lower case, must hold one; every base phrase does.
-GATE = ("licen", "spdx", "gpl", "apache", "creative", "public domain", "copyleft")
-GATE_PATTERN = r"cc[^0-9a-z]*(by|0|zero)"
 
 # Phrases and labels of the base contract.
 BASE = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
@@ -41,7 +38,7 @@ class Licence:
     """How texts name a licence, in lower-case words."""
 
     label: str
-    keys: tuple[str, ...]  # one of them stands in every text that names it
+    keys: tuple[str, ...]  # one of them begins a word in whatever a rule of it matches; a blank at the end: is whole words
     name: str
     spdx: str
     title: str
@@ -50,14 +47,14 @@ class Licence:
 
 V = "(?:version |v ?)?"
 LICENCES = (
-    Licence("mit", ("mit", "expat"), "(?:mit|expat|mit x11|x11 mit)", "mit", "the mit license mit", "opensource org licenses mit"),
-    Licence("mit-0", ("mit",), "mit (?:0|no attribution)", "mit 0", "mit no attribution", "opensource org licenses mit 0"),
+    Licence("mit", ("mit ", "expat"), "(?:mit|expat|mit x11|x11 mit)", "mit", "the mit license mit", "opensource org licenses mit"),
+    Licence("mit-0", ("mit ",), "mit (?:0|no attribution)", "mit 0", "mit no attribution", "opensource org licenses mit 0"),
     Licence("apache-1.1", ("apache",), f"apache(?: software)?(?: licen[sc]e)? {V}1 1", "apache 1 1", f"apache software license {V}1 1", "apache org licenses license 1 1"),
-    Licence("apache-2", ("apache", "asl"), f"(?:apache(?: software)?(?: licen[sc]e)? {V}2(?: 0)?|asl ?2(?: 0)?)", "apache 2(?: 0)?", "apache license version 2 0", "apache org licenses license 2 0"),
-    Licence("bsd-2-clause", ("bsd",), "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd 2 clause", "bsd 2 clause license", "opensource org licenses bsd 2 clause"),
+    Licence("apache-2", ("apache", "asl 2", "asl2"), f"(?:apache(?: software)?(?: licen[sc]e)? {V}2(?: 0)?|asl ?2(?: 0)?)", "apache 2(?: 0)?", "apache license version 2 0", "apache org licenses license 2 0"),
+    Licence("bsd-2-clause", ("bsd", "freebsd"), "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd 2 clause", "bsd 2 clause license", "opensource org licenses bsd 2 clause"),
     Licence("bsd-3-clause", ("bsd",), "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)", "bsd 3 clause", "bsd 3 clause license", "opensource org licenses bsd 3 clause"),
     Licence("bsd-4-clause", ("bsd",), "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd 4 clause", "bsd 4 clause license", "spdx org licenses bsd 4 clause"),
-    Licence("0bsd", ("bsd",), "(?:0 ?bsd|zero clause bsd|bsd zero clause)", "0bsd", "bsd zero clause license", "opensource org licenses 0bsd"),
+    Licence("0bsd", ("bsd", "0bsd"), "(?:0 ?bsd|zero clause bsd|bsd zero clause)", "0bsd", "bsd zero clause license", "opensource org licenses 0bsd"),
     Licence("gpl-1", ("gpl", "general public"), f"(?:gnu )?(?:gpl|general public licen[sc]e) ?{V}1(?: 0)?", "gpl 1 0(?: only| or later)?", "gnu general public license version 1", "gnu org licenses gpl 1 0"),
     Licence("gpl-2", ("gpl", "general public"), f"(?:gnu )?(?:gpl|general public licen[sc]e) ?{V}2(?: 0)?", "gpl 2 0(?: only| or later)?", "gnu general public license version 2", "gnu org licenses (?:old licenses )?gpl 2 0"),
     Licence("gpl-3", ("gpl", "general public"), f"(?:gnu )?(?:gpl|general public licen[sc]e) ?{V}3(?: 0)?", "gpl 3 0(?: only| or later)?", "gnu general public license version 3", "gnu org licenses gpl 3 0"),
@@ -75,14 +72,14 @@ LICENCES = (
     Licence("cpl-1", ("cpl", "common public"), f"(?:cpl|common public)(?: licen[sc]e)?(?: {V}1(?: 0)?)?", "cpl 1 0", "common public license version 1 0", "opensource org licenses cpl"),
     Licence("artistic-2", ("artistic",), f"artistic(?: licen[sc]e)?(?: {V}2(?: 0)?)?", "artistic 2 0", "the artistic license 2 0", "opensource org licenses artistic"),
     Licence("bsl-1", ("boost", "bsl"), f"boost(?: software)?(?: licen[sc]e)?(?: {V}1(?: 0)?)?", "bsl 1 0", "boost software license version 1 0", "boost org license 1 0"),
-    Licence("isc", ("isc", "internet systems"), "(?:isc|internet systems consortium)", "isc", "isc license isc", "opensource org licenses isc"),
+    Licence("isc", ("isc ", "internet systems"), "(?:isc|internet systems consortium)", "isc", "isc license isc", "opensource org licenses isc"),
     Licence("zlib", ("zlib",), "(?:zlib|zlib libpng)", "zlib", "zlib license", "zlib net zlib license"),
     Licence("unlicense", ("unlicense", "unencumbered"), "unlicense", "unlicense", "this is free and unencumbered software released into the public domain", "unlicense org"),
     Licence("wtfpl", ("wtfpl", "what the f"), f"(?:wtfpl|do what the fuck you want to public)(?: {V}2)?", "wtfpl", "do what the fuck you want to public license", "wtfpl net"),
     Licence("psf-2", ("python", "psf"), f"(?:psf|python software foundation)(?: licen[sc]e)?(?: {V}2)?", "psf 2 0|python 2 0", "python software foundation license version 2", "python org psf license"),
-    Licence("ofl-1.1", ("ofl", "open font"), f"(?:sil )?(?:ofl|open font)(?: licen[sc]e)?(?: {V}1 1)?", "ofl 1 1", "sil open font license version 1 1", "scripts sil org ofl"),
+    Licence("ofl-1.1", ("ofl ", "open font"), f"(?:sil )?(?:ofl|open font)(?: licen[sc]e)?(?: {V}1 1)?", "ofl 1 1", "sil open font license version 1 1", "scripts sil org ofl"),
     Licence("odbl", ("odbl", "open database"), f"(?:odbl|open database)(?: licen[sc]e)?(?: {V}1(?: 0)?)?", "odbl 1 0", "open database license", "opendatacommons org licenses odbl"),
-    Licence("eupl", ("eupl", "european union public"), f"(?:eupl|european union public)(?: licen[sc]e)?(?: {V}1 [12])?", "eupl 1 [12]", "european union public licence", "joinup ec europa eu .{0,40}eupl"),
+    Licence("eupl", ("eupl", "european union public", "joinup"), f"(?:eupl|european union public)(?: licen[sc]e)?(?: {V}1 [12])?", "eupl 1 [12]", "european union public licence", "joinup ec europa eu .{0,40}eupl"),
     Licence("cc0", ("cc0", "cc 0", "cc zero", "creative commons", "creativecommons"), f"(?:cc ?0|cc zero|creative commons (?:zero|0))(?: {V}1 0)?", "cc0 1 0", "cc0 1 0 universal", "creativecommons org publicdomain zero"),
     Licence("cc-by", ("cc by", "creative commons", "creativecommons"), f"(?:cc by|creative commons attribution)(?! ?(?:nc|sa|nd|non ?commercial|share|no deriv))(?: {V}[1-4](?: 0)?)?", "cc by [1-4] 0", "creative commons attribution [1-4] 0", "creativecommons org licenses by [1-4]"),
     Licence("cc-by-sa", ("cc by", "creative commons", "creativecommons"), f"(?:cc by sa|creative commons attribution share ?alike)(?: {V}[1-4](?: 0)?)?", "cc by sa [1-4] 0", "creative commons attribution sharealike", "creativecommons org licenses by sa"),
@@ -93,17 +90,17 @@ LICENCES = (
 )
 
 LICENCE, TERMS = "licen[sc]e", "(?:the )?(?:terms of )?(?:the )?"
-# kind: (priority, sureness, pattern of a licence)
+# kind: (priority, sureness, keys as a licence's, pattern of a licence)
 KINDS = {
-    "tag": (5, 1.0, lambda x: f"spdx licen[sc]e identifier (?:{x.spdx})"),
-    "grant": (4, 0.95, lambda x: f"(?:licen[sc]ed|released|distributed|available|provided|published|covered|used|governed) "
-                                 f"(?:under|by) {TERMS}{x.name}(?: {LICENCE})?"),
-    "terms": (4, 0.9, lambda x: f"under {TERMS}{x.name} {LICENCE}"),
-    "address": (3, 0.9, lambda x: f"https? (?:www )?{x.url}"),
-    "title": (3, 0.8, lambda x: x.title),
-    "field": (2, 0.7, lambda x: f"{LICENCE} (?:type |name |id |is )?(?:{x.spdx})"),
-    "pointer": (2, 0.6, lambda x: f"(?:see|view|read) (?:the )?{x.name}(?: {LICENCE})?(?: for| file| text)"),
-    "mention": (1, 0.5, lambda x: f"{x.name} {LICENCE}[sd]?"),
+    "tag": (5, 1.0, ("spdx ",), lambda x: f"spdx licen[sc]e identifier (?:{x.spdx})"),
+    "grant": (4, 0.95, ("under ", "by "), lambda x: f"(?:licen[sc]ed|released|distributed|available|provided|published|covered|used|governed) "
+                                                    f"(?:under|by) {TERMS}{x.name}(?: {LICENCE})?"),
+    "terms": (4, 0.9, ("under ",), lambda x: f"under {TERMS}{x.name} {LICENCE}"),
+    "address": (3, 0.9, ("http ", "https "), lambda x: f"https? (?:www )?{x.url}"),
+    "title": (3, 0.8, ("licen", "attribution", "unencumbered", "universal"), lambda x: x.title),
+    "field": (2, 0.7, ("licen",), lambda x: f"{LICENCE} (?:type |name |id |is )?(?:{x.spdx})"),
+    "pointer": (2, 0.6, ("see ", "view ", "read "), lambda x: f"(?:see|view|read) (?:the )?{x.name}(?: {LICENCE})?(?: for| file| text)"),
+    "mention": (1, 0.5, ("licen",), lambda x: f"{x.name} {LICENCE}[sd]?"),
 }
 BASE_PRIORITY, BASE_SURE = 4, 0.95
 TOP = 5
@@ -116,27 +113,59 @@ class Rule:
     priority: int
     sure: float
     keys: tuple[str, ...]
+    kind_keys: tuple[str, ...]
     pattern: str
     base: bool = False
 
 
 def rules() -> list[Rule]:
     """Base phrases, then every licence's pattern of every kind, surest kinds first."""
-    out = [Rule(i, label, BASE_PRIORITY, BASE_SURE, (phrase,), phrase, True) for i, (phrase, label) in enumerate(BASE)]
-    for priority, sure, pattern in KINDS.values():
+    out = [Rule(i, label, BASE_PRIORITY, BASE_SURE, (f" {phrase} ",), (f" {phrase} ",), phrase, True)
+           for i, (phrase, label) in enumerate(BASE)]
+    for priority, sure, kind_keys, pattern in KINDS.values():
         for x in LICENCES:
-            out.append(Rule(len(out), x.label, priority, sure, x.keys, pattern(x)))
+            out.append(Rule(len(out), x.label, priority, sure, _at_words(x.keys), _at_words(kind_keys), pattern(x)))
     return out
 
 
+def _at_words(keys: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(f" {k}" for k in keys)
+
+
+def union(keys: set[str]) -> str:
+    """A pattern of lower-case text, or of its words, that holds any of the keys (blanks: any
+    separators, or the text's ends). Keys that hold another add nothing and are left out."""
+    def spaced(k: str) -> str:
+        return SEPARATORS.join(k.strip().split(" ")) + (f"(?:$|{SEPARATORS})" if k.endswith(" ") else "")
+
+    by_letter: dict[str, list[str]] = {}
+    for k in sorted(k for k in keys if not any(o != k and o in k for o in keys)):
+        by_letter.setdefault(k[1], []).append(spaced(k[2:]) if len(k.strip()) > 1 else "")
+    return f"(?:^|{SEPARATORS[:-1]})(?:{'|'.join(f'{a}(?:{chr(124).join(rest)})' for a, rest in by_letter.items())})"
+
+
+def gate(found: list[Rule]) -> tuple[str, str]:
+    """Patterns of which every text that a rule may match holds both."""
+    return union({k for r in found for k in r.keys}), union({k for r in found for k in r.kind_keys})
+
+
+GATE: tuple[str, ...] = ()  # strings that let a text pass wherever they stand: none
+GATE_PATTERN, KIND_PATTERN = gate(rules())
+
+
 def bounded(pattern: str) -> str:
     """The pattern as whole words between blanks."""
     return f"(?<= )(?:{pattern})(?= )"
 
 
 def _rule_array(found: list[Rule]) -> Column:
-    return F.array(*[F.struct(F.lit(r.number).alias("number"), F.array(*map(F.lit, r.keys)).alias("keys"),
-                              F.lit(bounded(r.pattern)).alias("pattern")) for r in found])
+    """Rules in groups of equal keys."""
+    groups: dict[tuple, list[Rule]] = {}
+    for r in found:
+        groups.setdefault(r.keys, []).append(r)
+    return F.array(*[F.struct(F.array(*map(F.lit, keys)).alias("keys"), F.array(*[
+        F.struct(F.lit(r.number).alias("number"), F.array(*map(F.lit, r.kind_keys)).alias("keys"),
+                 F.lit(bounded(r.pattern)).alias("pattern")) for r in some]).alias("rules")) for keys, some in groups.items()])
 
 
 def _blanks(c: Column) -> Column:
@@ -156,7 +185,10 @@ def _hits(words: Column, found: list[Rule]) -> Column:
             F.slice(between, 1, F.size(within)), within,
             lambda b, w: F.struct((_blanks(b) - 1).alias("gap"), (_blanks(w) + 1).alias("len"))).alias("steps"))
 
-    tried = F.filter(_rule_array(found), lambda r: F.exists(r["keys"], lambda k: F.contains(words, k)))
+    def held(r: Column) -> Column:
+        return F.exists(r["keys"], lambda k: F.contains(words, k))
+
+    tried = F.filter(F.flatten(F.transform(F.filter(_rule_array(found), held), lambda g: g["rules"])), held)
     return F.filter(F.transform(tried, steps), lambda h: F.size(h["steps"]) > 0)
 
 
@@ -165,16 +197,13 @@ def scan_licences(docs: DataFrame, ws: Workspace, found: list[Rule] | None = Non
     """(rows: ``rid``, ``doc_id``, ``n_words``; detections that hit: ``rid``, ``start``
     and ``end`` in words, ``label``, ``priority``, ``sure``, ``base``, ``kept``)."""
     found = rules() if found is None else found
-    text = whole_text(text_col)
-    low = F.lower(text)
-    gate = low.rlike(GATE_PATTERN)
-    for g in reversed(GATE):
-        gate = F.contains(low, F.lit(g)) | gate
+    words = F.col("words")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                       F.regexp_count(text, F.lit(ANY_WORD)).cast("long").alias("n_words"),
-                       F.when(gate, word_text(text)).alias("words"))
-    rows = ws.write(rows.select("doc_id", "rid", "n_words", F.when(
-        F.col("words").isNotNull(), _hits(F.col("words"), found)).alias("hits")), "rows")
+                       word_text(whole_text(text_col)).alias("words"))
+    names, kinds = gate(found)
+    rows = ws.write(rows.select(
+        "doc_id", "rid", F.when(words == "  ", 0).otherwise(_blanks(words) - 1).cast("long").alias("n_words"),
+        F.when(words.rlike(names) & words.rlike(kinds), _hits(words, found)).alias("hits")), "rows")
 
     each = rows.select("rid", F.explode("hits").alias("hit"))
     each = each.select("rid", "hit.number", F.posexplode("hit.steps").alias("nth", "step"))

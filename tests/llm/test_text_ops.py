@@ -179,6 +179,46 @@ def test_rules_are_hundreds_and_gated():
                 assert any(g in low for g in L.GATE) or re.search(L.GATE_PATTERN, low), r
 
 
+def samples(pattern):
+    """A few texts that the pattern matches: every branch and option taken once at least."""
+    def of(items):
+        out = [""]
+        for op, arg in items:
+            name = str(op)
+            if name == "LITERAL":
+                some = [chr(arg)]
+            elif name == "IN":
+                some = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])]
+            elif name == "ANY":
+                some = ["x"]
+            elif name == "SUBPATTERN":
+                some = of(arg[-1])
+            elif name == "BRANCH":
+                some = [t for b in arg[1] for t in of(b)]
+            elif name == "MAX_REPEAT":
+                some = [""] * (arg[0] == 0) + of(arg[2])
+            else:
+                assert name in ("ASSERT", "ASSERT_NOT"), name
+                some = [""]
+            n = max(len(out), len(some))
+            out = [out[i % len(out)] + some[i % len(some)] for i in range(n)]
+        return out
+    return of(re._parser.parse(pattern))
+
+
+def test_every_rule_passes_the_gate(spark, ws):
+    texts = [(r, t) for r in L.rules() for t in samples(r.pattern)]
+    found = [(r, t) for r, t in texts if re.search(L.bounded(r.pattern), f" {t} ")]
+    assert {r.number for r, _ in found} == {r.number for r in L.rules()}
+    lines = [t for _, t in found] + [f"See:{t.upper().replace(' ', ' -- ')}." for _, t in found]
+    lines += ["Released under the MIT.", "Distributed under the BSD 3-Clause terms", "Released under MPL 2.0.", "see the Mozilla Public file",
+              "https://www.mozilla.org/MPL/2.0/", "https://www.eclipse.org/legal/epl-v10.html", "http://www.wtfpl.net/",
+              "https://scripts.sil.org/OFL", "https://joinup.ec.europa.eu/collection/xeupl"]
+    data = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:8] for r in L.digest(*L.scan_licences(data, ws)).collect()}
+    assert got == {i: brute_scan(t) for i, t in enumerate(lines)} and all(g[5] for g in got.values())
+
+
 def test_licence_scan_odd_and_empty(odd, nothing, ws, spark):
     from surgeflow.llm.common import Workspace
     got = L.digest(*L.scan_licences(odd, ws)).collect()
