@@ -1,8 +1,10 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Nearness is the largest inner product. Vectors are divided by the largest norm
+Nearness is the largest inner product. Vectors are indexed by bands of their
+norms, a ratio of ``BAND`` wide; those of a band are divided by its largest norm
 and given one more coordinate that brings each to length 1, queries are scaled
-to length 1: the nearest by distance is then the nearest by inner product.
+to length 1: the nearest of a band by distance is then the nearest by inner
+product. A query probes every band, those of ``WHOLE_ROWS`` or fewer whole.
 Each of ``TABLES`` hash tables cuts ``HASHES`` Gaussian projections into cells
 of ``WIDTH``; a query visits its own bucket and those next to it (each
 coordinate one cell down, up, or as it is) in the order of their estimated
@@ -13,7 +15,8 @@ their exact inner products on the original vectors, in double precision.
 Nothing is capped: every row is indexed in every table, all rows of a visited
 bucket are candidates, and however many share a bucket, its rows are cut into
 blocks of about ``BLOCK_ROWS`` that each meet the queries that visit it; a
-block returns its best ``k`` per query, which lose none of the overall best.
+block returns its best ``k`` per query, which lose none of the overall best. A
+query whose probes found fewer than ``k`` rows meets all rows.
 
 Vectors that are null, empty, zero, hold a null or non-finite component, or have
 not the most frequent length take no part (neither as query nor as candidate).
@@ -25,6 +28,7 @@ not read.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from surgeflow.llm.common import settled
+
 TABLES, HASHES, WIDTH, PROBES = 3, 8, 2.5, 320
+BAND, WHOLE_ROWS = 2**0.25, 256
 BLOCK_ROWS = 16_384  # rows of a table that a task scores, two times that at most
 QUERY_ROWS = 128  # queries scored at once against a block
 SEED = 20250
@@ -47,6 +54,7 @@ class Hasher:
         self.a = rng.standard_normal((TABLES, dim + 1, HASHES))
         self.b = rng.random((TABLES, HASHES)) * WIDTH
         self.code = rng.integers(1, 2**62, (TABLES, HASHES)) * 2 + 1
+        self.band_code = rng.integers(1, 2**62, TABLES) * 2 + 1
 
     def cells(self, x: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
         """Cell coordinates and the places within the cells."""
@@ -57,6 +65,10 @@ class Hasher:
     def codes(self, cells: np.ndarray, table: int) -> np.ndarray:
         return (cells * self.code[table]).sum(-1)
 
+    def band(self, bands: np.ndarray, table: int) -> np.ndarray:
+        """What a band adds to the codes of its buckets; the code itself of a band visited whole."""
+        return bands.astype(np.int64) * self.band_code[table]
+
     def probes(self, q: np.ndarray, table: int) -> np.ndarray:
         """Codes of the buckets each query visits, best first."""
         cells, place = self.cells(q, table)
@@ -108,19 +120,23 @@ def best_of(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, see
     return at[keep], ids[on[keep]], score[keep]
 
 
-def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, float, int]:
-    """Rows that take part (``vec_id``, ``v``), their dimension, largest norm and number."""
+def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, dict[int, tuple[float, int]]]:
+    """Rows that take part (``vec_id``, ``v``, ``band``), their dimension, and each band's
+    largest norm and number of rows."""
     v = F.col("v")
     fine = (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull()).where(fine)
-    sizes = rows.groupBy(F.size("v").alias("dim")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))).alias("top"))
-    got = sizes.orderBy(F.desc("n"), F.desc("dim")).first()
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    rows = rows.withColumn("norm", norm).withColumn(  # norms about 1 lie in the middle of a band
+        "band", F.coalesce(F.floor(F.log("norm") / math.log(BAND) + 0.5).cast("long"), F.lit(0).cast("long")))
+    sizes = rows.groupBy(F.size("v").alias("dim"), "band").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("top"))
+    sizes = sizes.groupBy("dim").agg(F.sum("n").alias("n"), F.collect_list(F.struct("band", "top", "n")).alias("bands"))
+    got = sizes.orderBy(F.desc("n"), F.desc("dim")).first()  # its bands: as many as the norms' range has
+    rows = rows.drop("norm")
     if got is None:
-        return rows, 0, 1.0, 0
-    return rows.where(F.size("v") == got["dim"]), got["dim"], got["top"], got["n"]
+        return rows, 0, {}
+    return rows.where(F.size("v") == got["dim"]), got["dim"], {b["band"]: (b["top"] or 1.0, b["n"]) for b in got["bands"]}
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
@@ -128,12 +144,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest found for each
     row of which ``is_query`` (on ``vec_id``) holds."""
     spark = vectors.sparkSession
-    rows, dim, top, n_rows = usable(vectors, id_col, vec_col)
+    rows, dim, bands = usable(vectors, id_col, vec_col)
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     single = rows.schema["v"].dataType.elementType.simpleString() == "float"
     dtype = "<f4" if single else "<f8"
-    groups = -(-n_rows // BLOCK_ROWS)  # a block returns k rows a query: no more blocks than the rows need
+    whole = np.array([b for b, (_, n) in bands.items() if n <= WHOLE_ROWS], np.int64)
+    probed = np.array([b for b, (_, n) in bands.items() if n > WHOLE_ROWS], np.int64)
+    groups = -(-sum(n for _, n in bands.values()) // BLOCK_ROWS)  # a block returns k rows a query: no more blocks than the rows need
     hasher = Hasher(dim)
 
     def unit(x: np.ndarray) -> np.ndarray:
@@ -142,21 +160,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = _matrix(b.column(1), dim).astype(dtype)
-            x = raw.astype(np.float64) / top
+            band, ids = b.column(2).to_numpy(), b.column(0).to_numpy()
+            x = raw.astype(np.float64) / np.array([bands[i][0] for i in band.tolist()])[:, None]
             x = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))[:, None]], 1)
+            small = np.isin(band, whole)
             for t in range(TABLES):
-                code = hasher.codes(hasher.cells(x, t)[0], t)
+                code = np.where(small, 0, hasher.codes(hasher.cells(x, t)[0], t)) + hasher.band(band, t)
+                on = np.flatnonzero(~small | (t == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array((code % groups).astype(np.int32)), pa.array(code),
-                     b.column(0), pa.array(_packed(raw), pa.binary())], names=["tab", "grp", "code", "vec_id", "v"])
+                    [pa.array(np.full(len(on), t, np.int32)), pa.array((code[on] % groups).astype(np.int32)), pa.array(code[on]),
+                     pa.array(ids[on]), pa.array(_packed(raw[on]), pa.binary())], names=["tab", "grp", "code", "vec_id", "v"])
+
+    def visited_codes(q: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Per table and band the codes that the queries visit; the bands visited whole at once."""
+        if len(whole):
+            yield 0, np.tile(hasher.band(whole, 0), (len(q), 1))
+        for t in range(TABLES if len(probed) else 0):
+            probes = hasher.probes(q, t)
+            for extra in hasher.band(probed, t):
+                yield t, probes + extra
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = _matrix(b.column(1), dim).astype(dtype)
             q = np.concatenate([unit(raw.astype(np.float64)), np.zeros((len(raw), 1))], 1)
             packed, ids = _packed(raw), b.column(0).to_numpy()
-            for t in range(TABLES):
-                probes = hasher.probes(q, t)
+            for t, probes in visited_codes(q):
                 where = probes % groups
                 out = [[], [], [], []]
                 for i, (p, g) in enumerate(zip(probes, where)):
@@ -169,6 +198,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     [pa.array(np.full(len(out[0]), t, np.int32)), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                      pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], names=["tab", "grp", "query_id", "q", "codes"])
 
+    def lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = _matrix(b.column(1), dim).astype(dtype)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_packed(raw), pa.binary())], names=["query_id", "q"])
+
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], []]
         if left.num_rows and right.num_rows:
@@ -181,6 +215,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                 some = slice(a, a + QUERY_ROWS)
                 visited = np.zeros((len(q[some]), len(known)), bool)
                 for i, c in enumerate(codes[some]):
+                    if c is None:  # meets all rows
+                        visited[i] = True
+                        continue
                     c = np.frombuffer(c, np.int64)
                     at = np.minimum(np.searchsorted(known, c), len(known) - 1)
                     visited[i, at[known[at] == c]] = True
@@ -198,11 +235,25 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     left = placed.join(blocks, ["tab", "grp"]).withColumn("block", F.expr("pmod(xxhash64(vec_id), blocks)")).drop("blocks")
     right = visits.join(blocks, ["tab", "grp"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
     key = ["tab", "grp", "block"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+
+    def ranked(left: DataFrame, right: DataFrame) -> DataFrame:
+        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    first = settled(ranked(left, right), "op2")
+    full = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = queries.join(full, "vec_id", "left_anti")
+    if short.isEmpty():
+        return first
+    met = short.mapInArrow(lone, "query_id long, q binary").withColumn("codes", F.lit(None).cast("binary"))
+    parts = blocks.where("tab = 0").select(*[F.col(c).alias(f"_{c}") for c in ("tab", "grp", "blocks")])  # all rows, once
+    everywhere = parts.crossJoin(met).select(F.col("_tab").alias("tab"), F.col("_grp").alias("grp"), "query_id", "q", "codes",
+                                             F.explode(F.expr("sequence(0L, _blocks - 1)")).alias("block"))
+    rest = ranked(left.where("tab = 0"), everywhere)
+    return first.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(rest)
 
 
 def brute_force(ids: np.ndarray, x: np.ndarray, qid: int, q: np.ndarray, k: int = 20) -> tuple[np.ndarray, np.ndarray]:

@@ -147,6 +147,49 @@ def test_neighbours_recall_and_exact_scores(spark):
     assert len(got) == sum(i % 20 == 0 for i in table) and np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["lognormal", "one row 100x", "one row 1e6x", "tiny and huge"])
+def test_neighbours_recall_with_uneven_norms(spark, norms):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((2000, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    if norms == "lognormal":
+        x *= rng.lognormal(0, 1, (2000, 1))
+    elif norms == "tiny and huge":
+        x[::3] *= 1e-9
+        x[1::3] *= 1e9
+    else:
+        x[7] *= 100 if norms == "one row 100x" else 1e6
+    x = x.astype(np.float32).astype(float)
+    got = defaultdict(list)
+    for r in A.nearest(vectors(spark, [(i, v.tolist(), "") for i, v in enumerate(x)]), F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id].append(r.vec_id)
+    recall = [len(set(got[q]) & set(A.brute_force(np.arange(2000), x, q, x[q])[0].tolist())) / 20 for q in range(0, 2000, 20)]
+    assert {len(set(v)) for v in got.values()} == {20} and len(got) == 100
+    assert np.mean(recall) >= 0.9, np.mean(recall)
+
+
+def test_queries_whose_probes_miss_meet_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(A, "BLOCK_ROWS", 64)
+    h, rng = A.Hasher(32), np.random.default_rng(6)
+    for _ in range(2000):  # 15 queries opposite to the 600 other rows, in a direction where their probes miss
+        e = rng.standard_normal(32)
+        e /= np.sqrt(e @ e)
+        x = np.concatenate([np.tile(e, (600, 1)), np.tile(-e, (15, 1))]) + 0.001 * rng.standard_normal((615, 32))
+        x = (x / np.sqrt((x * x).sum(1, keepdims=True))).astype(np.float32).astype(float)
+        y = np.concatenate([x, np.zeros((615, 1))], 1)
+        per = [sum(np.isin(h.codes(h.cells(y[:600], t)[0], t), h.probes(y[i:i + 1], t)).sum() for t in range(A.TABLES)) for i in range(600, 602)]
+        if not any(per):
+            break
+    per = [sum(np.isin(h.codes(h.cells(y[:600], t)[0], t), h.probes(y[i:i + 1], t)).sum() for t in range(A.TABLES)) for i in range(600, 615)]
+    assert min(per) == 0
+    got = defaultdict(list)
+    for r in A.nearest(vectors(spark, [(i, v.tolist(), "") for i, v in enumerate(x)]), F.col("vec_id") >= 600).collect():
+        got[r.query_id].append((r["rank"], r.vec_id))
+    want = {q: A.brute_force(np.arange(615), x, q, x[q])[0].tolist() for q in range(600, 615)}
+    assert {q: len(v) for q, v in got.items()} == {q: 20 for q in want}
+    assert all([v for _, v in sorted(got[q])] == want[q] for q, n in zip(want, per) if n == 0)
+
+
 def test_neighbours_ties_unusable_vectors_and_a_hot_bucket(spark, monkeypatch):
     monkeypatch.setattr(A, "BLOCK_ROWS", 16)
     nan, inf = float("nan"), float("inf")
