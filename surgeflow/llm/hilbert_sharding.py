@@ -67,7 +67,8 @@ def _category(df: DataFrame, col: str, name: str, bits: int) -> DataFrame:
 
 def hilbert_order(docs: DataFrame, ws: Workspace, bits: int = BITS, id_col: str = "doc_id",
                   text_col: str = "text", categories: tuple = ("lang", "source")) -> DataFrame:
-    """``doc_id``, ``size``, ``text_crc32``, ``cell`` (curve index) and ``rank`` per document."""
+    """``doc_id``, ``size``, ``text_crc32``, ``cell`` (curve index) and ``rank`` per document,
+    and its categories as ``_c0``, ``_c1`` and so on."""
     text = whole_text(text_col).cast("binary")
     meta = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"),
@@ -85,7 +86,8 @@ def hilbert_order(docs: DataFrame, ws: Workspace, bits: int = BITS, id_col: str
         for b in batches:
             yield pd.Series(curve_index(b.to_numpy(), bits))
 
-    cells = dims.select("doc_id", "size", "text_crc32", index(F.struct(*names)).alias("cell"))
+    labels = [f"_c{i}" for i in range(len(categories))]
+    cells = dims.select("doc_id", "size", "text_crc32", *labels, index(F.struct(*names)).alias("cell"))
     return global_rank(cells, [F.col("cell"), F.col("doc_id"), F.col("text_crc32")])
 
 
@@ -97,12 +99,23 @@ def cut_runs(ranked: DataFrame, shards: int) -> DataFrame:
             .withColumn("slot", F.col("rank") - F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")))
 
 
-def write_shards(docs: DataFrame, sharded: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """The documents as Parquet, a folder per shard, rows in the order of their slots."""
-    placed = sharded.select(F.col("doc_id").alias("_id"), "text_crc32", "shard", "slot")
-    crc = F.crc32(whole_text("text").cast("binary"))
-    (docs.join(placed, docs[id_col].eqNullSafe(placed["_id"]) & (crc == placed["text_crc32"]))
-     .drop("_id", "text_crc32").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+def write_shards(docs: DataFrame, sharded: DataFrame, path: str, id_col: str = "doc_id",
+                 categories: tuple = ("lang", "source")) -> None:
+    """The documents as Parquet, a folder per shard, rows in the order of their slots.
+
+    Rows that agree in id, text and categories lie in one cell and take its places in any
+    order: the nth of them takes the nth of their places. Such a group is numbered in one task.
+    """
+    text = whole_text("text").cast("binary")
+    keys = {"_id": F.col(id_col), "_size": (F.octet_length(text) + 1).cast("long"), "_crc": F.crc32(text),
+            **{f"_c{i}": F.col(c) for i, c in enumerate(categories)}}
+    nth = F.row_number()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[c.alias(k) for k, c in keys.items()])
+    rows = rows.withColumn("_nth", nth.over(Window.partitionBy(*keys).orderBy(F.lit(0))))
+    placed = sharded.withColumnsRenamed({"doc_id": "_id", "size": "_size", "text_crc32": "_crc"}).select(*keys, "shard", "slot")
+    placed = placed.withColumn("_nth", nth.over(Window.partitionBy(*keys).orderBy("shard", "slot")))
+    same = [rows[k].eqNullSafe(placed[k]) for k in [*keys, "_nth"]]
+    (rows.join(placed, same).select("_row.*", "shard", "slot").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .drop("slot").write.partitionBy("shard").parquet(path))
 
 

@@ -110,6 +110,20 @@ def test_shards_reach_files_in_order(docs, rows, ws, spark, tmp_path):
     assert back.count() == len(rows) and set(docs.columns) < set(back.columns)
 
 
+def test_equal_rows_reach_files_once_each(ws, spark, tmp_path):
+    data = [(1, "alpha beta", "en", "s")] * 3 + [(1, "alpha beta", "fr", "s")] * 2 + [(None, "alpha", None, "t")] * 4
+    data += [(None, None, "en", None)] * 2 + [(i, f"text {i}", "en", "s") for i in range(2, 12)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3).write.parquet(path)
+    some = spark.read.parquet(path)
+    sharded = H.cut_runs(H.hilbert_order(some, ws), 4)
+    H.write_shards(some, sharded, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert Counter(tuple(r) for r in back.drop("shard").collect()) == Counter(data)
+    assert ({r.shard: r["count"] for r in back.groupBy("shard").count().collect()}
+            == {r.shard: r["count"] for r in sharded.groupBy("shard").count().collect()})
+
+
 def test_shards_odd_and_empty(odd, nothing, spark):
     with Workspace(spark, "a") as a, Workspace(spark, "b") as b:
         out = H.digest(H.cut_runs(H.hilbert_order(odd, a), 16)).collect()
