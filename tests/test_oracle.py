@@ -26,6 +26,14 @@ def test_query_matches_oracle(spark, con, key):
     assert r["ok"], r
 
 
+def test_micro_batches_before_the_first_day(spark, tmp_path):
+    from surgeflow import fixture
+    early = fixture.load(spark, SF["0.001"]).selectExpr("event_id", "ts - INTERVAL 12 DAYS AS ts", "user_id", "event_type", "value", "props")
+    early.coalesce(1).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    got = [r for r in queries()["batch_pipeline"](spark, str(tmp_path / "sf")).collect() if r.table_name == "pipeline_metrics"]
+    assert sum(r.n for r in got) == 1000 and min(r.batch_id for r in got) == -3
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     rows = df.collect()
