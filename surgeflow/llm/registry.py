@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surgeflow.llm import fingerprint, hilbert_sharding, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup, wordpiece_count
+from surgeflow.llm import best_fit_packing, filter_audit, fingerprint, hilbert_sharding, lexical_search, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup, wordpiece_count
 from surgeflow.llm import sentencepiece_codec as spc
 from surgeflow.llm.common import Workspace, settled
 
@@ -68,6 +68,23 @@ def op10_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
         return settled(ngram_join.digest(found), "op10")
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op11") as ws:
+        return settled(lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), ws), "op11")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op12") as ws:
+        vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+        packed = best_fit_packing.pack(table(spark, sf, "documents"), vocabulary, ws, keep_ids=False)
+        return settled(best_fit_packing.digest(packed), "op12")
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    with Workspace(spark, "op13") as ws:
+        return settled(filter_audit.audit(spark, f"{sf}/documents.parquet", table(spark, sf, "labels"), ws), "op13")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_multiprobe_ann": op2_multiprobe_ann,
@@ -79,9 +96,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_wordpiece_count": op9_wordpiece_count,
     "op10_ngram_join": op10_ngram_join,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": mixing.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
+    "op11_lexical_search": lexical_search.ORACLE_SQL,
+    "op13_filter_audit": filter_audit.ORACLE_SQL,
 }
