@@ -7,13 +7,16 @@ to HUGEINT) and ratios to DOUBLE, so types line up with Spark's.
 
 from __future__ import annotations
 
-from surgeflow.fixture import FIXTURE_CONFIG, MISSING_FIELDS, PHASE_OFFSET_MS, PIPELINE_CONFIG, PIPELINE_DAYS
+from surgeflow.fixture import (ALTERED, ALTERED_MODULUS, ARRIVAL_DELAYS, DEAD_LETTER_DAYS, FIXTURE_CONFIG, LATE_DELAY_SECONDS, MISSING_FIELDS,
+                               PHASE_OFFSET_MS, PIPELINE_CONFIG, PIPELINE_DAYS, SAMPLE_SECONDS, TRAILING_SECONDS,
+                               WINDOW_CONFIG, WINDOW_SECONDS)
 
 STAMP = ("(TIMESTAMP '2024-01-01' + INTERVAL (CAST(batch_id // 3 AS INTEGER)) MINUTE"
          " + INTERVAL (CAST(batch_id % 3 * 20 AS INTEGER)) SECOND)")
 RATE = repr(float(FIXTURE_CONFIG.rate_per_sec))
 RATE_TEXT = FIXTURE_CONFIG.rate_text
 FLOOR_US = FIXTURE_CONFIG.floor_us
+WINDOW_REASON = f"ip_rate_exceeded_{WINDOW_CONFIG.rate_text}_events_per_sec_over_{WINDOW_SECONDS}.0s_span"
 
 BASE = f"""
 ev AS (
@@ -92,6 +95,13 @@ pv AS (
            || '.' || CAST(((us + 50000) // 100000) % 10 AS VARCHAR) || 's_span' AS reason
   FROM pe JOIN ps ON pe.b = ps.b
 ),
+wv AS (
+  SELECT *, n > threshold AS is_bot FROM (
+    SELECT time_bucket(INTERVAL {WINDOW_SECONDS} SECOND, event_ts, TIMESTAMP '1970-01-01') AS window_start,
+           time_bucket(INTERVAL {WINDOW_SECONDS} SECOND, event_ts, TIMESTAMP '1970-01-01') + INTERVAL {WINDOW_SECONDS} SECOND AS window_end,
+           ip_address, COUNT(*) AS n, CAST({WINDOW_CONFIG.rate_per_sec!r} * {float(WINDOW_SECONDS)!r} AS DOUBLE) AS threshold
+    FROM ev GROUP BY 1, 2, 3) c
+),
 metrics AS (
   SELECT bm.batch_id, stamps.batch_ts, bm.total_events, bm.legit_events, bm.flagged_events,
          bm.distinct_ips, bm.distinct_flagged_ips, stamps.processing_time_ms
@@ -261,8 +271,72 @@ SELECT traffic_class, action, n, ROUND(CAST(n AS DOUBLE) / SUM(n) OVER (PARTITIO
             WHEN traffic_class = 'bot' AND upper(action) = 'PURCHASE' THEN 0.7 END AS DOUBLE) AS expected_share
 FROM (SELECT CASE WHEN src_user % 15 = 0 THEN 'bot' ELSE 'normal' END AS traffic_class, action,
              COUNT(*) AS n FROM ev GROUP BY 1, 2) c""",
+    "dead_letters": f"""
+, sent AS (
+  SELECT batch_id // {DEAD_LETTER_DAYS} AS b, CASE src_id % 100 {" ".join(f"WHEN {k} THEN '{c}'" for k, c in MISSING_FIELDS.items())} END AS error
+  FROM ev)
+SELECT b AS batch_id, error, COUNT(*) AS messages, CASE WHEN error IS NULL THEN 0 ELSE COUNT(*) END AS with_raw FROM sent GROUP BY 1, 2""",
+    "window_verdicts": f"""
+SELECT window_start, window_end, ip_address, n, threshold, is_bot, CASE WHEN is_bot THEN '{WINDOW_REASON}' END AS reason FROM wv""",
+    "window_metrics": """
+SELECT window_start, window_end, CAST(SUM(n) AS BIGINT) AS total_events,
+       CAST(SUM(CASE WHEN is_bot THEN 0 ELSE n END) AS BIGINT) AS legit_events,
+       CAST(SUM(CASE WHEN is_bot THEN n ELSE 0 END) AS BIGINT) AS flagged_events,
+       COUNT(*) AS distinct_ips, COUNT(CASE WHEN is_bot THEN 1 END) AS distinct_flagged_ips
+FROM wv GROUP BY 1, 2""",
+    "window_detector": f"""
+SELECT window_start, window_end, ip_address, n, threshold, is_bot, CASE WHEN is_bot THEN '{WINDOW_REASON}' END AS reason
+FROM wv WHERE window_end <= (SELECT MAX(event_ts) - INTERVAL 1 MINUTE FROM ev)""",
+    "late_rows": f"""
+, arr AS (
+  SELECT *, batch_id // {PIPELINE_DAYS} + CASE src_id % 40 {" ".join(f"WHEN {k} THEN {v}" for k, v in ARRIVAL_DELAYS.items())} ELSE 0 END AS run FROM ev),
+marks AS (
+  SELECT run, row_number() OVER (ORDER BY run) - 1 AS b,
+         max(latest) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {LATE_DELAY_SECONDS * 1_000_000} AS watermark
+  FROM (SELECT run, max(epoch_us(event_ts)) AS latest FROM arr GROUP BY run)),
+seen AS (
+  SELECT event_id, b, watermark - epoch_us(event_ts) AS behind_us,
+         coalesce((epoch_us(event_ts) // {WINDOW_SECONDS * 1_000_000} + 1) * {WINDOW_SECONDS * 1_000_000} <= watermark, false) AS late
+  FROM arr JOIN marks USING (run))
+SELECT 'batch' AS kind, CAST(b AS BIGINT) AS batch_id, CAST(NULL AS VARCHAR) AS event_id, COUNT(*) AS input_rows,
+       COUNT(*) FILTER (NOT late) AS on_time_rows, COUNT(*) FILTER (late) AS late_rows, CAST(NULL AS BIGINT) AS behind_us
+FROM seen GROUP BY b
+UNION ALL SELECT 'late', CAST(b AS BIGINT), event_id, NULL, NULL, NULL, behind_us FROM seen WHERE late""",
+    "trailing_rate": f"""
+, seen AS (
+  SELECT i AS sample, COUNT(*) AS n FROM (
+    SELECT unnest(range(CAST(ceil(epoch_us(event_ts) / {SAMPLE_SECONDS * 1e6}) AS BIGINT),
+                        CAST(ceil((epoch_us(event_ts) + {TRAILING_SECONDS * 1_000_000}) / {SAMPLE_SECONDS * 1e6}) AS BIGINT))) AS i FROM ev)
+  GROUP BY i),
+grid AS (
+  SELECT unnest(range((SELECT min(sample) FROM seen), (SELECT max(sample) FROM seen) + 2)) AS sample)
+SELECT make_timestamp(sample * {SAMPLE_SECONDS * 1_000_000}) AS sample_ts, coalesce(n, 0) AS messages,
+       CAST(coalesce(n, 0) AS DOUBLE) / {float(TRAILING_SECONDS)} AS rate_per_sec
+FROM grid LEFT JOIN seen USING (sample)""",
+    "product_activity": """
+SELECT coalesce(c.product_id, a.product_id) AS product_id, clean_rows, last_event, agg_events, agg_keys,
+       clean_rows IS NOT DISTINCT FROM agg_events AS balanced
+FROM (SELECT product_id, COUNT(*) AS clean_rows, MAX(event_ts) AS last_event FROM clean GROUP BY product_id) c
+FULL OUTER JOIN (SELECT product_id, CAST(SUM(event_count) AS BIGINT) AS agg_events, COUNT(*) AS agg_keys FROM agg GROUP BY product_id) a
+  ON c.product_id = a.product_id""",
+    "bucket_placement": """
+SELECT 'events_clean' AS table_name, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS misplaced_rows FROM clean
+UNION ALL SELECT 'events_flagged', COUNT(*), 0 FROM flagged
+UNION ALL SELECT 'events_agg', COUNT(*), 0 FROM agg""",
+    "reconcile_content": f"""
+, altered AS (
+  SELECT event_id, user_id, CASE WHEN src_id % {ALTERED_MODULUS} = {ALTERED} THEN 'altered' ELSE action END AS action,
+         product_id, ip_address, event_ts, batch_id FROM ev),
+plain AS (SELECT event_id, user_id, action, product_id, ip_address, event_ts, batch_id FROM ev),
+gone AS (SELECT batch_id, COUNT(*) AS n FROM (SELECT * FROM plain EXCEPT ALL SELECT * FROM altered) GROUP BY 1),
+come AS (SELECT batch_id, COUNT(*) AS n FROM (SELECT * FROM altered EXCEPT ALL SELECT * FROM plain) GROUP BY 1)
+SELECT e.batch_id, n_rows AS before_rows, n_rows AS after_rows, gone.n IS NULL AS same,
+       coalesce(gone.n, 0) + coalesce(come.n, 0) AS differing_rows
+FROM (SELECT batch_id, COUNT(*) AS n_rows FROM ev GROUP BY 1) e LEFT JOIN gone ON gone.batch_id = e.batch_id
+LEFT JOIN come ON come.batch_id = e.batch_id""",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f"WITH {BASE}\n{v.strip()}" for k, v in FINAL.items()}
+    """A key's text goes on with further CTEs where it begins with a comma."""
+    return {k: f"WITH {BASE.rstrip()}\n{v.strip()}" for k, v in FINAL.items()}

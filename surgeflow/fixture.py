@@ -6,7 +6,7 @@ value, props)`` becomes the six clickstream fields plus a day ``batch_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig
@@ -28,6 +28,16 @@ PIPELINE_CONFIG = DetectorConfig(rate_per_sec=3.6 / 86400, floor_sec=5.0)
 # Fields that some messages lack, by the event number's remainder of 100.
 MISSING_FIELDS = {7: "ip_address", 13: "event_ts", 29: "product_id", 57: "user_id"}
 PHASE_OFFSET_MS = 250
+DEAD_LETTER_DAYS = 15
+# Windows of the event-time rule: six hours, at a rate that flags some.
+WINDOW_SECONDS = 6 * 3600
+WINDOW_CONFIG = DetectorConfig(rate_per_sec=10 / 86400, floor_sec=5.0)
+# Arrival in micro-batches: events of these numbers (modulo 40) come so many batches late.
+ARRIVAL_DELAYS = {3: 1, 7: 2}
+LATE_DELAY_SECONDS = 90
+# Rows of these numbers are altered where a planted change is wanted.
+ALTERED_MODULUS, ALTERED = 911, 17
+TRAILING_SECONDS, SAMPLE_SECONDS = 600, 60
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -119,3 +129,22 @@ def day_phases(events: DataFrame) -> DataFrame:
 
     return days.select(F.datediff("day", F.lit(EPOCH_DAY)).cast("long").alias("phase_id"), start(F.col("day")).alias("start_ts"),
                        start(F.date_add("day", 1)).alias("end_ts"), F.lit(None).cast("double").alias("eps"))
+
+
+def event_number() -> Column:
+    return F.conv(F.col("event_id"), 16, 10).cast("long")
+
+
+def arrivals(events: DataFrame) -> DataFrame:
+    """Events with ``run``, the micro-batch that they arrive in: days of their event
+    time, but for those that come late."""
+    late = F.lit(0)
+    for remainder, batches in ARRIVAL_DELAYS.items():
+        late = F.when(F.pmod(event_number(), F.lit(40)) == remainder, F.lit(batches)).otherwise(late)
+    return events.withColumn("run", F.floor(F.col("batch_id") / PIPELINE_DAYS) + late)
+
+
+def some_altered(events: DataFrame) -> DataFrame:
+    """Events of which those with certain numbers have another action: as many rows, other content."""
+    hit = F.pmod(event_number(), F.lit(ALTERED_MODULUS)) == ALTERED
+    return events.withColumn("action", F.when(hit, F.lit("altered")).otherwise(F.col("action")))

@@ -127,7 +127,8 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     is refused. Commit marks of all batches go first, then what an earlier run
     stored of them in any table, so that a batch that now has no rows in a table
     keeps none; the metrics rows are written last: each batch becomes visible
-    only when all of its tables are in place. Only batch ids reach the driver,
+    only when all of its tables are in place. Events that lack a field go to the dead
+    letter, those without a time with the first batch. Only batch ids reach the driver,
     one number a batch, as many as there are directories to replace.
     """
     spark = tables.events.sparkSession
@@ -136,14 +137,17 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     rates = spark.read.parquet(f"{work}/rates")
     with_verdict(tables.events, rates).write.mode("overwrite").parquet(f"{work}/verdicts")
     verdicts = spark.read.parquet(f"{work}/verdicts")
-    ids = rates.select("batch_id").unionByName(tables.stamps.select("batch_id")).distinct()
+    ids = rates.select("batch_id").unionByName(tables.stamps.select("batch_id")).where("batch_id IS NOT NULL").distinct()
     batches = {r["batch_id"] for r in ids.toLocalIterator()}
     refuse_closed(spark, root, sorted(batches))
-    for table in reversed(TABLES):  # the marks first
+    for table in [*reversed(TABLES), "dead_letter"]:  # the marks first
         for b in batches.intersection(live_batches(spark, root, table)):
             clear_batch(spark, root, table, b)
     clean = clean_of(verdicts)
-    run_writes([lambda: write_batches(clean, root, "events_clean", sort_by=["event_ts"]),
+    # an event without a time names no batch: it is set aside with the first
+    dead = tables.dead_letter.withColumn("batch_id", F.coalesce("batch_id", F.lit(min(batches, default=0)).cast("long")))
+    run_writes([lambda: write_batches(dead.withColumn("raw", F.lit(None).cast("string")), root, "dead_letter"),
+                lambda: write_batches(clean, root, "events_clean", sort_by=["event_ts"]),
                 lambda: write_batches(flagged_of(verdicts), root, "events_flagged", sort_by=["event_ts"]),
                 lambda: write_batches(events_agg(clean, tables.window_start), root, "events_agg")])
     stamps = tables.stamps.select("batch_id", "batch_ts", "processing_time_ms")

@@ -18,16 +18,20 @@ from surgeflow.functions.columns import ntz
 from surgeflow.operators.aggregate import upsert_view
 from surgeflow.config import FixedClock
 from surgeflow.operators.detect import batch_metrics, batch_span, conservation, flag_reason, verdict_rows
-from surgeflow.operators.partitioning import placement, reconcile_counts, shard_distribution, shard_rows
+from surgeflow.operators.partitioning import (bucket_placement, content_differences, placement, product_activity,
+                                              reconcile_content, reconcile_counts, shard_distribution, shard_rows,
+                                              write_distributed)
 from surgeflow.plans import analytics as A
 from surgeflow.plans import quality as Q
 from surgeflow.plans.history import Tables, derive_tables, write_history
+from surgeflow.plans.windows import shown, trailing_rate, window_metrics, window_verdicts
 from surgeflow.schema import DISTRIBUTION_COLUMN, EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.session import drop_dir, scratch_dir
 from surgeflow.sources.messages import encode_messages, parse_events, with_validation
 from surgeflow.sources.sinks import write_batches
 from surgeflow.sources.tables import read_raw_table, read_table
 from surgeflow.streaming.micro_batch import BatchProcessor
+from surgeflow.streaming.windows import LateSplit, WindowCounts, late_events, late_marks, start_window_detector
 
 CFG = fixture.FIXTURE_CONFIG
 
@@ -160,7 +164,11 @@ def q_micro_batch_split(spark, sf):
     (verdicts once, data tables, metrics last as the commit mark) and read
     back committed: each batch's metrics beside the rows its tables hold."""
     root = scratch_dir(spark, "split")
-    write_history(_tables(spark, sf), f"{root}/tables", f"{root}/work")
+    try:
+        write_history(_tables(spark, sf), f"{root}/tables", f"{root}/work")
+    except BaseException:
+        drop_dir(spark, root)
+        raise
 
     def stored(table, n, name):
         return read_table(spark, f"{root}/tables", table).groupBy("batch_id").agg(n.cast("long").alias(name))
@@ -173,20 +181,42 @@ def q_micro_batch_split(spark, sf):
     return _kept(spark, root, out)
 
 
+def _runs(spark, path: str, events: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Events written by ``run``, their micro-batch, and the runs there are (one number
+    each). Events of no run, as they have no time, come with the first."""
+    first = F.coalesce(events.agg(F.min("run")).scalar(), F.lit(0).cast("long"))
+    events.select(*EVENT_COLUMNS, F.coalesce("run", first).alias("run")).write.partitionBy("run").parquet(path)
+    runs = spark.read.schema(events.select(*EVENT_COLUMNS, "run").schema).parquet(path)
+    return runs, sorted(r[0] for r in runs.select("run").distinct().collect())
+
+
+def _processed(spark, root: str, events: DataFrame, cfg) -> None:
+    """Every run of ``events`` through the per-batch function, as messages."""
+    runs, present = _runs(spark, f"{root}/work/runs", events)
+    process = BatchProcessor(cfg, f"{root}/tables", FixedClock(dt.datetime(2024, 2, 1)))
+    for b in present:
+        process(parse_events(encode_messages(runs.where(F.col("run") == b).select(*EVENT_COLUMNS)), keep_raw=True), b)
+
+
+def q_dead_letters(spark, sf):
+    """Micro-batches some of whose messages lack a field: what the per-batch function
+    sets aside, and why, beside the valid events that it counts."""
+    root = scratch_dir(spark, "dead")
+    events = _events(spark, sf).withColumn("run", F.floor(F.col("batch_id") / fixture.DEAD_LETTER_DAYS))
+    _processed(spark, root, fixture.some_invalid(events), fixture.PIPELINE_CONFIG)
+    dead = read_table(spark, f"{root}/tables", "dead_letter").groupBy("batch_id", "error").agg(
+        F.count(F.lit(1)).alias("messages"), F.count("raw").alias("with_raw"))
+    valid = read_table(spark, f"{root}/tables", "pipeline_metrics").select(
+        "batch_id", F.lit(None).cast("string").alias("error"), F.col("total_events").alias("messages"), F.lit(0).cast("long").alias("with_raw"))
+    return _kept(spark, root, dead.unionByName(valid))
+
+
 def q_batch_pipeline(spark, sf):
     """The per-batch function over real micro-batches of several days each, and
-    the rows of all four stored tables."""
-    root, cfg = scratch_dir(spark, "batches"), fixture.PIPELINE_CONFIG
+    the rows of all stored tables, dead letters included."""
+    root = scratch_dir(spark, "batches")
     events = _events(spark, sf)
-    run = F.floor(F.col("batch_id") / fixture.PIPELINE_DAYS)
-    path = f"{root}/work/runs"
-    events.select(*EVENT_COLUMNS, run.alias("run")).write.partitionBy("run").parquet(path)
-    runs = spark.read.schema(events.select(*EVENT_COLUMNS, run.alias("run")).schema).parquet(path)
-    present = sorted(r[0] for r in runs.where("run IS NOT NULL").select("run").distinct().collect())  # a row per micro-batch
-    process = BatchProcessor(cfg, f"{root}/tables", FixedClock(dt.datetime(2024, 2, 1)))
-    for b in present:
-        sent = encode_messages(runs.where(F.col("run") == b).select(*EVENT_COLUMNS))
-        process(parse_events(sent, keep_raw=True), b)
+    _processed(spark, root, events.withColumn("run", F.floor(F.col("batch_id") / fixture.PIPELINE_DAYS)), fixture.PIPELINE_CONFIG)
 
     def table(name):
         return read_table(spark, f"{root}/tables", name)
@@ -204,6 +234,7 @@ def q_batch_pipeline(spark, sf):
                                [c("product_id"), c("action")], c("event_count")))
     out = out.unionByName(rows(table("pipeline_metrics"), "pipeline_metrics", c("batch_id"),
                                [c("legit_events"), c("flagged_events"), c("distinct_flagged_ips")], c("total_events")))
+    out = out.unionByName(rows(table("dead_letter"), "dead_letter", c("batch_id"), [c("event_id"), c("ip_address"), c("error")], F.lit(1)))
     return _kept(spark, root, out)
 
 
@@ -264,6 +295,95 @@ def q_action_mix(spark, sf):
     return Q.action_mix(ev, "traffic_class")
 
 
+def q_window_verdicts(spark, sf):
+    return shown(window_verdicts(_events(spark, sf), fixture.WINDOW_CONFIG, fixture.WINDOW_SECONDS))
+
+
+def q_window_metrics(spark, sf):
+    verdicts = window_verdicts(_events(spark, sf), fixture.WINDOW_CONFIG, fixture.WINDOW_SECONDS)
+    return window_metrics(verdicts, fixture.WINDOW_SECONDS)
+
+
+def q_window_detector(spark, sf):
+    """The detector as a stream over the events table: what it appends for the windows
+    that the watermark closes, once every file has been read."""
+    root = scratch_dir(spark, "detector")
+    raw = spark.readStream.schema(fixture.EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet").option(
+        "recursiveFileLookup", "true").parquet(f"{sf.rstrip('/')}/events*.parquet")
+    stream = fixture.clickstream(raw).withWatermark("event_ts", "1 minute")
+    query = start_window_detector(stream, fixture.WINDOW_CONFIG, f"{root}/tables/verdicts", f"{root}/work/checkpoint",
+                                  fixture.WINDOW_SECONDS, available_now=True)
+    query.awaitTermination()
+    return _kept(spark, root, spark.read.parquet(f"{root}/tables/verdicts"))
+
+
+def q_late_rows(spark, sf):
+    """Micro-batches of which some rows come late, through the side path: what each
+    batch's watermark let pass, and every late row with how far it is behind."""
+    root = scratch_dir(spark, "late")
+    runs, present = _runs(spark, f"{root}/work/runs", fixture.arrivals(_events(spark, sf)))
+    split = LateSplit(WindowCounts(f"{root}/tables", fixture.WINDOW_SECONDS), f"{root}/tables", fixture.LATE_DELAY_SECONDS,
+                      fixture.WINDOW_SECONDS)
+    for i, run in enumerate(present):
+        split(runs.where(F.col("run") == run).drop("run"), i)
+    c, none = F.col, F.lit(None)
+    marks = late_marks(spark, f"{root}/tables").select(
+        F.lit("batch").alias("kind"), "batch_id", none.cast("string").alias("event_id"), "input_rows", "on_time_rows", "late_rows",
+        none.cast("long").alias("behind_us"))
+    late = late_events(spark, f"{root}/tables").select(
+        F.lit("late").alias("kind"), "batch_id", "event_id", *[none.cast("long").alias(x) for x in ("input_rows", "on_time_rows", "late_rows")],
+        c("behind_us"))
+    return _kept(spark, root, marks.unionByName(late).withColumn("batch_id", c("batch_id").cast("long")))
+
+
+def q_trailing_rate(spark, sf):
+    return trailing_rate(_events(spark, sf), fixture.TRAILING_SECONDS, fixture.SAMPLE_SECONDS)
+
+
+def _distributed(spark, sf, root: str) -> dict[str, DataFrame]:
+    """The three distributed tables, each stored in buckets of its distribution column."""
+    t = _tables(spark, sf).settle(f"{root}/work/counts")
+    name = "t_" + root.rsplit("-", 1)[-1]
+    return {table: write_distributed(t.as_dict()[table], f"{name}_{table}", f"{root}/tables/{table}", col, fixture.N_SHARDS)
+            for table, col in DISTRIBUTION_COLUMN.items()}
+
+
+def _drop_distributed(spark, root: str) -> None:
+    for table in DISTRIBUTION_COLUMN:
+        spark.sql(f"DROP TABLE IF EXISTS t_{root.rsplit('-', 1)[-1]}_{table}")
+
+
+def _over_distributed(name: str, question):
+    def query(spark, sf):
+        root = scratch_dir(spark, name)
+        try:
+            return _kept(spark, root, question(_distributed(spark, sf, root)))
+        finally:
+            _drop_distributed(spark, root)
+    return query
+
+
+def product_activity_of(t: dict[str, DataFrame]) -> DataFrame:
+    return product_activity(t["events_clean"], t["events_agg"])
+
+
+def bucket_placement_of(t: dict[str, DataFrame]) -> DataFrame:
+    parts = [bucket_placement(t[k], k, col, fixture.N_SHARDS) for k, col in DISTRIBUTION_COLUMN.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_reconcile_content(spark, sf):
+    """Source rows against a copy with some rows altered: counts agree everywhere, the
+    content does not; beside each batch how many rows differ."""
+    cols = [*EVENT_COLUMNS, "batch_id"]
+    before = _events(spark, sf)
+    after = fixture.some_altered(before)
+    report = reconcile_content(before, after, ["batch_id"], cols)
+    rows = content_differences(before, after, report, ["batch_id"], cols)
+    n = rows.groupBy("batch_id").agg(F.sum(F.abs("surplus")).cast("long").alias("differing_rows"))
+    return report.join(n, "batch_id", "left").withColumn("differing_rows", F.coalesce("differing_rows", F.lit(0).cast("long")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_messages": q_encode_messages,
     "parse_events": q_parse_events,
@@ -295,4 +415,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "detection_accuracy": q_detection_accuracy,
     "rate_conformance": q_rate_conformance,
     "action_mix": q_action_mix,
+    "dead_letters": q_dead_letters,
+    "window_verdicts": q_window_verdicts,
+    "window_metrics": q_window_metrics,
+    "window_detector": q_window_detector,
+    "late_rows": q_late_rows,
+    "trailing_rate": q_trailing_rate,
+    "product_activity": _over_distributed("activity", product_activity_of),
+    "bucket_placement": _over_distributed("placement", bucket_placement_of),
+    "reconcile_content": q_reconcile_content,
 }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import InheritableThread
 
-from surgeflow.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS, METRIC_COLUMNS
+from surgeflow.schema import CLEAN_COLUMNS, EVENT_COLUMNS, FLAGGED_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.tables import batch_path, delete_path, table_path
 
 TABLE_COLUMNS = {
@@ -21,6 +21,7 @@ TABLE_COLUMNS = {
     "events_flagged": FLAGGED_COLUMNS,
     "events_agg": ["window_start", "product_id", "action", "event_count", "batch_id"],
     "pipeline_metrics": METRIC_COLUMNS,
+    "dead_letter": [*EVENT_COLUMNS, "raw", "error", "batch_id"],
 }
 STAMP_COLUMN = {"events_clean": "ingested_at", "events_flagged": "ingested_at",
                 "pipeline_metrics": "created_at"}

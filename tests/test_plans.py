@@ -13,7 +13,8 @@ from tests.conftest import SF
 
 KEYS = sorted(QUERIES)
 # The queries that write through the table protocol run it while building.
-WRITERS = {"upsert_events_agg", "micro_batch_split", "batch_pipeline", "conservation", "table_counts",
+WRITERS = {"upsert_events_agg", "micro_batch_split", "batch_pipeline", "dead_letters", "conservation", "table_counts", "window_detector",
+           "late_rows", "product_activity", "bucket_placement",
            "shard_distribution", "reconcile_counts"}
 
 
