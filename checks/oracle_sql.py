@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from surgeflow.fixture import (ALTERED, ALTERED_MODULUS, ARRIVAL_DELAYS, DEAD_LETTER_DAYS, FIXTURE_CONFIG, LATE_DELAY_SECONDS, MISSING_FIELDS,
                                PHASE_OFFSET_MS, PIPELINE_CONFIG, PIPELINE_DAYS, SAMPLE_SECONDS, TRAILING_SECONDS,
-                               WINDOW_CONFIG, WINDOW_SECONDS)
+                               WINDOW_CONFIG, WINDOW_SECONDS, WRITTEN_CONFIG)
 
 STAMP = ("(TIMESTAMP '2024-01-01' + INTERVAL (CAST(batch_id // 3 AS INTEGER)) MINUTE"
          " + INTERVAL (CAST(batch_id % 3 * 20 AS INTEGER)) SECOND)")
@@ -276,6 +276,42 @@ FROM (SELECT CASE WHEN src_user % 15 = 0 THEN 'bot' ELSE 'normal' END AS traffic
   SELECT batch_id // {DEAD_LETTER_DAYS} AS b, CASE src_id % 100 {" ".join(f"WHEN {k} THEN '{c}'" for k, c in MISSING_FIELDS.items())} END AS error
   FROM ev)
 SELECT b AS batch_id, error, COUNT(*) AS messages, CASE WHEN error IS NULL THEN 0 ELSE COUNT(*) END AS with_raw FROM sent GROUP BY 1, 2""",
+    "distinct_ips": """
+SELECT batch_id // 7 AS range, COUNT(DISTINCT ip_address) AS distinct_ips, true AS estimate_near FROM ev GROUP BY 1
+UNION ALL SELECT -1, COUNT(DISTINCT ip_address), true FROM ev""",
+    "wait_quantiles": """
+SELECT batch_id // 7 AS range, quantile_disc(wait_ms, 0.5) AS p50_ms, quantile_disc(wait_ms, 0.95) AS p95_ms,
+       quantile_disc(wait_ms, 0.99) AS p99_ms, true AS near_p50_ms, true AS near_p95_ms, true AS near_p99_ms
+FROM (SELECT ev.batch_id, (epoch_us(max_ts) - epoch_us(event_ts)) // 1000 AS wait_ms FROM ev JOIN bs ON ev.batch_id = bs.batch_id) w
+GROUP BY 1""",
+    "heavy_hitters": """
+SELECT ip_address, COUNT(*) AS events, COUNT(DISTINCT batch_id) AS batches FROM ev GROUP BY 1 ORDER BY events DESC, ip_address LIMIT 10""",
+    "written_rows": f"""
+, run AS (
+  SELECT b, is_bot, COUNT(*) AS n, MIN(event_ts) AS first_event, MAX(event_ts) AS last_event FROM (
+    SELECT ev.batch_id // {DEAD_LETTER_DAYS} AS b, event_ts, COUNT(*) OVER (PARTITION BY ev.batch_id // {DEAD_LETTER_DAYS}, ip_address)
+      > CAST({float(WRITTEN_CONFIG.rate_per_sec)!r} AS DOUBLE) * ((MAX(epoch_us(event_ts)) OVER (PARTITION BY ev.batch_id // {DEAD_LETTER_DAYS})
+      - MIN(epoch_us(event_ts)) OVER (PARTITION BY ev.batch_id // {DEAD_LETTER_DAYS})) / 1e6) AS is_bot
+    FROM ev) x GROUP BY 1, 2)
+SELECT b AS batch_id, CASE WHEN is_bot THEN 'events_flagged' ELSE 'events_clean' END AS table_name, coalesce(n, 0) AS written_rows,
+       first_event, last_event, coalesce(n, 0) AS stored_rows, true AS same
+FROM (SELECT DISTINCT b FROM run) CROSS JOIN (SELECT unnest([true, false]) AS is_bot) LEFT JOIN run USING (b, is_bot)""",
+    "stored_answers": """
+SELECT 'top_products' AS question, product_id AS k0, action AS k1, total AS n0, CAST(NULL AS BIGINT) AS n1, CAST(NULL AS BIGINT) AS n2
+FROM (SELECT product_id, action, CAST(SUM(event_count) AS BIGINT) AS total FROM agg GROUP BY 1, 2 ORDER BY total DESC, product_id, action LIMIT 10)
+UNION ALL SELECT 'throughput', strftime(batch_ts, '%Y-%m-%d %H:%M:%S'), NULL, total_events, legit_events, flagged_events FROM metrics
+UNION ALL SELECT 'flagged_pct', NULL, NULL, CAST(SUM(legit_events) AS BIGINT), CAST(SUM(flagged_events) AS BIGINT), NULL FROM metrics
+UNION ALL SELECT 'top_offenders', ip_address, NULL, n, b, NULL
+FROM (SELECT ip_address, COUNT(*) AS n, COUNT(DISTINCT batch_id) AS b FROM flagged GROUP BY 1 ORDER BY n DESC, ip_address LIMIT 10)
+UNION ALL SELECT 'latency_distribution', NULL, NULL, MIN(processing_time_ms), MAX(processing_time_ms), COUNT(*) FROM metrics
+UNION ALL SELECT 'minute_rollup', strftime(date_trunc('minute', batch_ts), '%Y-%m-%d %H:%M:%S'), NULL, CAST(SUM(total_events) AS BIGINT), NULL, NULL
+FROM metrics GROUP BY 2
+UNION ALL SELECT 'table_counts', 'events_clean', NULL, COUNT(*), NULL, NULL FROM clean
+UNION ALL SELECT 'table_counts', 'events_flagged', NULL, COUNT(*), NULL, NULL FROM flagged
+UNION ALL SELECT 'table_counts', 'events_agg', NULL, COUNT(*), NULL, NULL FROM agg
+UNION ALL SELECT 'table_counts', 'pipeline_metrics', NULL, COUNT(*), NULL, NULL FROM metrics
+UNION ALL SELECT 'latest_batches', strftime(batch_ts, '%Y-%m-%d %H:%M:%S'), NULL, batch_id, total_events, processing_time_ms
+FROM (SELECT * FROM metrics ORDER BY batch_ts DESC, batch_id DESC LIMIT 5)""",
     "window_verdicts": f"""
 SELECT window_start, window_end, ip_address, n, threshold, is_bot, CASE WHEN is_bot THEN '{WINDOW_REASON}' END AS reason FROM wv""",
     "window_metrics": """

@@ -29,6 +29,7 @@ PIPELINE_CONFIG = DetectorConfig(rate_per_sec=3.6 / 86400, floor_sec=5.0)
 MISSING_FIELDS = {7: "ip_address", 13: "event_ts", 29: "product_id", 57: "user_id"}
 PHASE_OFFSET_MS = 250
 DEAD_LETTER_DAYS = 15
+WRITTEN_CONFIG = DetectorConfig(rate_per_sec=2.4 / 86400, floor_sec=5.0)
 # Windows of the event-time rule: six hours, at a rate that flags some.
 WINDOW_SECONDS = 6 * 3600
 WINDOW_CONFIG = DetectorConfig(rate_per_sec=10 / 86400, floor_sec=5.0)

@@ -8,7 +8,7 @@ Plan shape (the events are read by one narrow aggregate and one join):
     events --partial count/min/max--> Exchange(batch_id, ip) --> per (batch, IP) n, bounds
         (written out once where several questions follow)
     per (batch, IP) --partial--> Exchange(batch_id)          --> per batch span
-    per (batch, IP) JOIN per batch span ON batch_id          --> rates, is_bot
+    per (batch, IP) JOIN per batch span ON batch_id, salt    --> rates, is_bot
     events LEFT (bot pairs) ON (batch_id, ip)                --> events with their verdict
 
 The bot set is never collected to the driver and no broadcast is forced on it:
@@ -27,6 +27,17 @@ from surgeflow.functions.columns import (effective_span_us, raw_span_us, reason_
 from surgeflow.schema import CLEAN_COLUMNS, FLAGGED_COLUMNS
 
 PAIR_KEY = ["batch_id", "ip_address"]
+SALTS = 16
+
+
+@reusable
+def _salt() -> Column:
+    return F.pmod(F.hash("ip_address"), F.lit(SALTS))
+
+
+@reusable
+def _salts() -> Column:
+    return F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")
 
 
 @reusable
@@ -84,9 +95,13 @@ def ip_rate(events: DataFrame, cfg: DetectorConfig) -> DataFrame:
 def rates_of(counts: DataFrame, cfg: DetectorConfig) -> DataFrame:
     """``ip_rate`` from ``ip_counts``. The two sides of its join need different
     columns, so a lazy plan derives the counts for each; a caller that uses the
-    rates several times writes the counts out first."""
-    spans = spans_of(counts, cfg).select("batch_id", "span_sec", "threshold", "reason")
-    return (counts.join(spans, "batch_id")
+    rates several times writes the counts out first.
+
+    A batch's IPs are dealt over ``SALTS`` join keys, and its one span row repeated
+    for each: joined on the batch alone, one huge batch would be one task here and,
+    as the rows lie by batch then, in every aggregate per batch that follows."""
+    spans = spans_of(counts, cfg).select("batch_id", "span_sec", "threshold", "reason", _salts())
+    return (counts.withColumn("salt", _salt()).join(spans, ["batch_id", "salt"])
             .select("batch_id", "ip_address", "n", "span_sec", "threshold", _is_bot(), "reason"))
 
 

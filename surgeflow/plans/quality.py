@@ -43,16 +43,14 @@ def detection_accuracy(events: DataFrame, rates: DataFrame, label: str = "is_bot
         _ratio(F.col("fp"), F.col("fp") + F.col("tn")).alias("fp_rate"))
 
 
-def rate_conformance(events: DataFrame, phases: DataFrame, tol: float = 0.01,
-                     bucket_seconds: int = 3600) -> DataFrame:
-    """Achieved events against ``eps x duration`` per phase.
-
-    ``phases``: (phase_id, start_ts, end_ts, eps), half-open and to the
-    microsecond; a NULL eps means a uniform target, total events over total
-    phase time. Events are matched by an equi join on a time bucket: buckets
-    that lie within a phase are counted as a whole, and only the events of a
-    phase's edge buckets are compared with its bounds. A phase that expects
-    nothing has an error of 0.
+def phase_counts(events: DataFrame, phases: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """Events per phase: (phase_id, start_ts, eps, actual, duration_sec).
+
+    ``phases``: (phase_id, start_ts, end_ts, eps), half-open and to the microsecond;
+    best a stored table, as it is read three times. Events are matched by an equi
+    join on a time bucket: buckets that lie within a phase are counted as a whole,
+    and only the events of a phase's edge buckets are compared with its bounds. The
+    events are read twice, once for either.
     """
     width = F.lit(int(bucket_seconds) * 1_000_000)
     at = events.select(F.unix_micros("event_ts").alias("us")).withColumn("bucket", F.floor(F.col("us") / width))
@@ -66,18 +64,33 @@ def rate_conformance(events: DataFrame, phases: DataFrame, tol: float = 0.01,
     edge = (at.join(parts.filter(~whole), "bucket").filter("us >= start_us AND us < end_us")
             .groupBy("phase_id").agg(F.count(F.lit(1)).alias("n")))
     hits = full.unionByName(edge).groupBy("phase_id").agg(F.sum("n").cast("long").alias("actual"))
-    per_phase = (ph.join(hits, "phase_id", "left")
-                 .withColumn("actual", F.coalesce("actual", F.lit(0).cast("long")))
-                 .withColumn("duration_sec", (F.col("end_us") - F.col("start_us")) / F.lit(1e6)))
-    uniform = per_phase.agg(F.sum("actual") / F.nullif(F.sum("duration_sec"), F.lit(0.0))).scalar()
+    return (ph.join(hits, "phase_id", "left")
+            .select("phase_id", "start_ts", "eps", F.coalesce("actual", F.lit(0).cast("long")).alias("actual"),
+                    ((F.col("end_us") - F.col("start_us")) / F.lit(1e6)).alias("duration_sec")))
+
+
+def conformance_of(counts: DataFrame, tol: float = 0.01) -> DataFrame:
+    """Achieved events against ``eps x duration`` from ``phase_counts``.
+
+    A NULL eps means a uniform target, total events over total phase time, for which
+    the counts are read a second time: best a stored table. A phase that expects
+    nothing has an error of 0.
+    """
+    uniform = counts.agg(F.sum("actual") / F.nullif(F.sum("duration_sec"), F.lit(0.0))).scalar()
     expected = F.coalesce(F.col("eps").cast("double"), uniform, F.lit(0.0)) * F.col("duration_sec")
     off = F.abs(F.col("actual") - F.col("expected")) / F.nullif(F.col("expected"), F.lit(0.0))
-    return (per_phase.withColumn("expected", expected)
+    return (counts.withColumn("expected", expected)
             .withColumn("rel_error", F.coalesce(off, F.lit(0.0)))
             .select("phase_id", ntz("start_ts").alias("start_ts"), "expected", "actual", "rel_error",
                     (F.col("rel_error") <= F.lit(tol)).alias("within_tol")))
 
 
+def rate_conformance(events: DataFrame, phases: DataFrame, tol: float = 0.01,
+                     bucket_seconds: int = 3600) -> DataFrame:
+    """``conformance_of`` the ``phase_counts``, in one lazy plan."""
+    return conformance_of(phase_counts(events, phases, bucket_seconds), tol)
+
+
 def action_mix(events: DataFrame, class_col: str = "traffic_class") -> DataFrame:
     """Share of each action within each traffic class, with the expected weight.
 

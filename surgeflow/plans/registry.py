@@ -17,19 +17,21 @@ from surgeflow import fixture
 from surgeflow.functions.columns import ntz
 from surgeflow.operators.aggregate import upsert_view
 from surgeflow.config import FixedClock
-from surgeflow.operators.detect import batch_metrics, batch_span, conservation, flag_reason, verdict_rows
+from surgeflow.operators.detect import batch_metrics, batch_span, conservation, flag_reason, spans_of, verdict_rows
 from surgeflow.operators.partitioning import (bucket_placement, content_differences, placement, product_activity,
                                               reconcile_content, reconcile_counts, shard_distribution, shard_rows,
                                               write_distributed)
 from surgeflow.plans import analytics as A
 from surgeflow.plans import quality as Q
 from surgeflow.plans.history import Tables, derive_tables, write_history
+from surgeflow.plans.sketches import (QUANTILES, batch_summaries, distinct_estimate, distinct_exact, heavy_hitters, quantile_estimates,
+                                      quantiles_exact, with_wait)
 from surgeflow.plans.windows import shown, trailing_rate, window_metrics, window_verdicts
 from surgeflow.schema import DISTRIBUTION_COLUMN, EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.session import drop_dir, scratch_dir
 from surgeflow.sources.messages import encode_messages, parse_events, with_validation
-from surgeflow.sources.sinks import write_batches
-from surgeflow.sources.tables import read_raw_table, read_table
+from surgeflow.sources.sinks import reconcile_written, write_batches
+from surgeflow.sources.tables import TABLES, read_raw_table, read_table
 from surgeflow.streaming.micro_batch import BatchProcessor
 from surgeflow.streaming.windows import LateSplit, WindowCounts, late_events, late_marks, start_window_detector
 
@@ -190,10 +192,10 @@ def _runs(spark, path: str, events: DataFrame) -> tuple[DataFrame, list[int]]:
     return runs, sorted(r[0] for r in runs.select("run").distinct().collect())
 
 
-def _processed(spark, root: str, events: DataFrame, cfg) -> None:
+def _processed(spark, root: str, events: DataFrame, cfg, report: bool = False) -> None:
     """Every run of ``events`` through the per-batch function, as messages."""
     runs, present = _runs(spark, f"{root}/work/runs", events)
-    process = BatchProcessor(cfg, f"{root}/tables", FixedClock(dt.datetime(2024, 2, 1)))
+    process = BatchProcessor(cfg, f"{root}/tables", FixedClock(dt.datetime(2024, 2, 1)), report=report)
     for b in present:
         process(parse_events(encode_messages(runs.where(F.col("run") == b).select(*EVENT_COLUMNS)), keep_raw=True), b)
 
@@ -285,8 +287,16 @@ def q_detection_accuracy(spark, sf):
 
 
 def q_rate_conformance(spark, sf):
+    """Phases and their counts are stored in turn: three scans of the events in all."""
+    root = scratch_dir(spark, "conformance")
     events = _events(spark, sf)
-    return Q.rate_conformance(events, fixture.day_phases(events), tol=0.01)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/work/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/work/{name}")
+
+    phases = stored(fixture.day_phases(events), "phases")
+    return _kept(spark, root, Q.conformance_of(stored(Q.phase_counts(events, phases), "counts"), tol=0.01))
 
 
 def q_action_mix(spark, sf):
@@ -384,6 +394,92 @@ def q_reconcile_content(spark, sf):
     return report.join(n, "batch_id", "left").withColumn("differing_rows", F.coalesce("differing_rows", F.lit(0).cast("long")))
 
 
+WEEK = 7
+
+
+def _summaries(spark, sf, root: str):
+    """(per-(batch, IP) counts, events with their wait, summaries), all stored."""
+    t = _tables(spark, sf).settle(f"{root}/work/counts")
+    with_wait(t.events.select("batch_id", "event_ts"), spans_of(t.counts, CFG)).write.parquet(f"{root}/work/waits")
+    waits = spark.read.parquet(f"{root}/work/waits")
+    batch_summaries(waits, t.counts).write.parquet(f"{root}/tables/summaries")
+    return t.counts, waits, spark.read.parquet(f"{root}/tables/summaries")
+
+
+def _over_summaries(name: str, question):
+    def query(spark, sf):
+        root = scratch_dir(spark, name)
+        return _kept(spark, root, question(*_summaries(spark, sf, root)))
+    return query
+
+
+def _ranges():
+    return F.floor(F.col("batch_id") / WEEK)
+
+
+def distinct_ips_of(counts, waits, summaries) -> DataFrame:
+    """Distinct IPs per week of batches and over all, exactly, and whether the united
+    sketches come within 3 %."""
+    exact, estimate = (f(x, _ranges()).unionByName(f(x, F.lit(-1).cast("long"))) for f, x in
+                       ((distinct_exact, counts), (distinct_estimate, summaries)))
+    near = F.abs(F.col("estimate") - F.col("distinct_ips")) <= F.col("distinct_ips") * 0.03 + 0.5
+    return exact.join(estimate, "range").select("range", "distinct_ips", near.alias("estimate_near"))
+
+
+def wait_quantiles_of(counts, waits, summaries) -> DataFrame:
+    """Quantiles of the wait per week of batches, exactly, and whether the merged
+    sketches' quantiles lie within a rank of 2 % of theirs."""
+    exact, guess = quantiles_exact(waits, _ranges()), quantile_estimates(summaries, _ranges())
+    guesses = guess.select("range", *[F.col(q).alias(f"g_{q}") for q in QUANTILES])
+    ranked = waits.select(_ranges().alias("range"), "wait_ms").join(guesses, "range").groupBy("range").agg(*[
+        (F.abs(F.avg((F.col("wait_ms") <= F.col(f"g_{name}")).cast("int")) - q) <= 0.02).alias(f"near_{name}") for name, q in QUANTILES.items()])
+    return exact.join(ranked, "range")
+
+
+def heavy_hitters_of(counts, waits, summaries) -> DataFrame:
+    return heavy_hitters(counts, summaries)
+
+
+SAMPLE_QUESTIONS = {
+    "top_products": ("product_id", "action", "total", None, None), "throughput": ("batch_ts", None, "total_events", "legit_events", "flagged_events"),
+    "flagged_pct": (None, None, "legit_total", "flagged_total", None), "top_offenders": ("ip_address", None, "flagged_event_count", "batches_flagged_in", None),
+    "latency_distribution": (None, None, "min_ms", "max_ms", "batch_count"), "minute_rollup": ("minute", None, "events_in_minute", None, None),
+    "table_counts": ("table_name", None, "row_count", None, None), "latest_batches": ("batch_ts", None, "batch_id", "total_events", "processing_time_ms")}
+
+
+def stored_answers_of(spark, root: str) -> DataFrame:
+    """The questions asked of the four tables, over the tables as stored and committed:
+    a row per answer row, with its keys as text and its numbers."""
+    tables = {t: read_table(spark, root, t) for t in TABLES}
+    tables["events_agg"] = upsert_view(tables["events_agg"])
+    metrics = tables["pipeline_metrics"]
+    answers = {"top_products": A.top_products(tables["events_agg"]), "throughput": A.throughput(metrics), "flagged_pct": A.flagged_pct(metrics),
+               "top_offenders": A.top_offenders(tables["events_flagged"]), "latency_distribution": A.latency_distribution(metrics),
+               "minute_rollup": A.minute_rollup(metrics), "table_counts": A.table_counts(tables), "latest_batches": A.latest_batches(metrics)}
+    out = None
+    for name, cols in SAMPLE_QUESTIONS.items():
+        kinds = ["string", "string", "long", "long", "long"]
+        shown_ = [(F.col(c) if c else F.lit(None)).cast(k).alias(a) for c, k, a in zip(cols, kinds, ("k0", "k1", "n0", "n1", "n2"))]
+        part = answers[name].select(F.lit(name).alias("question"), *shown_)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_stored_answers(spark, sf):
+    root = scratch_dir(spark, "answers")
+    write_history(_tables(spark, sf), f"{root}/tables", f"{root}/work/history")
+    return _kept(spark, root, stored_answers_of(spark, f"{root}/tables"))
+
+
+def q_written_rows(spark, sf):
+    """What the write jobs of each micro-batch observed that they wrote, beside the rows
+    that the tables hold."""
+    root = scratch_dir(spark, "written")
+    events = _events(spark, sf).withColumn("run", F.floor(F.col("batch_id") / fixture.DEAD_LETTER_DAYS))
+    _processed(spark, root, events, fixture.WRITTEN_CONFIG, report=True)
+    return _kept(spark, root, reconcile_written(spark, f"{root}/tables"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_messages": q_encode_messages,
     "parse_events": q_parse_events,
@@ -424,4 +520,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_activity": _over_distributed("activity", product_activity_of),
     "bucket_placement": _over_distributed("placement", bucket_placement_of),
     "reconcile_content": q_reconcile_content,
+    "distinct_ips": _over_summaries("distinct", distinct_ips_of),
+    "wait_quantiles": _over_summaries("waits", wait_quantiles_of),
+    "heavy_hitters": _over_summaries("heavy", heavy_hitters_of),
+    "written_rows": q_written_rows,
+    "stored_answers": q_stored_answers,
 }

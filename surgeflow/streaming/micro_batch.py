@@ -20,7 +20,7 @@ one counts row is brought to the driver.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from surgeflow.config import DetectorConfig, WallClock
@@ -30,7 +30,7 @@ from surgeflow.operators.detect import batch_metrics, ip_rate, split_events
 from surgeflow.schema import EVENT_COLUMNS, METRIC_COLUMNS
 from surgeflow.sources.messages import validation_error
 from surgeflow.sources.sinks import (clear_batch, run_writes, write_agg_delta,
-                                     write_batch_metrics, write_partition)
+                                     write_batch_metrics, write_partition, write_report)
 from surgeflow.sources.tables import refuse_closed
 
 DATA_TABLES = ["dead_letter", "events_clean", "events_flagged", "events_agg"]
@@ -47,15 +47,17 @@ class BatchProcessor:
     ``clock`` supplies the batch stamp and elapsed time (wall clock by
     default, fixed in tests). ``agg_window`` keys the aggregate deltas by an
     event-time bucket instead of the batch stamp. ``parallel_writes`` runs the independent table writes as concurrent jobs.
-    ``fail_after`` names a table after whose write an exception is raised:
+    ``report`` keeps what the write jobs observed of the rows they wrote
+    (``write_report``). ``fail_after`` names a table after whose write an exception is raised:
     fault injection for replay tests.
     """
 
     def __init__(self, cfg: DetectorConfig, sink_root: str, clock=None,
                  fail_after: str | None = None, log=None,
                  parallel_writes: bool = True,
-                 agg_window: str | None = None):
+                 agg_window: str | None = None, report: bool = False):
         self.cfg = cfg
+        self.report = report
         self.agg_window = agg_window
         self.parallel_writes = parallel_writes
         self.root = sink_root
@@ -127,15 +129,18 @@ class BatchProcessor:
             # event-time bucket ("minute", "hour", ...) that a replay reproduces.
             window_start = (F.date_trunc(self.agg_window, "event_ts") if self.agg_window
                             else instant(stamp))
+            seen = {t: Observation(f"{t}-{bid}") if self.report else None for t in ("events_clean", "events_flagged")}
             writes += [
                 ("events_clean",
-                 lambda: write_partition(clean, self.root, "events_clean", bid, sort_by=["event_ts"])),
+                 lambda: write_partition(clean, self.root, "events_clean", bid, ["event_ts"], seen["events_clean"])),
                 ("events_flagged",
-                 lambda: write_partition(flagged, self.root, "events_flagged", bid, sort_by=["event_ts"])),
+                 lambda: write_partition(flagged, self.root, "events_flagged", bid, ["event_ts"], seen["events_flagged"])),
                 ("events_agg",
                  lambda: write_agg_delta(events_agg(clean, window_start), self.root, bid)),
             ]
             self._run(writes)
+            if self.report:
+                write_report(spark, self.root, bid, {t: o.get for t, o in seen.items()})
 
             elapsed_ms = int(round((self.clock.monotonic() - start) * 1000))
             metrics = (batch_metrics(rates)

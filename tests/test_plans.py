@@ -14,7 +14,8 @@ from tests.conftest import SF
 KEYS = sorted(QUERIES)
 # The queries that write through the table protocol run it while building.
 WRITERS = {"upsert_events_agg", "micro_batch_split", "batch_pipeline", "dead_letters", "conservation", "table_counts", "window_detector",
-           "late_rows", "product_activity", "bucket_placement",
+           "late_rows", "product_activity", "bucket_placement", "distinct_ips", "wait_quantiles", "heavy_hitters", "written_rows",
+           "stored_answers", "rate_conformance",
            "shard_distribution", "reconcile_counts"}
 
 
@@ -82,6 +83,40 @@ def test_scans_beside_the_one_that_counts(spark, tmp_path, key, most):
     assert event_scans(SETTLED[key](spark, SF["0.001"], t)) <= most
 
 
+def test_rate_conformance_reads_the_events_three_times(spark, tmp_path):
+    from surgeflow import fixture
+    from surgeflow.plans.quality import conformance_of, phase_counts
+    events, path = fixture.clickstream_of(spark, SF["0.001"]), str(tmp_path / "phases")
+    phases = fixture.day_phases(events)
+    assert event_scans(phases) == 1
+    phases.write.parquet(path)
+    counts = phase_counts(events, spark.read.parquet(path))
+    assert event_scans(counts) == 2
+    counts.write.parquet(str(tmp_path / "counts"))
+    assert event_scans(conformance_of(spark.read.parquet(str(tmp_path / "counts")))) == 0
+
+
+def test_one_huge_batch_is_many_tasks(spark):
+    """Joined by batch and salt, the aggregate per batch combines first and exchanges a row per salt."""
+    from pyspark.sql import functions as F
+
+    from surgeflow.config import DetectorConfig
+    from surgeflow.operators.detect import batch_metrics, rates_of
+    counts = spark.range(0, 200_000, 1, 8).select(F.lit(1).cast("long").alias("batch_id"), F.col("id").cast("string").alias("ip_address"),
+                                                  F.lit(1).cast("long").alias("n"), F.current_timestamp().alias("min_ts"), F.current_timestamp().alias("max_ts"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # spans too many to be broadcast
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rates = rates_of(counts, DetectorConfig())
+        used = rates.groupBy(F.spark_partition_id()).count().count()
+        m = batch_metrics(rates)
+        assert used > 1 and "partial_sum" in plan_text(m) and m.first()["total_events"] == 200_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_message_rate_single_scan_partial_agg(spark):
     p = plan_text(queries()["message_rate"](spark, SF["0.001"]))
     assert p.count("FileScan parquet") == 1
