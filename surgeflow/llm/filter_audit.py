@@ -15,8 +15,8 @@ The files of the table are processed as available-now micro-batches:
    its rows (state of the stream, so that it survives a lost executor and a restart
    alike). A smaller id that arrives later takes its place, and those before it are
    retracted from their classes and counted again as failing E. What comes out are
-   changes (part, class, n), n negative for a retraction; they are added up per task
-   and appended by a file sink, once per micro-batch whatever is replayed.
+   changes (part, class, n), n negative for a retraction, added up per group of
+   digests and appended by a file sink, once per micro-batch whatever is replayed.
 3. ``part_counters`` adds the changes up. A class is the set of failed filters and two
    labels, so that a part has at most 128 counters, from which ``audit_rows`` derives
    every order without another look at documents: by filter and set of filters
@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import struct
 from collections import defaultdict
 from collections.abc import Iterator
@@ -58,7 +59,7 @@ NOT_CAPITALS = bytes(b for b in range(256) if b not in CAPITALS)
 HELD = 1 << 16  # digests a task gathers before it passes them on
 CHUNK_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
-STATE_KEYS = 1 << 12  # groups of digests that share a state entry
+STATE_ROWS = 1 << 10  # rows of the table for each group of digests that shares a state entry
 CHANGES = "part string, class int, n long"
 
 
@@ -163,11 +164,8 @@ def _meet(first: dict, change: dict, digest: bytes, i: int, part: str, kind: int
 
 
 def _retract(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """State of a group of digests: parallel lists of digest, smallest id, part, class, n."""
-    first: dict[bytes, tuple[int, dict]] = {}
-    if state.exists:
-        for d, i, p, c, n in zip(*state.get):
-            first.setdefault(bytes(d), (i, {}))[1][p, c] = n
+    """State of a group of digests: {digest: (smallest id, {(part, class): rows})}."""
+    first: dict[bytes, tuple[int, dict]] = pickle.loads(bytes(state.get[0])) if state.exists else {}
     change: dict[tuple[str, int], int] = defaultdict(int)
     touched = False
     for b in batches:
@@ -178,45 +176,26 @@ def _retract(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
                 touched = True
                 _meet(first, change, bytes(d), i, p, c, n, retract=True)
     if touched:
-        rows = [(d, i, p, c, n) for d, (i, classes) in first.items() for (p, c), n in classes.items()]
-        state.update(tuple(map(list, zip(*rows))))
+        state.update((pickle.dumps(first, pickle.HIGHEST_PROTOCOL),))
     rows = [(p, c, n) for (p, c), n in change.items() if n]
     yield pd.DataFrame(rows, columns=["part", "class", "n"]).astype({"class": "int32", "n": "int64"})
 
 
-def _added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[tuple[str, int], int] = defaultdict(int)
-
-    def flush() -> pa.RecordBatch:
-        rows = [(p, c, n) for (p, c), n in total.items() if n]
-        total.clear()
-        cols = list(zip(*rows)) if rows else [()] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.int64()))], names=["part", "class", "n"])
-
-    for b in batches:
-        for p, c, n in zip(*(c.to_pylist() for c in b.columns)):
-            total[p, c] += n
-        if len(total) >= HELD:
-            yield flush()
-    yield flush()
-
-
-def retracting(rows: DataFrame) -> DataFrame:
+def retracting(rows: DataFrame, state_keys: int) -> DataFrame:
     """A stream of changes to the counters from a stream of described, labelled rows."""
     gathered = rows.mapInArrow(_gathered, "digest binary, id long, part string, class int, n long")
     # rows without a digest are class counts of a task; they go anywhere
-    group = F.pmod(F.xxhash64(F.coalesce("digest", F.encode(F.concat_ws("|", "part", "class"), "UTF-8"))), F.lit(STATE_KEYS))
-    changes = gathered.withColumn("group", group).groupBy("group").applyInPandasWithState(
-        _retract, CHANGES, "digests array<binary>, ids array<long>, parts array<string>, classes array<int>, ns array<long>",
-        "append", GroupStateTimeout.NoTimeout)
-    return changes.mapInArrow(_added_up, CHANGES)
+    group = F.pmod(F.xxhash64(F.coalesce("digest", F.encode(F.concat_ws("|", "part", "class"), "UTF-8"))), F.lit(state_keys))
+    return gathered.withColumn("group", group).groupBy("group").applyInPandasWithState(
+        _retract, CHANGES, "first binary", "append", GroupStateTimeout.NoTimeout)
 
 
-def part_counters(spark: SparkSession, path: str, labels: DataFrame, root: str, files_per_batch: int, id_col: str = "doc_id",
-                  text_col: str = "text", part_col: str = "source") -> DataFrame:
+def part_counters(spark: SparkSession, path: str, labels: DataFrame, root: str, files_per_batch: int, state_keys: int,
+                  id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """(part, class, n): the changes of all micro-batches over the files in ``path``,
     added up. ``root``: a shared folder for checkpoint and changes; called again with
-    the same one, files that have come since are added."""
+    the same one (and the same ``state_keys``, groups of digests), files that have
+    come since are added."""
     table = spark.read.parquet(path)
     # a table that is one file: the stream's source takes it by a pattern only, else it wants a folder
     name, files = path.rstrip("/").rsplit("/", 1)[-1], table.inputFiles()
@@ -224,7 +203,7 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, root: str,
         path = f"{path.rstrip('/')[:-1]}[{name[-1]}]"
     docs = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     rows = labelled(described(docs, id_col, text_col, part_col), labels, id_col)
-    query = (retracting(rows).writeStream.format("parquet").outputMode("append").option("path", f"{root}/changes")
+    query = (retracting(rows, state_keys).writeStream.format("parquet").outputMode("append").option("path", f"{root}/changes")
              .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
     changes = spark.read.schema(CHANGES).parquet(f"{root}/changes")
@@ -262,8 +241,9 @@ def audit_rows(counters: DataFrame) -> DataFrame:
 def audit(spark: SparkSession, path: str, labels: DataFrame, ws: Workspace, micro_batches: int = 4, id_col: str = "doc_id",
           text_col: str = "text", part_col: str = "source") -> DataFrame:
     """The audit of the Parquet table at ``path``, in about ``micro_batches`` micro-batches."""
-    files = len(spark.read.parquet(path).inputFiles())
-    counters = part_counters(spark, path, labels, f"{ws.root}/stream", max(1, -(-files // micro_batches)), id_col, text_col, part_col)
+    table = spark.read.parquet(path)
+    files, keys = max(1, -(-len(table.inputFiles()) // micro_batches)), max(64, table.count() // STATE_ROWS)
+    counters = part_counters(spark, path, labels, f"{ws.root}/stream", files, keys, id_col, text_col, part_col)
     return audit_rows(ws.write(counters, "counters"))
 
 
