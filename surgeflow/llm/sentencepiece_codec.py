@@ -5,7 +5,8 @@ prefix that the compiled character map knows is replaced, white space becomes
 U+2581 and a dummy prefix is set before the text. The normaliser records for
 every normalised byte which source byte it came from, so that each piece,
 whose normalised length the vocabulary gives, projects to a byte span of the
-original text. Pieces come from the sentencepiece library, word by word: where
+original text. Pieces are those that the sentencepiece library, its own normaliser switched
+off, gives for the normalised bytes, word by word: where
 no piece of the vocabulary holds white space after another character, no merge
 crosses a word's start and a word encodes alone as it does within its text.
 Words repeat, so each worker keeps a bounded table of those it has seen. Other
@@ -59,6 +60,15 @@ def proto_fields(b: bytes) -> Iterator[tuple[int, bytes | int]]:
             i += size
 
 
+def proto_bytes(field: int, body: bytes) -> bytes:
+    """A field of a protobuf message that holds (up to 127) bytes."""
+    return bytes([field << 3 | 2, len(body)]) + body
+
+
+# a normaliser's rules that change nothing: name, empty map, no prefix, no squeezing, no escaping
+AS_IS = proto_bytes(1, b"identity") + proto_bytes(2, b"") + bytes([3 << 3, 0, 4 << 3, 0, 5 << 3, 0])
+
+
 class CharMap:
     """A compiled character map: a double-array trie over source strings whose
     leaves are offsets of their replacements."""
@@ -156,8 +166,10 @@ class Codec:
         with open(model, "rb") as f:
             proto = f.read()
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        fields = list(proto_fields(proto))
-        self.normalizer = Normalizer(dict(proto_fields(next((v for k, v in fields if k == 3), b""))))
+        # of a field that occurs again the parts are merged, the last of each holds
+        self.normalizer = Normalizer({k: v for f, spec in proto_fields(proto) if f == 3 for k, v in proto_fields(spec)})
+        # the library for text that is normalised already: no map, no prefix, white space as it is
+        self.plain = sentencepiece.SentencePieceProcessor(model_proto=proto + proto_bytes(3, AS_IS))
         n = self.sp.get_piece_size()
         pieces = [self.sp.id_to_piece(i) for i in range(n)]
         byte = [self.sp.is_byte(i) for i in range(n)]
@@ -172,20 +184,18 @@ class Codec:
     def _words(self, segments: set[str]) -> dict[str, list[int]]:
         """Ids of segments: white space then a word, or a line break then a word."""
         new = [s for s in segments if s not in self.known]
-        head = [s[0] == "\n" for s in new]
-        got = self.sp.encode([(s if h else s[1:]).replace(SPACE, " ") for s, h in zip(new, head)], num_threads=1)
-        # a line break stands behind the dummy prefix's own piece
-        fresh = {s: ids[1:] if h else ids for s, h, ids in zip(new, head, got)}
+        fresh = dict(zip(new, self.plain.encode(new, num_threads=1)))
         if len(self.known) + len(fresh) <= CACHE_WORDS:
             self.known |= fresh
             return self.known
         return fresh | {s: self.known[s] for s in segments if s in self.known}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def pieces(self, normal: list[str]) -> list[list[int]]:
+        """Ids of normalised texts."""
         if not self.by_word:
-            return self.sp.encode(texts, num_threads=1)
+            return self.plain.encode(normal, num_threads=1)
         split = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n[^{SPACE}\n]*").findall
-        segments = [split((SPACE + t).replace(" ", SPACE)) if t else [] for t in texts]
+        segments = [split(t) for t in normal]
         known, out = self._words(set().union(*segments)), []
         for words in segments:
             ids: list[int] = []
@@ -194,19 +204,22 @@ class Codec:
             out.append(ids)
         return out
 
-    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end byte in the original of every piece."""
-        normal, at = self.normalizer(text)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.pieces([self.normalizer(t)[0].decode() for t in texts])
+
+    def project(self, normal: str, size: int, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end byte in the original of every piece of a normalised text of
+        ``size`` bytes, whose source bytes are ``at``."""
         width = self.width[ids]
-        if width.sum() != len(normal):  # pieces that stand for unknown characters
-            width = self._measured(text, ids)
+        if width.sum() != size:  # pieces that stand for unknown characters
+            width = np.array([len(p.encode()) if self.sp.is_unknown(i) else self.width[i]
+                              for p, i in zip(self.plain.encode(normal, out_type=str), ids.tolist())], np.int64)
         ends = np.cumsum(width)
         return at[ends - width], at[ends]
 
-    def _measured(self, text: str, ids: np.ndarray) -> np.ndarray:
-        pieces = self.sp.encode(text, out_type=str)
-        return np.array([len(p.encode()) if self.sp.is_unknown(i) else self.width[i]
-                         for p, i in zip(pieces, ids.tolist())], np.int64)
+    def spans(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        normal, at = self.normalizer(text)
+        return self.project(normal.decode(), len(normal), at, ids)
 
 
 @functools.lru_cache(maxsize=2)
@@ -242,10 +255,11 @@ def sentencepiece_codec(docs: DataFrame, model: str, id_col: str = "doc_id",
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in _chunks(texts):
-                part = texts[a:b]
-                ids = c.encode(part)
+                recorded = [c.normalizer(t) for t in texts[a:b]]
+                normal = [n.decode() for n, _ in recorded]
+                ids = c.pieces(normal)
                 arrays = [np.array(x, np.int32) for x in ids]
-                spans = [c.spans(t, x) for t, x in zip(part, arrays)]
+                spans = [c.project(t, len(n), at, x) for t, (n, at), x in zip(normal, recorded, arrays)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), _lists(arrays), _lists([s for s, _ in spans]),
                      _lists([e for _, e in spans]), pa.array([c.sp.decode(x) for x in ids], pa.string())],
@@ -258,10 +272,11 @@ def sentencepiece_codec(docs: DataFrame, model: str, id_col: str = "doc_id",
 
 
 def digest(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts and SHA-256 digests of ids and decoded text."""
+    """Counts, SHA-256 digests of ids and decoded text, and a hash of all pieces' spans."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return encoded.select(
         id_col, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes_spanned"))
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes_spanned"),
+        F.xxhash64("starts", "ends").alias("spans_hash"))

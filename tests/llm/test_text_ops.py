@@ -62,6 +62,36 @@ def test_compiled_character_maps(rule):
         assert len(at) == len(got) + 1 and (np.diff(at) >= 0).all()
 
 
+@pytest.mark.parametrize("rule", ["identity", "nfkc", "nmt_nfkc", "nfkc_cf"])
+def test_models_with_a_character_map(rule, tmp_path):
+    """The registered vocabulary under other normalisers: the ids come from the bytes
+    that the own normaliser made, and are those of the library."""
+    spec = dict(C.proto_fields(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()))[3]
+    size, head = len(spec), b""
+    while size > 127:
+        head, size = head + bytes([size & 127 | 128]), size >> 7
+    path = str(tmp_path / "m.model")
+    with open(MODEL, "rb") as f, open(path, "wb") as g:
+        g.write(f.read() + b"\x1a" + head + bytes([size]) + spec)
+    lib, own, rng = sentencepiece.SentencePieceProcessor(model_file=path), C.Codec(path), random.Random(7)
+    assert rule == "identity" or own.normalizer.charmap
+    texts = ["ﬁx Ⅳ  ｱ", "①a　b", " lead  trail  ", "", "   ", "ÀB̧ｶﾞ", "▁x ▁"]
+    texts += ["".join(rng.choice(" \n▁aébc the①😀xｱﾞﬁ　") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    for t in texts:
+        ids = own.encode([t])[0]
+        assert ids == lib.encode(t), t
+        starts, ends = own.spans(t, np.array(ids, np.int64))
+        assert not ids or (starts[0] >= 0 and ends[-1] <= len(t.encode()) and (starts <= ends).all() and (np.diff(starts) >= 0).all())
+
+
+def test_spans_hash_sees_every_span(docs):
+    encoded = C.sentencepiece_codec(docs, MODEL)
+    moved = encoded.withColumn("starts", F.transform("starts", lambda x, i: F.when(i == 0, x + 1).otherwise(x)))
+    a, b = ({r.doc_id: r.spans_hash for r in C.digest(d).collect()} for d in (encoded, moved))
+    filled = {r.doc_id for r in encoded.where("size(ids) > 0").collect()}
+    assert filled and all((a[i] != b[i]) == (i in filled) for i in a)
+
+
 def test_codec_odd_and_empty(odd, nothing):
     out = C.sentencepiece_codec(odd, MODEL).collect()
     assert len(out) == odd.count() and sum(len(r.ids) == 0 for r in out) == 3
