@@ -28,6 +28,7 @@ from surgeflow.llm.common import ROW_BITS, Workspace, partitions, whole_text
 BLOCK_ROWS_BITS = 10  # documents of a block: 1,024
 LONG_TEXT = 1 << 16  # bytes from which a text is a block of its own
 SPARE_BITS = 13
+SLICE_KEYS = 1 << 20  # keys of a range that are sorted at once
 Docs = tuple[np.ndarray, np.ndarray]  # bytes of all texts, and where each begins (one more entry)
 
 
@@ -102,8 +103,20 @@ def runs_of(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def _slices(sent: list[np.ndarray], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds [lo, hi) of stretches of the key space that hold about ``most`` of the
+    keys: hashes spread evenly, so that equal stretches do."""
+    total = sum(map(len, sent))
+    if not total:
+        return
+    lo, end = min(int(k[0]) for k in sent if len(k)), max(int(k[-1]) for k in sent if len(k)) + 1
+    n = -(-total // most)
+    edges = [lo + (end - lo) * i // n for i in range(n + 1)]
+    yield from ((a, b) for a, b in zip(edges, edges[1:]) if a < b)
+
+
 def repeated_keys(blocks: DataFrame, keys: Callable[[np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray]]],
-                  bits: int, ws: Workspace) -> DataFrame:
+                  bits: int, ws: Workspace, slice_keys: int = SLICE_KEYS) -> DataFrame:
     """Per block (``block``, ``keys``, ``counts``): its fingerprints that occur in
     two documents or more, and in how many, packed; several rows a block.
 
@@ -130,19 +143,24 @@ def repeated_keys(blocks: DataFrame, keys: Callable[[np.ndarray, np.ndarray], It
     def answer(table: pa.Table) -> pa.Table:
         sent = [unpack(k) for k in table["keys"].to_pylist()]
         held = [expand(c, np.uint32) for c in table["counts"].to_pylist()]
-        prints = np.concatenate(sent)
-        order = np.argsort(prints, kind="stable")
-        first = np.flatnonzero(np.diff(prints[order], prepend=prints[order][:1] + np.uint64(1)))
-        total = np.add.reduceat(np.concatenate(held).astype(np.int64)[order], first)
-        each = np.empty(len(prints), np.int64)
-        each[order] = np.repeat(total, np.diff(first, append=len(prints)))
-        out, at = [], 0
-        for block, k in zip(table["block"].to_pylist(), sent):
-            n = each[at:at + len(k)]
-            at += len(k)
-            keep = n > 1
-            if keep.any():
-                out.append((block, pack(k[keep]), squeeze(np.minimum(n[keep], 0xFFFFFFFF).astype(np.uint32))))
+        found = [([], []) for _ in sent]
+        for lo, hi in _slices(sent, slice_keys):
+            parts = [slice(*np.searchsorted(k, np.array([lo, hi], np.uint64))) for k in sent]
+            prints = np.concatenate([k[p] for k, p in zip(sent, parts)])
+            order = np.argsort(prints, kind="stable")
+            prints = prints[order]
+            first = np.flatnonzero(np.diff(prints, prepend=prints[:1] + np.uint64(1)))
+            total = np.add.reduceat(np.concatenate([c[p] for c, p in zip(held, parts)])[order], first, dtype=np.int64)
+            each = np.empty(len(prints), np.int64)
+            each[order] = np.repeat(total, np.diff(first, append=len(prints)))
+            at = 0
+            for (keys, counts), k, p in zip(found, sent, parts):
+                n = each[at:at + p.stop - p.start]
+                at += len(n)
+                keys.append(k[p][n > 1])
+                counts.append(np.minimum(n[n > 1], 0xFFFFFFFF).astype(np.uint32))
+        out = [(block, pack(np.concatenate(keys)), squeeze(np.concatenate(counts)))
+               for block, (keys, counts) in zip(table["block"].to_pylist(), found) if sum(map(len, keys))]
         return pa.table({"block": pa.array([o[0] for o in out], pa.int64()),
                          "keys": pa.array([o[1] for o in out], pa.binary()),
                          "counts": pa.array([o[2] for o in out], pa.binary())})

@@ -376,7 +376,7 @@ def record_runs(blocks: DataFrame, repeated: DataFrame, bits: int, splitters: li
         n, m = len(ranges), marks.num_rows
         return pa.table({"range": pa.array([*ranges, *[block % (len(cuts) + 1)] * m], pa.int32()),
                          "block": pa.array([block] * (n + m), pa.int64()),
-                         "settled": pa.array([False] * n + [True] * m),
+                         "settled": pa.array([False] * n + [True] * m, pa.bool_()),
                          "run": pa.array([*packed, *marks["marks"].to_pylist()], pa.binary())})
 
     return (blocks.select("block", "rid", "ord", "body").groupBy("block")

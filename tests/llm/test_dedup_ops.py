@@ -193,3 +193,26 @@ def test_word_hashes_split_as_bytes_do(rows):
         h, first = N.word_hashes(np.frombuffer(b, np.uint8), np.array([0, len(b)]))
         assert first[1] - first[0] == len(b.split())
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_blocks_without_a_repeated_anchor(spark, ws):
+    """Neither runs nor marks: texts that share nothing, and none at all."""
+    rng = np.random.default_rng(8)
+    texts = {i: bytes(rng.integers(97, 123, 400).astype(np.uint8)).decode() for i in range(5)} | {7: None, 8: ""}
+    marks, blocks = S.removed_spans(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), ws)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.digest(S.strip(blocks, marks)).collect()}
+    assert got == S.brute_force(texts)
+
+
+def test_repeated_keys_in_slices(spark, ws, docs):
+    """The key space cut into many slices gives what one slice gives."""
+    def answered(at, slice_keys):
+        blocks = R.write_blocks(docs, at).withColumn("block", F.col("rid") % 4)
+        found = R.repeated_keys(blocks, S.anchor_sets, 40, at, slice_keys).groupBy("block").agg(F.collect_list(F.struct("keys", "counts")).alias("r"))
+        return {r.block: sorted((k, c) for x in r.r for k, c in zip(R.unpack(x.keys).tolist(), R.expand(x.counts, np.uint32).tolist()))
+                for r in found.collect()}
+
+    with R.Workspace(spark, "one") as one:
+        whole = answered(one, 1 << 20)
+    cut = answered(ws, 7)
+    assert whole == cut and sum(map(len, whole.values())) > 100
