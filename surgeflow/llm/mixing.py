@@ -133,8 +133,10 @@ def mix_sources(docs: DataFrame, ws: Workspace, weights: tuple = (3, 1, 2), shar
                 max_repeats: int = 2, block: int = BLOCK_WORDS, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source", rid: Column | None = None,
                 carry: tuple = ()) -> DataFrame:
-    """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``,
-    ``rid`` (the row's number: ``rid`` or one given here) and the columns of ``carry``."""
+    """Per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, its
+    place in the schedule (``first_slot``, the first slot that takes words of it, null
+    where none does, and ``n_slots``, how many do), ``rid`` (the row's number: ``rid`` or
+    one given here) and the columns of ``carry``."""
     sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long").alias("size"),
@@ -142,7 +144,7 @@ def mix_sources(docs: DataFrame, ws: Workspace, weights: tuple = (3, 1, 2), shar
         (F.monotonically_increasing_id() if rid is None else rid).alias("rid"), *carry)
     sized = ws.write(sized, "sized")
     targets = ws.write(source_targets(sized, weights, share, max_repeats), "targets")
-    slots = schedule(_quotas(targets, block), block).select("src", "block", "words")
+    slots = schedule(_quotas(targets, block), block).select("src", "block", "words", "slot")
     spread = place_documents(sized, targets).withColumn(
         "block", F.explode_outer(F.when(F.col("size") > 0, F.expr(
             f"sequence(first div {block}, (first + size - 1) div {block})"))))
@@ -152,7 +154,9 @@ def mix_sources(docs: DataFrame, ws: Workspace, weights: tuple = (3, 1, 2), shar
                F.col("first") + F.col("size"), F.col("from") + F.col("words")) - F.greatest("first", "from")))))
     return got.groupBy("rid").agg(
         *[F.first(c).alias(c) for c in ("doc_id", "size", "source_size", "target", *carry)],
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("taken"))
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("taken"),
+        F.min(F.when(F.col("n") > 0, F.col("slot"))).alias("first_slot"),
+        F.count(F.when(F.col("n") > 0, F.lit(1))).alias("n_slots"))
 
 
 ORACLE_SQL = r"""
@@ -175,11 +179,38 @@ targets AS (
     SELECT lv FROM levels WHERE cap >= lv * w ORDER BY cap / w, k LIMIT 1)) AS target FROM levels),
 placed AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS words,
-         sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
+         d.source, sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(d.doc_id::VARCHAR, '')), d.doc_id, d.size
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS first
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+quotas AS (
+  SELECT source, k, words // source_size AS passes, words % source_size AS rest, source_size, (source_size + 63) // 64 AS blocks,
+         (words // source_size) * ((source_size + 63) // 64) + (words % source_size + 63) // 64 AS slots
+  FROM (SELECT source, round(target)::BIGINT AS words, source_size FROM targets WHERE source_size > 0)
+  JOIN (SELECT source AS s, k FROM src) ON source IS NOT DISTINCT FROM s),
+ends AS (
+  SELECT *, sum(slots) OVER (ORDER BY k)::DOUBLE AS through, (SELECT sum(slots) FROM quotas)::DOUBLE AS every FROM quotas),
+points AS (
+  SELECT i AS slot, list_sum([((i >> b) & 1) * pow(2.0, -(b + 1)) FOR b IN range(0, 52)]) AS u
+  FROM (SELECT unnest(range((SELECT sum(slots) FROM quotas)::BIGINT)) AS i)),
+drawn AS (
+  SELECT k, slot, row_number() OVER (PARTITION BY k ORDER BY slot) - 1 AS nth
+  FROM points JOIN ends ON u >= (through - slots) / every AND u < through / every),
+closing AS (
+  SELECT k, (SELECT count(*) FROM points) + nth AS slot, nth FROM (
+    SELECT k, unnest(range(coalesce(n, 0), slots::BIGINT)) AS nth FROM quotas LEFT JOIN (SELECT k AS kk, count(*) AS n FROM drawn GROUP BY 1) ON k = kk)),
+taking AS (
+  SELECT source, slot, nth % blocks AS block,
+         least(64, CASE WHEN nth // blocks < passes THEN source_size ELSE rest END - (nth % blocks) * 64) AS words
+  FROM (SELECT * FROM drawn UNION ALL SELECT * FROM closing) JOIN quotas USING (k) WHERE nth < slots),
+met AS (
+  SELECT p.doc_id, p.first, min(t.slot) AS first_slot, count(*) AS n_slots
+  FROM (SELECT doc_id, source, size, first, unnest(range((first // 64)::BIGINT, ((first + size - 1) // 64 + 1)::BIGINT)) AS block FROM placed WHERE size > 0) p
+  JOIN taking t ON t.source IS NOT DISTINCT FROM p.source AND t.block = p.block
+  WHERE least(p.first + p.size, t.block * 64 + t.words) > greatest(p.first, t.block * 64)
+  GROUP BY p.doc_id, p.first)
+SELECT p.doc_id, size, source_size, target,
        CASE WHEN size = 0 THEN 0 ELSE (words // source_size) * size
-         + greatest(0, least(first + size, words % source_size) - first) END::BIGINT AS taken
-FROM placed
+         + greatest(0, least(p.first + size, words % source_size) - p.first) END::BIGINT AS taken,
+       CASE WHEN size > 0 THEN first_slot END::BIGINT AS first_slot, CASE WHEN size > 0 THEN coalesce(n_slots, 0) ELSE 0 END AS n_slots
+FROM placed p LEFT JOIN met m ON m.doc_id IS NOT DISTINCT FROM p.doc_id AND m.first = p.first
 """
