@@ -21,27 +21,45 @@ model's fit, so ORACLE_SQL is None; tests hold each stage against brute force.
 
 from __future__ import annotations
 
+import threading
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgeflow.llm import mixing, ngram_join, quality_gam, repeats, sentencepiece_codec, suffix_dedup
-from surgeflow.llm.common import Workspace
+from surgeflow.llm.common import Workspace, small_batches
 
 ORACLE_SQL = None
-_open: list[Workspace] = []
+
+
+class _Open(threading.local):
+    """Work folders that stages of this thread still read; runs beside each other in
+    other threads leave them alone."""
+
+    def __init__(self):
+        self.spaces: list[Workspace] = []
+
+    def __bool__(self) -> bool:
+        return bool(self.spaces)
+
+    def drop(self) -> None:
+        while self.spaces:
+            self.spaces.pop().drop()
+
+
+_open = _Open()
 
 
 def _workspace(spark: SparkSession, name: str) -> Workspace:
     """A stage's work folder; those of stages before are no longer read."""
-    while _open:
-        _open.pop().drop()
-    _open.append(Workspace(spark, f"pipeline-{name}"))
-    return _open[-1]
+    _open.drop()
+    _open.spaces.append(Workspace(small_batches(spark), f"pipeline-{name}"))
+    return _open.spaces[-1]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality_gam.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = quality_gam.train(docs, small_batches(spark).read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_gam.score(docs, model, into="_score").where("_score >= 0.5").select(*docs.columns)
 
 
@@ -70,6 +88,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _open.drop()
+    small_batches(spark)
     encoded = sentencepiece_codec.sentencepiece_codec(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
@@ -82,12 +102,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder
     and the one before it deleted once it has been read."""
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
-    for name, stage in STAGES:
-        here = Workspace(spark, f"pipeline-{name}")
-        docs = here.write(stage(spark, docs, sf_dir), "rows")
-        if before:
-            before.drop()
-        before = here
-    while _open:
-        _open.pop().drop()
+    try:
+        for name, stage in STAGES:
+            here = Workspace(spark, f"pipeline-{name}")
+            docs = here.write(stage(spark, docs, sf_dir), "rows")
+            if before:
+                before.drop()
+            before = here
+    finally:
+        _open.drop()
     return docs

@@ -14,12 +14,15 @@ class Workspace:
     """Work tables of one job, in the shared folder the cluster names.
 
     Used as a context manager the tables are deleted on leaving; otherwise the
-    caller calls ``drop`` once the results that read them are written.
+    caller calls ``drop`` once the results that read them are written. What is left
+    when the application ends, results that were read lazily and the folders of
+    failed runs, goes then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, scratch_dir(spark, name)
         self._tables: list[str] = []
+        gone_at_exit(spark, self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -47,6 +50,20 @@ class Workspace:
         self.drop()
 
 
+def gone_at_exit(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Rows go to Python workers by the thousand: whole texts are large rows, and a
+    worker keeps the memory of its largest batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -75,6 +92,7 @@ def global_rank(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFr
     cols = df.columns
     if not spark.sparkContext.getCheckpointDir():
         scratch_dir(spark, "rank")
+    gone_at_exit(spark, spark.sparkContext.getCheckpointDir())  # the application's own folder
     ordered = (df.repartitionByRange(partitions(spark), *keys).sortWithinPartitions(*keys)
                .checkpoint().withColumn("_at", F.monotonically_increasing_id()))
     placed = ordered.select(*cols, F.shiftright("_at", ROW_BITS).alias("_part"),

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from surgeflow.llm import best_fit_packing, filter_audit, fingerprint, hilbert_sharding, lexical_search, license_scan, mixing, multiprobe_ann, ngram_join, quality_gam, suffix_dedup, wordpiece_count
 from surgeflow.llm import sentencepiece_codec as spc
-from surgeflow.llm.common import Workspace, settled
+from surgeflow.llm.common import Workspace, settled, small_batches
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": suffix_dedup.ORACLE_SQL,
     "op3_mixing": mixing.ORACLE_SQL,
     "op10_ngram_join": ngram_join.ORACLE_SQL,
     "op11_lexical_search": lexical_search.ORACLE_SQL,

@@ -518,6 +518,31 @@ def digest(stripped: DataFrame) -> DataFrame:
         F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE_SQL = r"""
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT doc_id, base, substr(h, 2 * base + 1, 354) AS part FROM (
+    SELECT doc_id, h, unnest(range(0, length(h) // 2, 128)) AS base FROM docs)),
+bytes AS (
+  SELECT doc_id, base + k AS i, substr(part, 2 * k + 1, 100) AS w FROM (
+    SELECT doc_id, base, part, unnest(range(least(128, length(part) // 2))) AS k FROM parts)),
+least_ids AS (SELECT w, min(doc_id) AS least FROM bytes WHERE length(w) = 100 GROUP BY w),
+late AS (SELECT doc_id, i FROM bytes JOIN least_ids USING (w) WHERE least < doc_id),
+marked AS (
+  SELECT b.doc_id, b.i, substr(w, 1, 2) AS byte, max(CASE WHEN l.i IS NULL THEN 0 ELSE 1 END) OVER (
+    PARTITION BY b.doc_id ORDER BY b.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM bytes b LEFT JOIN late l ON l.doc_id = b.doc_id AND l.i = b.i),
+runs AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM marked),
+kept AS (
+  SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, count(*) FILTER (gone > before) AS n_spans,
+         string_agg(byte, '' ORDER BY i) FILTER (gone = 0) AS rest
+  FROM runs GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
 def brute_force(texts: dict[int, str | None]) -> dict[int, tuple]:
     """The same result by a table of all 50-byte strings, for small corpora."""
     first: dict[bytes, int] = {}
