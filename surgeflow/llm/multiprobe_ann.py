@@ -4,7 +4,7 @@ Nearness is the largest inner product. Vectors are indexed by bands of their
 norms, a ratio of ``BAND`` wide; those of a band are divided by its largest norm
 and given one more coordinate that brings each to length 1, queries are scaled
 to length 1: the nearest of a band by distance is then the nearest by inner
-product. A query probes every band, those of ``WHOLE_ROWS`` or fewer whole.
+product. A query probes every band alike, whatever its size.
 Each of ``TABLES`` hash tables cuts ``HASHES`` Gaussian projections into cells
 of ``WIDTH``; a query visits its own bucket and those next to it (each
 coordinate one cell down, up, or as it is) in the order of their estimated
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from surgeflow.llm.common import settled
 
 TABLES, HASHES, WIDTH, PROBES = 3, 8, 2.5, 320
-BAND, WHOLE_ROWS = 2**0.25, 256
+BAND = 2**0.25
 BLOCK_ROWS = 16_384  # rows of a table that a task scores, two times that at most
 QUERY_ROWS = 128  # queries scored at once against a block
 SEED = 20250
@@ -66,7 +66,7 @@ class Hasher:
         return (cells * self.code[table]).sum(-1)
 
     def band(self, bands: np.ndarray, table: int) -> np.ndarray:
-        """What a band adds to the codes of its buckets; the code itself of a band visited whole."""
+        """What a band adds to the codes of its buckets."""
         return bands.astype(np.int64) * self.band_code[table]
 
     def probes(self, q: np.ndarray, table: int) -> np.ndarray:
@@ -149,8 +149,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     single = rows.schema["v"].dataType.elementType.simpleString() == "float"
     dtype = "<f4" if single else "<f8"
-    whole = np.array([b for b, (_, n) in bands.items() if n <= WHOLE_ROWS], np.int64)
-    probed = np.array([b for b, (_, n) in bands.items() if n > WHOLE_ROWS], np.int64)
+    probed = np.array(sorted(bands), np.int64)
     groups = -(-sum(n for _, n in bands.values()) // BLOCK_ROWS)  # a block returns k rows a query: no more blocks than the rows need
     hasher = Hasher(dim)
 
@@ -163,19 +162,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             band, ids = b.column(2).to_numpy(), b.column(0).to_numpy()
             x = raw.astype(np.float64) / np.array([bands[i][0] for i in band.tolist()])[:, None]
             x = np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))[:, None]], 1)
-            small = np.isin(band, whole)
             for t in range(TABLES):
-                code = np.where(small, 0, hasher.codes(hasher.cells(x, t)[0], t)) + hasher.band(band, t)
-                on = np.flatnonzero(~small | (t == 0))
+                code = hasher.codes(hasher.cells(x, t)[0], t) + hasher.band(band, t)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(on), t, np.int32)), pa.array((code[on] % groups).astype(np.int32)), pa.array(code[on]),
-                     pa.array(ids[on]), pa.array(_packed(raw[on]), pa.binary())], names=["tab", "grp", "code", "vec_id", "v"])
+                    [pa.array(np.full(len(ids), t, np.int32)), pa.array((code % groups).astype(np.int32)), pa.array(code),
+                     pa.array(ids), pa.array(_packed(raw), pa.binary())], names=["tab", "grp", "code", "vec_id", "v"])
 
     def visited_codes(q: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Per table and band the codes that the queries visit; the bands visited whole at once."""
-        if len(whole):
-            yield 0, np.tile(hasher.band(whole, 0), (len(q), 1))
-        for t in range(TABLES if len(probed) else 0):
+        """Per table and band the codes that the queries visit."""
+        for t in range(TABLES):
             probes = hasher.probes(q, t)
             for extra in hasher.band(probed, t):
                 yield t, probes + extra
@@ -249,9 +244,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     if short.isEmpty():
         return first
     met = short.mapInArrow(lone, "query_id long, q binary").withColumn("codes", F.lit(None).cast("binary"))
-    parts = blocks.where("tab = 0").select(*[F.col(c).alias(f"_{c}") for c in ("tab", "grp", "blocks")])  # all rows, once
-    everywhere = parts.crossJoin(met).select(F.col("_tab").alias("tab"), F.col("_grp").alias("grp"), "query_id", "q", "codes",
-                                             F.explode(F.expr("sequence(0L, _blocks - 1)")).alias("block"))
+    # all rows, once: every block of one table's groups
+    met = met.withColumn("tab", F.lit(0)).withColumn("grp", F.explode(F.expr(f"sequence(0, {groups - 1})")))
+    everywhere = met.join(blocks, ["tab", "grp"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
     rest = ranked(left.where("tab = 0"), everywhere)
     return first.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(rest)
 
