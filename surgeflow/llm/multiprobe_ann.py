@@ -9,14 +9,26 @@ Each of ``TABLES`` hash tables cuts ``HASHES`` Gaussian projections into cells
 of ``WIDTH``; a query visits its own bucket and those next to it (each
 coordinate one cell down, up, or as it is) in the order of their estimated
 success, the sum of squared distances from its projections to the cells'
-borders, ``PROBES`` buckets a table. The candidates of all tables are ranked by
-their exact inner products on the original vectors, in double precision.
+borders. The candidates of all tables are ranked by their exact inner products
+on the original vectors, in double precision.
+
+How many buckets a query visits follows from what it finds. It begins with
+``FIRST`` a table in every band. Its k-th score then says how near an unseen row
+must be to matter: for a row at just that distance the projections differ by
+Gaussians of that width, so the chance that it lies in none of the buckets
+visited is the product over the tables of one minus the sum of the buckets'
+chances. In each band the query visits, in a second turn, as many buckets as
+bring that chance to ``MISS``; none where the band's norms cannot reach the k-th
+score; and all rows where the buckets next to its own do not suffice. A query
+without ``k`` rows goes on with ``GROWTH`` times as many buckets, with all rows
+at last. Near neighbours are thus found in few buckets, far ones in many, by one
+rule for every query.
 
 Nothing is capped: every row is indexed in every table, all rows of a visited
 bucket are candidates, and however many share a bucket, its rows are cut into
-blocks of about ``BLOCK_ROWS`` that each meet the queries that visit it; a
-block returns its best ``k`` per query, which lose none of the overall best. A
-query whose probes found fewer than ``k`` rows meets all rows.
+blocks of about ``BLOCK_ROWS`` that each meet the queries that visit it, in
+parts of about ``QUERY_LIMIT``; a block returns its best ``k`` per query, which
+lose none of the overall best.
 
 Vectors that are null, empty, zero, hold a null or non-finite component, or have
 not the most frequent length take no part (neither as query nor as candidate).
@@ -29,21 +41,35 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgeflow.llm.common import settled
+from surgeflow.llm.common import Workspace, settled
 
-TABLES, HASHES, WIDTH, PROBES = 3, 8, 2.5, 320
+TABLES, HASHES, WIDTH = 3, 8, 2.5
+PROBES = 3**HASHES  # buckets of a table next to a query's, its own included
+FIRST, GROWTH = 8, 32
+MISS = 0.05
 BAND = 2**0.25
 BLOCK_ROWS = 16_384  # rows of a table that a task scores, two times that at most
+QUERY_LIMIT = 65_536  # visits to a block that a task holds, two times that at most
 QUERY_ROWS = 128  # queries scored at once against a block
+PLAN_ROWS = 64  # queries whose visits are worked out at once
 SEED = 20250
 STEPS = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)), np.int64)  # perturbations of a bucket
+_erf = np.frompyfunc(math.erf, 1, 1)
+
+
+def _over_steps(parts: np.ndarray, op: np.ufunc) -> np.ndarray:
+    """For each step ``op`` over its coordinates' parts (queries x hashes x stay, down, up)."""
+    out = parts[:, 0]
+    for j in range(1, parts.shape[1]):
+        out = op(out[:, :, None], parts[:, j, None, :]).reshape(len(parts), -1)
+    return out
 
 
 class Hasher:
@@ -69,17 +95,26 @@ class Hasher:
         """What a band adds to the codes of its buckets."""
         return bands.astype(np.int64) * self.band_code[table]
 
-    def probes(self, q: np.ndarray, table: int) -> np.ndarray:
-        """Codes of the buckets each query visits, best first."""
+    def order(self, q: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per query the steps best first, the codes of their buckets, its places within its cells."""
         cells, place = self.cells(q, table)
-        cost = np.stack([np.zeros_like(place), place**2, (1 - place) ** 2], -1)  # stay, down, up
-        which = np.where(STEPS < 0, 1, np.where(STEPS > 0, 2, 0))
-        out = np.empty((len(q), min(PROBES, len(STEPS))), np.int64)
-        for i in range(len(q)):
-            score = cost[i][np.arange(HASHES), which].sum(1)
-            best = np.argsort(score, kind="stable")[:PROBES]
-            out[i] = self.codes(cells[i] + STEPS[best], table)
-        return out
+        cost = _over_steps(np.stack([np.zeros_like(place), place**2, (1 - place) ** 2], -1), np.add)
+        best = np.argsort(cost, axis=1, kind="stable")
+        return best, self.codes(cells, table)[:, None] + self.codes(STEPS, table)[best], place
+
+    def probes(self, q: np.ndarray, table: int) -> np.ndarray:
+        """Codes of the buckets next to each query, best first."""
+        return self.order(q, table)[1]
+
+
+def missed(orders: list[tuple[np.ndarray, np.ndarray, np.ndarray]], distance: np.ndarray) -> np.ndarray:
+    """Per query (row) the chance that a row at ``distance`` is in none of the first 1, 2, ... buckets."""
+    out = np.ones((len(distance), PROBES))
+    for best, _, place in orders:
+        edges = np.stack([-place - 1, -place, 1 - place, 2 - place], -1) * (WIDTH / distance)[:, None, None]
+        chance = np.diff(_erf(edges / math.sqrt(2)).astype(np.float64) / 2, axis=-1)[..., [1, 0, 2]]
+        out *= 1 - np.cumsum(np.take_along_axis(_over_steps(chance, np.multiply), best, 1), 1)
+    return out
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -168,35 +203,53 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     [pa.array(np.full(len(ids), t, np.int32)), pa.array((code % groups).astype(np.int32)), pa.array(code),
                      pa.array(ids), pa.array(_packed(raw), pa.binary())], names=["tab", "grp", "code", "vec_id", "v"])
 
-    def visited_codes(q: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Per table and band the codes that the queries visit."""
-        for t in range(TABLES):
-            probes = hasher.probes(q, t)
-            for extra in hasher.band(probed, t):
-                yield t, probes + extra
-
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+    def span(orders: list, kth: np.ndarray, norm: np.ndarray, top: float, seen: int, limit: int) -> np.ndarray:
+        """Up to which bucket each query visits a band; beyond ``PROBES``: all rows."""
+        upto = np.full(len(kth), limit if seen < PROBES else PROBES + 1)
+        known = np.flatnonzero(~np.isnan(kth))
+        if len(known):
+            near = kth[known] / (norm[known] * top)
+            distance = np.sqrt(np.maximum(2 - 2 * near, 1e-12))
+            enough = (missed([(b[known], c, p[known]) for b, c, p in orders], distance) > MISS).sum(1) + 1
+            upto[known] = np.where(near > 1 + 1e-9, 0, enough)
+        return upto
+
+    def visit(seen: int, limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for a in range(0, b.num_rows, PLAN_ROWS):
+                    yield from plan(b.slice(a, PLAN_ROWS))
+
+        def batch(out: list[list]) -> pa.RecordBatch:
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["tab", "grp", "query_id", "q", "codes"])
+
+        def plan(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             raw = _matrix(b.column(1), dim).astype(dtype)
-            q = np.concatenate([unit(raw.astype(np.float64)), np.zeros((len(raw), 1))], 1)
-            packed, ids = _packed(raw), b.column(0).to_numpy()
-            for t, probes in visited_codes(q):
-                where = probes % groups
-                out = [[], [], [], []]
-                for i, (p, g) in enumerate(zip(probes, where)):
+            ids, kth = b.column(0).to_numpy(), b.column(2).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            wide = raw.astype(np.float64)
+            norm = np.sqrt((wide * wide).sum(1))
+            q = np.concatenate([unit(wide), np.zeros((len(raw), 1))], 1)
+            packed = _packed(raw)
+            orders = [hasher.order(q, t) for t in range(TABLES)]
+            upto = np.stack([span(orders, kth, norm, bands[band][0], seen, limit) for band in probed.tolist()])
+            whole = (upto > PROBES).any(0)
+            for i, t in itertools.product(range(len(probed)), range(TABLES)):
+                codes, out = orders[t][1] + hasher.band(probed[i], t), [[] for _ in range(5)]
+                for j in np.flatnonzero((upto[i] > seen) & ~whole):
+                    p = codes[j, seen:upto[i, j]]
+                    g = p % groups
                     order = np.argsort(g, kind="stable")
                     cut = np.flatnonzero(np.diff(g[order], prepend=-1))
-                    for a, z in zip(cut, np.append(cut[1:], len(g))):
-                        for o, v in zip(out, (g[order[a]], ids[i], packed[i], p[order[a:z]].tobytes())):
+                    for x, z in zip(cut, np.append(cut[1:], len(g))):
+                        for o, v in zip(out, (t, int(g[order[x]]), ids[j], packed[j], p[order[x:z]].tobytes())):
                             o.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(out[0]), t, np.int32)), pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                     pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], names=["tab", "grp", "query_id", "q", "codes"])
+                yield batch(out)
+            all_rows = np.flatnonzero(whole).tolist()  # once: every block of one table's groups
+            n = len(all_rows)
+            yield batch([[0] * n, [None] * n, [ids[j] for j in all_rows], [packed[j] for j in all_rows], [None] * n])
 
-    def lone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = _matrix(b.column(1), dim).astype(dtype)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_packed(raw), pa.binary())], names=["query_id", "q"])
+        return run
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [[], [], []]
@@ -224,31 +277,43 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                          "score": pa.array(cat[2].astype(np.float64))})
 
     placed = rows.mapInArrow(index, "tab int, grp int, code long, vec_id long, v binary")
-    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    visits = queries.mapInArrow(visit, "tab int, grp int, query_id long, q binary, codes binary")
     blocks = placed.groupBy("tab", "grp").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK_ROWS)).alias("blocks"))
-    left = placed.join(blocks, ["tab", "grp"]).withColumn("block", F.expr("pmod(xxhash64(vec_id), blocks)")).drop("blocks")
-    right = visits.join(blocks, ["tab", "grp"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
-    key = ["tab", "grp", "block"]
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-
-    def ranked(left: DataFrame, right: DataFrame) -> DataFrame:
-        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
-        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-                .select("query_id", "rank", "vec_id", "score"))
-
-    first = settled(ranked(left, right), "op2")
-    full = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = queries.join(full, "vec_id", "left_anti")
-    if short.isEmpty():
-        return first
-    met = short.mapInArrow(lone, "query_id long, q binary").withColumn("codes", F.lit(None).cast("binary"))
-    # all rows, once: every block of one table's groups
-    met = met.withColumn("tab", F.lit(0)).withColumn("grp", F.explode(F.expr(f"sequence(0, {groups - 1})")))
-    everywhere = met.join(blocks, ["tab", "grp"]).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks")
-    rest = ranked(left.where("tab = 0"), everywhere)
-    return first.join(full.withColumnRenamed("vec_id", "query_id"), "query_id", "left_semi").unionByName(rest)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    key = ["tab", "grp", "block", "part"]
+
+    def met(visits: DataFrame, blocks: DataFrame) -> DataFrame:
+        """What the queries find in the buckets they visit."""
+        sizes = (visits.groupBy("tab", "grp").agg(F.ceil(F.count(F.lit(1)) / (2 * QUERY_LIMIT)).alias("parts"))
+                 .join(blocks, ["tab", "grp"]))
+        left = (placed.join(sizes, ["tab", "grp"]).withColumn("block", F.expr("pmod(xxhash64(vec_id), blocks)"))
+                .withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)"))).drop("blocks", "parts"))
+        right = (visits.join(sizes, ["tab", "grp"]).withColumn("part", F.expr("pmod(xxhash64(query_id), parts)"))
+                 .withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).drop("blocks", "parts"))
+        return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(meet, "query_id long, vec_id long, score double")
+
+    with Workspace(spark, "op2") as ws:
+        blocks = ws.write(blocks, "blocks")
+        queries = ws.write(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+        going, seen, limit, found = queries.withColumn("kth", F.lit(None).cast("double")), 0, FIRST, None
+        while True:  # two turns for queries that find k rows in their first buckets, four at most
+            visits = going.mapInArrow(visit(seen, min(limit, PROBES)), "tab int, grp int, query_id long, q binary, codes binary")
+            groups_of = F.expr(f"if(grp is null, sequence(0, {groups - 1}), array(grp))")
+            visits = ws.write(visits.withColumn("grp", F.explode(groups_of)), f"visits-{limit}")
+            if visits.isEmpty():
+                break
+            new = met(visits, blocks)
+            if found is not None:
+                new = new.unionByName(found.drop("rank"))
+            new = new.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best))
+            found = ws.write(new.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), f"found-{limit}")
+            if seen >= PROBES:
+                break
+            kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("kth"))
+            going = going.where("kth is null").drop("kth").join(kth, "vec_id", "left")
+            seen, limit = min(limit, PROBES), limit * GROWTH
+        if found is None:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return settled(found, "op2")
 
 
 def brute_force(ids: np.ndarray, x: np.ndarray, qid: int, q: np.ndarray, k: int = 20) -> tuple[np.ndarray, np.ndarray]:

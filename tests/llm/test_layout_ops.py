@@ -227,6 +227,55 @@ def test_neighbours_of_few_and_none(spark):
     assert A.nearest(vectors(spark, []), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_missed_is_the_share_of_rows_at_a_distance_in_no_bucket():
+    h, rng = A.Hasher(48), np.random.default_rng(3)
+    q = rng.standard_normal((1, 49))
+    q /= np.sqrt((q * q).sum())
+    for distance in (0.4, 0.8, 1.2):
+        miss = np.zeros(A.PROBES)
+        want = np.zeros(A.PROBES)
+        for seed in range(60):  # the chance is over the draw of the projections
+            h.a = np.random.default_rng(seed).standard_normal(h.a.shape)
+            e = rng.standard_normal((200, 49))
+            x = q + distance * e / np.sqrt((e * e).sum(1, keepdims=True))
+            first = np.full(200, A.PROBES)
+            orders = [h.order(q, t) for t in range(A.TABLES)]
+            for t, (_, codes, _) in enumerate(orders):
+                place = {int(c): i for i, c in enumerate(codes[0])}
+                first = np.minimum(first, [place.get(int(c), A.PROBES) for c in h.codes(h.cells(x, t)[0], t)])
+            miss += 1 - np.cumsum(np.bincount(first, minlength=A.PROBES + 1)[:A.PROBES]) / 200
+            want += A.missed(orders, np.array([distance]))[0]
+        assert np.abs(miss - want).max() / 60 < 0.04
+
+
+def test_clustered_vectors_are_found_among_half_of_the_rows(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((40, 64)) / 8
+    x = centres[rng.integers(0, 40, 2400)] + 0.4 * rng.standard_normal((2400, 64)) / 8
+    x = (x / np.sqrt((x * x).sum(1, keepdims=True))).astype(np.float32).astype(float)
+    got = defaultdict(dict)
+    for r in A.nearest(vectors(spark, [(i, v.tolist(), "") for i, v in enumerate(x)]), F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id][r.vec_id] = r.score
+    ids = np.arange(2400)
+    recall = [len(set(got[q]) & set(A.brute_force(ids, x, q, x[q])[0].tolist())) / 20 for q in range(0, 2400, 20)]
+    assert len(got) == 120 and np.mean(recall) >= 0.9, np.mean(recall)
+    h, y, share = A.Hasher(64), np.concatenate([x, np.zeros((2400, 1))], 1), []
+    codes = [h.codes(h.cells(y, t)[0], t) for t in range(A.TABLES)]
+    for q in got:  # both turns' buckets; the final k-th score asks for no more than the first turn's did
+        orders = [h.order(y[q:q + 1], t) for t in range(A.TABLES)]
+
+        def seen(upto):
+            return np.any([np.isin(c, o[1][0, :upto]) for c, o in zip(codes, orders)], 0)
+
+        score = np.sort(A.exact(x, x[q][None])[seen(A.FIRST) & (ids != q)])
+        assert len(score) >= 20
+        distance = np.sqrt(2 - 2 * score[-20])
+        upto = max(A.FIRST, int((A.missed(orders, np.array([distance])) > A.MISS).sum()) + 1)
+        assert set(got[q]) <= set(ids[seen(upto)].tolist())
+        share.append(seen(upto).mean())
+    assert np.mean(share) <= 0.5, np.mean(share)
+
+
 def test_probes_go_by_estimated_success():
     h = A.Hasher(4)
     q = np.random.default_rng(0).standard_normal((3, 5))
