@@ -27,8 +27,9 @@ rule for every query.
 Nothing is capped: every row is indexed in every table, all rows of a visited
 bucket are candidates, and however many share a bucket, its rows are cut into
 blocks of about ``BLOCK_ROWS`` that each meet the queries that visit it, in
-parts of about ``QUERY_LIMIT``; a block returns its best ``k`` per query, which
-lose none of the overall best.
+parts of about ``QUERY_LIMIT``. A block returns its best ``k`` per query, later
+only those that reach the k-th score of the turn before, which lose none of the
+overall best.
 
 Vectors that are null, empty, zero, hold a null or non-finite component, or have
 not the most frequent length take no part (neither as query nor as candidate).
@@ -48,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surgeflow.llm.common import Workspace, settled
+from surgeflow.llm.common import Workspace, partitions, settled
 
 TABLES, HASHES, WIDTH = 3, 8, 2.5
 PROBES = 3**HASHES  # buckets of a table next to a query's, its own included
@@ -136,17 +137,19 @@ def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def best_of(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, seen: np.ndarray,
-            k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            k: int, kth: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each query the ``k`` nearest of the rows ``seen`` (queries x rows) but those
-    of its own id: rows of (query's place, id, exact score)."""
+    of its own id, and but those below a score ``kth`` that it has reached k times
+    (NaN: none): rows of (query's place, id, exact score)."""
     seen = seen & (ids != qids[:, None])
     rough = q.astype(np.float32) @ x.astype(np.float32).T
     rough[~seen] = -np.inf
-    if x.shape[0] > k:  # single precision and ties: keep all that come near the k-th
-        edge = np.partition(rough, x.shape[0] - k, axis=1)[:, x.shape[0] - k]
-        slack = 1e-5 * np.sqrt((q * q).sum(1) * (x * x).sum(1).max())
-        seen &= rough >= (edge - slack)[:, None]
-    at, on = np.nonzero(seen)
+    edge = np.full(len(q), -np.inf) if kth is None else np.where(np.isnan(kth), -np.inf, kth)
+    if x.shape[0] > k and np.isinf(edge).any():
+        edge = np.maximum(edge, np.partition(rough, x.shape[0] - k, axis=1)[:, x.shape[0] - k])
+    # single precision and ties: keep all that come near the k-th
+    slack = 1e-5 * np.sqrt((q * q).sum(1) * (x * x).sum(1).max())
+    at, on = np.nonzero(seen & (rough >= (edge - slack)[:, None]))
     score = exact(x[on], q[at])
     order = np.lexsort((ids[on], -score, at))
     at, on, score = at[order], on[order], score[order]
@@ -221,8 +224,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     yield from plan(b.slice(a, PLAN_ROWS))
 
         def batch(out: list[list]) -> pa.RecordBatch:
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["tab", "grp", "query_id", "q", "codes"])
+            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=["tab", "grp", "query_id", "kth", "q", "codes"])
 
         def plan(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             raw = _matrix(b.column(1), dim).astype(dtype)
@@ -235,19 +238,19 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             upto = np.stack([span(orders, kth, norm, bands[band][0], seen, limit) for band in probed.tolist()])
             whole = (upto > PROBES).any(0)
             for i, t in itertools.product(range(len(probed)), range(TABLES)):
-                codes, out = orders[t][1] + hasher.band(probed[i], t), [[] for _ in range(5)]
+                codes, out = orders[t][1] + hasher.band(probed[i], t), [[] for _ in range(6)]
                 for j in np.flatnonzero((upto[i] > seen) & ~whole):
                     p = codes[j, seen:upto[i, j]]
                     g = p % groups
                     order = np.argsort(g, kind="stable")
                     cut = np.flatnonzero(np.diff(g[order], prepend=-1))
                     for x, z in zip(cut, np.append(cut[1:], len(g))):
-                        for o, v in zip(out, (t, int(g[order[x]]), ids[j], packed[j], p[order[x:z]].tobytes())):
+                        for o, v in zip(out, (t, int(g[order[x]]), ids[j], kth[j], packed[j], p[order[x:z]].tobytes())):
                             o.append(v)
                 yield batch(out)
             all_rows = np.flatnonzero(whole).tolist()  # once: every block of one table's groups
             n = len(all_rows)
-            yield batch([[0] * n, [None] * n, [ids[j] for j in all_rows], [packed[j] for j in all_rows], [None] * n])
+            yield batch([[0] * n, [None] * n, ids[all_rows], kth[all_rows], [packed[j] for j in all_rows], [None] * n])
 
         return run
 
@@ -257,7 +260,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
             code, ids = left["code"].to_numpy(), left["vec_id"].to_numpy()
             x = _unpacked(left["v"], dim, dtype)
             known, bucket = np.unique(code, return_inverse=True)
-            q, qids = _unpacked(right["q"], dim, dtype), right["query_id"].to_numpy()
+            q, qids, kth = _unpacked(right["q"], dim, dtype), right["query_id"].to_numpy(), right["kth"].to_numpy()
             codes = right["codes"].to_pylist()
             for a in range(0, len(q), QUERY_ROWS):
                 some = slice(a, a + QUERY_ROWS)
@@ -269,7 +272,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
                     c = np.frombuffer(c, np.int64)
                     at = np.minimum(np.searchsorted(known, c), len(known) - 1)
                     visited[i, at[known[at] == c]] = True
-                at, got, score = best_of(ids, x, qids[some], q[some], visited[:, bucket], k)
+                at, got, score = best_of(ids, x, qids[some], q[some], visited[:, bucket], k, kth[some])
                 for o, v in zip(out, (qids[some][at], got, score)):
                     o.append(v)
         cat = [np.concatenate(o) if o else np.zeros(0) for o in out]
@@ -293,10 +296,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
 
     with Workspace(spark, "op2") as ws:
         blocks = ws.write(blocks, "blocks")
-        queries = ws.write(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")), "queries")
+        queries = ws.write(rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v")).repartition(partitions(spark), "vec_id"), "queries")
         going, seen, limit, found = queries.withColumn("kth", F.lit(None).cast("double")), 0, FIRST, None
         while True:  # two turns for queries that find k rows in their first buckets, four at most
-            visits = going.mapInArrow(visit(seen, min(limit, PROBES)), "tab int, grp int, query_id long, q binary, codes binary")
+            visits = going.mapInArrow(visit(seen, min(limit, PROBES)), "tab int, grp int, query_id long, kth double, q binary, codes binary")
             groups_of = F.expr(f"if(grp is null, sequence(0, {groups - 1}), array(grp))")
             visits = ws.write(visits.withColumn("grp", F.explode(groups_of)), f"visits-{limit}")
             if visits.isEmpty():
