@@ -165,9 +165,9 @@ def _shared(rows: np.ndarray) -> np.ndarray:
 
 
 def _range_key(rows: np.ndarray) -> np.ndarray:
-    """The first eight bytes as an ordered signed number."""
-    k = np.ascontiguousarray(rows[:, :WORD_BYTES]).view(">u8")[:, 0].astype(np.uint64)
-    return (k ^ np.uint64(1 << 63)).view(np.int64)
+    """The anchors, the first 24 bytes, in byte order: records that may share a window
+    have the same, so that ranges can be cut at any of them."""
+    return np.ascontiguousarray(rows[:, :GRAM]).view(f"S{GRAM}")[:, 0]
 
 
 class Run:
@@ -327,10 +327,10 @@ def _marks_table(block: np.ndarray, rid: np.ndarray, lo: np.ndarray, hi: np.ndar
     return pa.table({"block": pa.array(block[cut], pa.int64()), "marks": pa.array(packed, pa.binary())})
 
 
-def record_runs(blocks: DataFrame, repeated: DataFrame, bits: int, splitters: list[int]) -> DataFrame:
+def record_runs(blocks: DataFrame, repeated: DataFrame, bits: int, splitters: list[bytes]) -> DataFrame:
     """Per block its sorted records cut into key ranges (``range``, ``run``), and
     the marks that the block alone can tell (``settled``), dealt over the ranges."""
-    shift, cuts = np.uint64(64 - bits), np.array(splitters, np.int64)
+    shift, cuts = np.uint64(64 - bits), np.array(splitters, f"S{GRAM}")
 
     def build(left: pa.Table, right: pa.Table) -> pa.Table:
         known, _ = R.reply(right)
@@ -448,21 +448,22 @@ def merge_ranges(runs: DataFrame) -> DataFrame:
     return runs.groupBy("range").applyInArrow(merge, "block long, marks binary")
 
 
-def splitters(blocks: DataFrame, ranges: int) -> list[int]:
-    """Boundaries of about equal key ranges, from anchors of every 16th part of the texts.
-    They set only which task sorts a suffix, never a result."""
+def splitters(blocks: DataFrame, ranges: int, ws: Workspace) -> list[bytes]:
+    """Boundaries of about equal key ranges, from anchors of every 16th part of the texts:
+    the least key of each partition of a range exchange. As whole anchors are compared, keys
+    that begin alike are split too. They set only which task sorts a suffix, never a result."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = R.doc_bytes(b.column(0))
             for _, _, p1, x, h in anchored_runs(data, offsets):
                 on = np.flatnonzero(h % np.uint64(64) == 0)
-                yield pa.RecordBatch.from_arrays([pa.array(_range_key(_context(data, x[on], p1[on], x[on])))], names=["key"])
+                keys = _context(data, x[on], p1[on], x[on])[:, :GRAM]
+                yield pa.RecordBatch.from_arrays([pa.array([k.tobytes() for k in keys], pa.binary())], names=["key"])
 
-    sample = blocks.where(F.xxhash64("rid") % 16 == 0).select("body").mapInArrow(draw, "key long")
-    at = [(i + 1) / ranges for i in range(ranges - 1)]
-    got = sample.agg(F.percentile_approx("key", at, 10_000)).first()[0] if at else None
-    return sorted(set(got or []))
+    sample = ws.write(blocks.where(F.xxhash64("rid") % 16 == 0).select("body").mapInArrow(draw, "key binary"), "sample")
+    parts = sample.repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("part")).agg(F.min("key").alias("key"))
+    return sorted({bytes(r.key) for r in parts.collect()})[1:]  # as many rows as there are ranges
 
 
 def removed_spans(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -470,7 +471,7 @@ def removed_spans(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_c
     blocks = R.write_blocks(docs, ws, id_col, text_col)
     bits = R.key_bits(blocks, 2 / (SPAN + 1))
     repeated = R.repeated_keys(blocks, anchor_sets, bits, ws)
-    runs = record_runs(blocks, repeated, bits, splitters(blocks, partitions(docs.sparkSession)))
+    runs = record_runs(blocks, repeated, bits, splitters(blocks, partitions(docs.sparkSession), ws))
     return ws.write(merge_ranges(runs), "marks"), blocks
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from surgeflow.llm import ngram_join as N
 from surgeflow.llm import repeats as R
 from surgeflow.llm import suffix_dedup as S
+from surgeflow.llm.common import Workspace
 from surgeflow.llm.components import connected_components
 
 
@@ -67,6 +68,24 @@ def test_equal_ids_do_not_remove_each_other(spark, ws):
     assert got == ordered([(5, 0), (5, 0), (9, len(t)), (None, len(t)), (None, len(t))])
 
 
+def test_keys_that_begin_alike_are_split_over_ranges(spark, ws):
+    rng = random.Random(4)
+
+    def unit():
+        return "a" * 17 + "".join(rng.choice("bcdefgh") for _ in range(5))
+
+    shared = ["".join(unit() for _ in range(60)) for _ in range(40)]
+    data = [(i, shared[i % 40] + "".join(unit() for _ in range(20))) for i in range(160)]
+    many = spark.createDataFrame([(i, "".join(unit() for _ in range(80))) for i in range(3000)], "doc_id long, text string")
+    with Workspace(spark, "many") as w:
+        cuts = S.splitters(R.write_blocks(many, w), 24, w)
+    assert cuts == sorted(set(cuts)) and all(len(c) == S.GRAM for c in cuts)
+    assert max(sum(c[:8] == k for c in cuts) for k in {c[:8] for c in cuts}) >= 5, cuts
+    marks, blocks = S.removed_spans(spark.createDataFrame(data, "doc_id long, text string"), ws)
+    got = {r.doc_id: tuple(r)[1:] for r in S.digest(S.strip(blocks, marks)).collect()}
+    assert got == S.brute_force(dict(data)) and sum(g[1] for g in got.values()) > 100_000
+
+
 def test_loser_tree_merges_by_common_prefixes():
     rng = np.random.default_rng(3)
     for t in range(40):
