@@ -53,6 +53,7 @@ LONGEST = 1 << POS_BITS
 MIX = np.uint64(0x9E3779B97F4A7C15)
 WORD_BYTES = 8
 WORDS = -(-WINDOW // WORD_BYTES)
+AHEAD = 128
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -222,26 +223,35 @@ def merge_order(runs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     its match and the words it shares with the winner that passed; the next
     suffix of the winner's run comes with what it shares with its forerunner. Of
     two suffixes the one that shares more with the last output is the smaller;
-    only if both share as much are words compared, from there on.
+    only if both share as much are words compared, from there on. Of each run only
+    the next ``AHEAD`` suffixes are held as words.
     """
     total = sum(len(r) for r, _ in runs)
     if len(runs) == 1:
         return np.arange(total)
-    words, known, heads, ends = [], [], [], []
+    words, known, heads, ends = [None] * total, [], [], []
     at = 0
-    for rows, lcp in runs:
+
+    def ahead(run: int, at: int) -> None:
+        rows = runs[run][0][at - heads[run]:][:AHEAD]
         wide = np.zeros((len(rows), WORDS * WORD_BYTES), np.uint8)
         wide[:, :WINDOW] = rows[:, :WINDOW]
-        words += list(map(tuple, wide.view(">u8").astype(np.uint64).tolist()))
+        words[at:at + len(rows)] = map(tuple, wide.view(">u8").astype(np.uint64).tolist())
+        past = max(heads[run], at - AHEAD)
+        words[past:at] = [None] * (at - past)
+
+    for i, (rows, lcp) in enumerate(runs):
         known += (lcp // WORD_BYTES).tolist()
         heads.append(at)
+        if len(rows):
+            ahead(i, at)
         at += len(rows)
         ends.append(at)
     k = 1
     while k < len(runs):
         k *= 2
     done = (None,)  # behind the last suffix of a run
-    head = heads + [total] * (k - len(runs))
+    head = heads + [total] * (k - len(runs))  # a list of its own
     end = ends + [total] * (k - len(runs))
     loser, share = [0] * k, [0] * k
     win = [0] * (2 * k)
@@ -267,6 +277,8 @@ def merge_order(runs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         at += 1
         head[run] = at
         if at < end[run]:
+            if words[at] is None:
+                ahead(run, at)
             h, x = known[at], words[at]
         else:
             h, x = -1, done

@@ -86,7 +86,9 @@ def test_keys_that_begin_alike_are_split_over_ranges(spark, ws):
     assert got == S.brute_force(dict(data)) and sum(g[1] for g in got.values()) > 100_000
 
 
-def test_loser_tree_merges_by_common_prefixes():
+@pytest.mark.parametrize("ahead", [1, 7, 128])
+def test_loser_tree_merges_by_common_prefixes(monkeypatch, ahead):
+    monkeypatch.setattr(S, "AHEAD", ahead)
     rng = np.random.default_rng(3)
     for t in range(40):
         runs = []
