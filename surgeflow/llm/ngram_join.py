@@ -5,8 +5,8 @@ lower-cased; fewer words: the whole sequence as one). Two sets of similarity
 0.8 or more share a token among the first ``n - ceil(0.8 n) + 1`` tokens of
 either under ANY global order of tokens (fewer, once both sizes are known: all
 but the common tokens they need, and one). Several orders are used: all rare
-first, by the number of documents that hold a token, exact or by powers of two,
-ties broken by different hashes. A pair is a candidate only if its prefixes
+first, by the number of documents that hold a token, exact, by powers of two or
+of four, ties broken by different hashes. A pair is a candidate only if its prefixes
 meet under every order; the first order generates pairs, the others are
 intersected before the exact count of common tokens verifies.
 
@@ -17,9 +17,14 @@ all that share a prefix token with it, and with some drawn by hash; in the next
 rounds only with classes of other components. Verified pairs join almost all
 copies of a group by a few pairs a member. (4) All candidate pairs between
 classes that are then still in different components are verified, but for those
-whose recurring tokens are too few to reach the threshold. A link between classes of one component
-changes nothing, so components are exact without any group's pairs being
-written out.
+whose recurring tokens are too few to reach the threshold; they meet by token and
+band of sizes, so that sets too unequal in size are never paired. A link between
+classes of one component changes nothing, so components are exact without any
+group's pairs being written out.
+
+``ngram_links`` returns every link instead: all candidate pairs between classes
+are verified, and each document has its number of links. That is up to a pair
+for every two different texts of a group, so ``ngram_join`` doesn't go that way.
 
 Tokens are 64-bit hashes of whole shingles. Null texts, and those without
 words, have the empty set and no link. A row whose id is null counts as the
@@ -30,7 +35,9 @@ component. Other columns are kept aside untouched.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +118,7 @@ def prefixes(tokens: np.ndarray, held: np.ndarray, n: int, percent: int) -> list
     rest = n - needed(n, percent) + 1 - (n - len(tokens))  # unique tokens stand before all others
     out = []
     for k in range(ORDERS):
-        rarity = held if k == 0 else np.floor(np.log2(held))
+        rarity = held if k == 0 else np.floor(np.log2(held) / k)
         tie = mix(tokens + np.uint64(k + 1))
         out.append(tokens[np.lexsort((tie, rarity))[:max(0, rest)]])
     return out
@@ -223,22 +230,36 @@ def star_pairs(members: DataFrame, draws: list[int], percent: int) -> DataFrame:
     return pairs.select(F.least("cid", "head").alias("a"), F.greatest("cid", "head").alias("b")).distinct()
 
 
+def _band(n: Column, percent: int) -> Column:
+    """Band of a set's size: sizes near enough for a link lie in one band or the next."""
+    return F.floor(F.log(n) / (max(math.log(100 / percent), 0.01) * 1.001))
+
+
 def open_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All candidate pairs of the first order between classes of different components."""
+    """All candidate pairs of the first order between classes of different components.
+
+    The smaller set of a pair meets the larger ones of its own band and the next.
+    """
     x, y = (members.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("cid", "n", "r", "pos", "root")]) for side in "xy")
-    return (x.join(y, "token").where("x_cid < y_cid and x_root <> y_root")
+    band = _band(F.col("x_n"), percent)
+    x = x.withColumn("band", F.explode(F.array(band, band + 1)))
+    y = y.withColumn("band", _band(F.col("y_n"), percent))
+    return (x.join(y, ["token", "band"]).where("x_root <> y_root and (x_n < y_n or x_n = y_n and x_cid < y_cid)")
             .where(_possible("x_", "y_", percent) & _in_prefixes("x_", "y_", percent))
-            .select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b")).distinct())
+            .select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b")).distinct())
 
 
-def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = WORDS, id_col: str = "doc_id",
-               text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Components of documents linked by 100 * intersection >= percent * union.
+class Classes(NamedTuple):
+    """Documents grouped by equal sets."""
 
-    Returns (a row per document: ``rid``, ``block``, ``ord``, ``n_shingles``,
-    ``root_ord`` (smallest id of its component) and ``first`` (whether it is the
-    one row that stands for its component), the documents in blocks).
-    """
+    blocks: DataFrame
+    sets: DataFrame  # a row per document; ``name`` only where it may have a link
+    classes: DataFrame  # n, name, cid (its smallest rid), least (ord, rid), size
+    reps: DataFrame  # the sets of one document a class
+    members: DataFrame  # the classes' prefix tokens under the first order
+
+
+def equal_sets(docs: DataFrame, ws: Workspace, percent: int, words: int, id_col: str, text_col: str) -> Classes:
     blocks = R.write_blocks(docs, ws, id_col, text_col)
     bits = R.key_bits(blocks, 0.2)
     repeated = R.repeated_keys(blocks, lambda d, o: shingle_sets(d, o, words), bits, ws)
@@ -246,12 +267,25 @@ def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = W
 
     maybe = sets.where("name is not null")
     classes = ws.write(maybe.groupBy("n", "name").agg(
-        F.min("rid").alias("cid"), F.min(F.struct("ord", "rid")).alias("least")), "classes")
+        F.min("rid").alias("cid"), F.min(F.struct("ord", "rid")).alias("least"), F.count(F.lit(1)).alias("size")), "classes")
     reps = ws.write(maybe.join(classes.select("cid"), maybe["rid"] == classes["cid"])
                     .select("cid", "n", F.size("tokens").cast("long").alias("r"), "central", "tokens",
                             *[f"p{k}" for k in range(ORDERS)]), "reps")
     members = reps.select("cid", "n", "r", "central", F.posexplode("p0").alias("pos", "token"))
     members = members.withColumn("pos", F.col("pos") + F.col("n") - F.col("r"))  # behind the set's own tokens
+    return Classes(blocks, sets, classes, reps, members)
+
+
+def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = WORDS, id_col: str = "doc_id",
+               text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Components of documents linked by 100 * intersection >= percent * union.
+
+    Returns (a row per document: ``rid``, ``block``, ``ord``, ``n_shingles``,
+    ``root_ord`` (smallest id of its component) and ``first`` (whether it is the
+    one row that stands for its component), the documents in blocks).
+    """
+    blocks, sets, classes, reps, members = equal_sets(docs, ws, percent, words, id_col, text_col)
+    maybe = sets.where("name is not null")
     links = roots = None
     for i, draws in enumerate([*DRAWS, None]):
         m = rooted(members, roots)
@@ -270,6 +304,27 @@ def ngram_join(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = W
     return known.unionByName(alone).withColumnRenamed("n", "n_shingles"), blocks
 
 
+def ngram_links(docs: DataFrame, ws: Workspace, percent: int = 80, words: int = WORDS, id_col: str = "doc_id",
+                text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every link, as pairs between classes of equal sets, and who belongs to each class.
+
+    Returns (a row per document: ``rid``, ``block``, ``ord``, ``n_shingles``, ``class``
+    (the ``rid`` that names its class), ``n_links`` (other documents it is linked with);
+    the linked pairs of classes ``a`` < ``b``; the documents in blocks). Copies of a text
+    are linked by their class, not pair by pair.
+    """
+    blocks, sets, classes, reps, members = equal_sets(docs, ws, percent, words, id_col, text_col)
+    pairs = ws.write(verified(open_pairs(rooted(members, None), percent), reps, percent), "pairs")
+    ends = pairs.unionByName(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")))
+    far = ends.join(classes.select(F.col("cid").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("far"))
+    counted = (classes.join(far, classes["cid"] == far["a"], "left")
+               .select("n", "name", F.col("cid").alias("class"), (F.col("size") - 1 + F.coalesce("far", F.lit(0))).alias("n_links")))
+    shown = ["rid", "block", "ord", F.col("n").alias("n_shingles"), "class", "n_links"]
+    known = sets.where("name is not null").join(counted, ["n", "name"]).select(*shown)
+    alone = sets.where("name is null").select(*shown[:4], F.col("rid").alias("class"), F.lit(0).cast("long").alias("n_links"))
+    return known.unionByName(alone), pairs, blocks
+
+
 def digest(found: DataFrame) -> DataFrame:
     def shown(c: str) -> Column:
         return F.when(F.col(c) != NO_ID, F.col(c))

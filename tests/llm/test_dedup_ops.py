@@ -173,6 +173,39 @@ def test_ngram_join_group_of_near_copies(spark, ws, seed):
     assert ordered(map(tuple, N.digest(found).collect())) == ordered(brute_components(data))
 
 
+def brute_links(rows):
+    """Per row: its number of links."""
+    sets = [sets_of(t) for _, t in rows]
+    return [sum(1 for j, b in enumerate(sets) if j != i and a and b and 100 * len(a & b) >= 80 * len(a | b))
+            for i, a in enumerate(sets)]
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "nothing"])
+def test_every_link_is_counted(which, request, ws):
+    table = request.getfixturevalue(which)
+    rows = [(r.doc_id, r.text) for r in table.collect()]
+    found, pairs, _ = N.ngram_links(table, ws)
+    got = found.select("ord", "n_links", "class").collect()
+    none = N.NO_ID
+    assert (sorted((r.ord, r.n_links) for r in got)
+            == sorted((none if d is None else d, n) for (d, _), n in zip(rows, brute_links(rows))))
+    size = {}
+    for r in got:
+        size[r["class"]] = size.get(r["class"], 0) + 1
+    between = sum(size[p.a] * size[p.b] for p in pairs.collect())
+    assert sum(r.n_links for r in got) == 2 * between + sum(n * (n - 1) for n in size.values())
+
+
+@pytest.mark.parametrize("percent", [50, 80, 97, 100])
+def test_bands_of_sizes_lose_no_pair(spark, percent):
+    sizes = [*range(1, 130), *(5 ** i * 4 ** j for i in range(6) for j in range(6))]
+    members = spark.createDataFrame([(i, n, n, 0, i, 1) for i, n in enumerate(sizes)],
+                                    "cid long, n long, r long, pos long, root long, token long")
+    got = {(p.a, p.b) for p in N.open_pairs(members, percent).collect()}
+    assert got == {(i, j) for i, n in enumerate(sizes) for j, m in enumerate(sizes)
+                   if i < j and min(n, m) * 100 >= max(n, m) * percent}
+
+
 @pytest.mark.parametrize("n", [3, 5, 40, 147])
 def test_prefix_filter_under_every_order(n):
     rng = np.random.default_rng(n)
