@@ -17,8 +17,8 @@ from surgeflow.operators.aggregate import events_agg, upsert_view
 from surgeflow.operators.detect import batch_metrics, clean_of, flagged_of, ip_counts, rates_of, with_verdict
 from surgeflow.schema import METRIC_COLUMNS
 from surgeflow.sources.messages import validate_events
-from surgeflow.sources.sinks import clear_batch, run_writes, write_batches
-from surgeflow.sources.tables import TABLES, live_batches, refuse_closed
+from surgeflow.sources.sinks import run_writes, write_batches
+from surgeflow.sources.tables import TABLES, batch_path, delete_paths, live_batches, refuse_closed
 
 
 class Tables:
@@ -141,8 +141,7 @@ def write_history(tables: Tables, root: str, work_root: str) -> None:
     batches = {r["batch_id"] for r in ids.toLocalIterator()}
     refuse_closed(spark, root, sorted(batches))
     for table in [*reversed(TABLES), "dead_letter"]:  # the marks first
-        for b in batches.intersection(live_batches(spark, root, table)):
-            clear_batch(spark, root, table, b)
+        delete_paths(spark, [batch_path(root, table, b) for b in batches.intersection(live_batches(spark, root, table))])
     clean = clean_of(verdicts)
     # an event without a time names no batch: it is set aside with the first
     dead = tables.dead_letter.withColumn("batch_id", F.coalesce("batch_id", F.lit(min(batches, default=0)).cast("long")))

@@ -15,6 +15,8 @@ are being removed.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+DELETES = 16  # folders deleted at once
+
+
+def delete_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete many folders, several at once: each is a call to the store, not a Spark job.
+    All are gone on return."""
+    with ThreadPoolExecutor(DELETES) as pool:
+        list(pool.map(lambda p: delete_path(spark, p), paths))
+
+
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
@@ -141,8 +153,12 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
     then are its live directories removed; a reader in between sees the
     compacted copy and ignores the live one. Aggregate deltas are summed per
     key on the way (the upsert view's result is unchanged); other tables keep
-    their rows, sorted by batch. Returns whether anything was compacted.
+    their rows, sorted by batch. One compaction of a table runs at a time: what
+    a cut-off one wrote before the rename is deleted. Returns whether anything
+    was compacted.
     """
+    cp = compacted_path(root, table)
+    delete_paths(spark, [f"{cp}/{n}" for n in _children(spark, cp, "_tmp-")])
     done = compacted_ranges(spark, root, table)
     lo = max(done) if done else None
     if lo is not None and upto <= lo:
@@ -157,23 +173,19 @@ def compact(spark: SparkSession, root: str, table: str, upto: int) -> bool:
         rows = (rows.groupBy(*AGG_KEY).agg(F.sum("event_count").cast("long").alias("event_count"))
                 .withColumn("batch_id", F.lit(int(upto)).cast("long")))
     rows = rows.select(*TABLE_SCHEMAS[table].fieldNames())
-    cp = compacted_path(root, table)
     tmp = f"{cp}/_tmp-{uuid.uuid4().hex[:12]}"
     rows.hint("rebalance").sortWithinPartitions("batch_id").write.mode("overwrite").parquet(tmp)
     fs, src = _fs_path(spark, tmp)
     _, dst = _fs_path(spark, f"{cp}/upto={int(upto)}")
     if not fs.rename(src, dst):
         raise RuntimeError(f"could not move compacted range into {cp}/upto={upto}")
-    for b in copied:
-        delete_path(spark, batch_path(root, table, b))
+    delete_paths(spark, [batch_path(root, table, b) for b in copied])
     return True
 
 
 def _drop_copied(spark: SparkSession, root: str, table: str, upto: int) -> None:
     """Live directories of batches that the compacted range already holds."""
-    for b in live_batches(spark, root, table):
-        if b <= upto:
-            delete_path(spark, batch_path(root, table, b))
+    delete_paths(spark, [batch_path(root, table, b) for b in live_batches(spark, root, table) if b <= upto])
 
 
 def register_views(spark: SparkSession, root: str, committed_only: bool = True) -> None:

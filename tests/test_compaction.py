@@ -122,3 +122,17 @@ def test_backfill_into_closed_range_is_refused(spark, sink_root, tmp_path):
     compact_closed(spark, sink_root, 3)
     with pytest.raises(ValueError):
         backfill(spark, sink_root, str(tmp_path / "w2"), 5.5 / 86400)
+
+
+def test_compaction_removes_what_a_cut_off_run_wrote(spark, sink_root):
+    from pathlib import Path
+    proc = BatchProcessor(DEFAULT, sink_root, CLOCK)
+    for k in range(2):
+        proc(day(spark, k), k)
+    before = state(spark, sink_root)
+    left = Path(sink_root) / "events_clean_compacted" / "_tmp-0"
+    left.mkdir(parents=True)
+    (left / "part-0.parquet").write_text("half a file")
+    assert state(spark, sink_root) == before    # never read
+    compact_closed(spark, sink_root, 0)
+    assert not left.exists() and state(spark, sink_root) == before
